@@ -1,55 +1,56 @@
-"""Latest-version deduplication without a per-key window (W-1, W-2).
-
-The newest version of a key is the row whose ordering columns are largest,
-every column compared descending with NULLs last: exactly row 1 of
-``row_number() OVER (PARTITION BY keys ORDER BY c1 DESC NULLS LAST, ...)``.
-
-Spark orders structs field by field with NULL lowest, so the newest version
-is ``max(struct(c1, c2, ...))``.  Written as an aggregate it is combined map
-side before the shuffle: a key holding a third of all rows sends one row per
-map task, never the whole group to one task, which is what a window over the
-key would do.  The last ordering column must be unique per row (a source
-rank) so the newest version is unique, as ``row_number`` needs.
+"""Latest-version deduplication (W-1, W-2) that a hot key cannot stall.
+
+The newest version of a key is row 1 of ``row_number() OVER (PARTITION BY
+keys ORDER BY c1 DESC NULLS LAST, ...)``.  Only that row is ever kept, and
+the plan is written as ``row_number() ... = 1``: Catalyst then plans a
+*partial* ``WindowGroupLimit`` before the shuffle, so every map task sends
+at most one row per key.  A key holding a third of all rows therefore costs
+one row per map task in the shuffle, never the whole group in one task.
+
+A full window over the key (every row with its rank) would put a hot key's
+rows in one task; ``flag_latest`` avoids it by joining each row to its key's
+newest version instead, a join that AQE can split on the row side.
+
+The last ordering column must be unique per row (a source rank) so that the
+newest version is unique, as ``row_number`` needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LATEST = "_latest"
+_RN = "_version_rn"
+
+
+def _newest_first(order: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in order]
 
 
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    payload: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key: the newest version, with ``payload`` columns kept.
+    """One row per key: its newest version, with all of ``df``'s columns."""
+    w = Window.partitionBy(*keys).orderBy(*_newest_first(order))
+    return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
-    The output has the key columns followed by the ordering and payload
-    columns, in ``df``'s column order.
-    """
-    keys = list(keys)
-    order = list(order)
-    if payload is None:
-        payload = [c for c in df.columns if c not in keys]
-    rest = [c for c in payload if c not in order and c not in keys]
-    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
-    newest = df.groupBy(*keys).agg(F.max(packed).alias(LATEST))
-    wanted = [c for c in df.columns if c in keys or c in order or c in rest]
-    return newest.select(
-        *[F.col(c) if c in keys else F.col(f"{LATEST}.{c}").alias(c) for c in wanted]
-    )
 
-
-def newest_order_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Per key, the ordering values of its newest version (narrow columns)."""
-    return df.groupBy(*keys).agg(F.max(F.struct(*[F.col(c) for c in order])).alias(LATEST))
+def _null_safe_keys(df: DataFrame, keys: Sequence[str]) -> dict[str, Column]:
+    """(value-or-placeholder, is-null) per key: equality on these pairs is
+    the NULL-safe match, and both join sides can be partitioned by them."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    norm: dict[str, Column] = {}
+    for i, k in enumerate(keys):
+        placeholder = F.lit("") if isinstance(types[k], T.StringType) else F.lit(0).cast(types[k])
+        norm[f"_k{i}"] = F.coalesce(F.col(k), placeholder)
+        norm[f"_n{i}"] = F.col(k).isNull()
+    return norm
 
 
 def flag_latest(
@@ -60,26 +61,21 @@ def flag_latest(
 ) -> DataFrame:
     """Every row of ``df`` plus a boolean ``flag``: is it its key's newest?
 
-    Rows are joined back to the per-key newest ordering values.  The join key
-    is NULL-safe (NULL keys form one group, as in a window partition).  The
-    per-key side has one row per key, so a hot key is skew only on the row
-    side, which AQE's skew-join splitting handles for this join shape.
+    The per-key newest ordering values come from the map-side-limited
+    window above (narrow columns only); each row is joined back to them on
+    the NULL-safe key (NULL keys form one group, as in a window partition).
+    The per-key side has one row per key, so a hot key is skew only on the
+    row side, which AQE's skew-join handling splits for this join shape.
     """
     keys = list(keys)
     order = list(order)
-    # Join on plain equality of (value-or-placeholder, is-null) pairs: the
-    # NULL-safe match, with both sides partitioned by the same expressions.
-    types = {f.name: f.dataType for f in df.schema.fields}
-    norm = {}
-    for i, k in enumerate(keys):
-        placeholder = F.lit("") if isinstance(types[k], T.StringType) else F.lit(0).cast(types[k])
-        norm[f"_k{i}"] = F.coalesce(F.col(k), placeholder)
-        norm[f"_n{i}"] = F.col(k).isNull()
+    norm = _null_safe_keys(df, keys)
     left = df.withColumns(norm)
-    right = newest_order_keys(left, list(norm), order)
-    joined = left.join(right, on=list(norm), how="inner")
-    newest = F.struct(*[F.col(c) for c in order])
-    # Struct equality treats NULL fields as equal, so a NULL order_ts newest
-    # version still matches itself.
-    is_latest = F.coalesce(newest == F.col(LATEST), F.lit(False))
+    newest = latest_per_key(left.select(*norm, *order), list(norm), order).select(
+        *norm, F.struct(*[F.col(c) for c in order]).alias(LATEST)
+    )
+    joined = left.join(newest, on=list(norm), how="inner")
+    # Struct equality treats NULL fields as equal, so a newest version whose
+    # order_ts is NULL still matches itself.
+    is_latest = F.coalesce(F.struct(*[F.col(c) for c in order]) == F.col(LATEST), F.lit(False))
     return joined.select(*[F.col(c) for c in df.columns], is_latest.alias(flag))

@@ -120,11 +120,13 @@ def snapshot_diff(
     """
     keys = list(keys)
     compare = list(compare) if compare is not None else [c for c in new.columns if c not in keys]
-    o = old.select(*keys, F.struct(*compare).alias("_old"))
-    n = new.select(*keys, F.struct(*compare).alias("_new"))
+    # Both sides get their own key names: the versions often share lineage,
+    # and distinct names keep the self join unambiguous.
+    o = old.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*compare).alias("_old"))
+    n = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*compare).alias("_new"))
     cond = None
     for k in keys:
-        c = o[k].eqNullSafe(n[k])
+        c = F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}"))
         cond = c if cond is None else cond & c
     joined = o.join(n, cond, "full_outer")
     change = (
@@ -133,5 +135,5 @@ def snapshot_diff(
         .when(~F.col("_old").eqNullSafe(F.col("_new")), F.lit("changed"))
     )
     return joined.select(
-        *[F.coalesce(n[k], o[k]).alias(k) for k in keys], change.alias("change")
+        *[F.coalesce(F.col(f"_n_{k}"), F.col(f"_o_{k}")).alias(k) for k in keys], change.alias("change")
     ).filter(F.col("change").isNotNull())

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.operators.joins import broadcast_if_bounded
 from stratum.sources.tables import read_table
 
 MONEY = T.DecimalType(18, 2)
@@ -42,24 +41,11 @@ STATUS_NAMES = {"F": "completed", "P": "processing", "O": "cancelled"}
 FIELD_PRIORITIES = ("1-URGENT", "2-HIGH")
 PARTNER_PRIORITIES = ("3-MEDIUM",)
 
-# Nation and region are dimension tables of a fixed size (25 and 5 rows in
-# TPC-H); the bound is checked before they are broadcast.
-DIMENSION_ROW_BOUND = 10_000
-
-
-def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``c_custkey -> r_name``: customer ⋈ (nation ⋈ region)."""
+def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_nationkey -> r_name`` (nation ⋈ region, both tiny dimensions)."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    nation_region = nation.join(
-        broadcast_if_bounded(region, DIMENSION_ROW_BOUND), nation.n_regionkey == region.r_regionkey
-    ).select("n_nationkey", "r_name")
-    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return customer.join(
-        broadcast_if_bounded(nation_region, DIMENSION_ROW_BOUND),
-        customer.c_nationkey == nation_region.n_nationkey,
-        "left",
-    ).select("c_custkey", "r_name")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
 
 
 def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,10 +53,15 @@ def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    # customer is large at scale: a shuffled join that AQE may still turn into
-    # a broadcast when run-time statistics show it is small.
-    joined = orders.join(
-        customer_regions(spark, sf_dir), orders.o_custkey == F.col("c_custkey"), "left"
+    # Joins are ordered so each one's build side is as narrow as possible:
+    # customer shrinks to (custkey, nationkey) and nation ⋈ region to 25 rows.
+    # No broadcast hint: the planner broadcasts a side only when its size
+    # estimate is under spark.sql.autoBroadcastJoinThreshold (true for the
+    # dimension tables at any scale, for customer only while it is small);
+    # otherwise it plans a shuffled join and AQE re-plans from real sizes.
+    customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
+        nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     key = F.col("o_orderkey")
     order_no = F.when((key % REVISION_EVERY == 0) & (key > 0), key - 1).otherwise(key)
