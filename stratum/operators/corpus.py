@@ -23,10 +23,12 @@ def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Seque
     The whole text is scanned; the term list is a literal array, evaluated
     per row inside whole-stage code generation.
     """
-    lowered = F.lower(F.col(text_col))
     term_array = F.array(*[F.lit(t.lower()) for t in terms])
-    hits = F.filter(term_array, lambda t: lowered.contains(t))
-    return df.select(*id_cols, F.explode(hits).alias("term"))
+    # Lower-case once per row, outside the lambda (a lambda does not share
+    # subexpressions with its enclosing row).
+    lowered = df.select(*id_cols, F.lower(F.col(text_col)).alias("_lower_text"))
+    hits = F.filter(term_array, lambda t: F.col("_lower_text").contains(t))
+    return lowered.select(*id_cols, F.explode(hits).alias("term"))
 
 
 def link_audit(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:

@@ -20,7 +20,7 @@ import os
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,11 +75,13 @@ def write_snapshot(
     previous = latest_version(spark, root, table)
     version = 0 if previous is None else previous + 1
     path = _data_path(root, table, version)
-    writer = df.write.mode("overwrite").format(fmt)
+    # The row count is observed while the rows are written: no second job.
+    observed = Observation(f"rows_{table}_{version}")
+    writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
-    rows = spark.read.format(fmt).load(path).count()
+    rows = int(observed.get["rows"])
     stamp = written_at or _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
     log_row = spark.createDataFrame([(table, version, rows, stamp)], LOG_SCHEMA)
     log_row.coalesce(1).write.mode("append").parquet(_log_path(root, table))
@@ -92,17 +94,20 @@ def read_layer(
     layer: str,
     version: int | None = None,
     fmt: str = "parquet",
+    check: bool = True,
 ) -> DataFrame:
     """Read a layer table by name, case-insensitive, at ``version`` or the
-    latest one (S-9).  Unknown or never-written layers raise."""
+    latest one (S-9).  Unknown or never-written layers raise.  ``check=False``
+    skips the log lookup for a version the caller has just committed."""
     table = layer.lower()
     if version is None:
         version = latest_version(spark, root, table)
         if version is None:
             raise FileNotFoundError(f"layer {layer!r} has no committed version under {root}")
-    committed = table_versions(spark, root, table).filter(F.col("version") == version).limit(1).count()
-    if not committed:
-        raise FileNotFoundError(f"layer {layer!r} has no committed version {version}")
+    elif check:
+        committed = table_versions(spark, root, table).filter(F.col("version") == version).limit(1).count()
+        if not committed:
+            raise FileNotFoundError(f"layer {layer!r} has no committed version {version}")
     return spark.read.format(fmt).load(_data_path(root, table, version))
 
 
