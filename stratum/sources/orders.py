@@ -48,9 +48,15 @@ def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
 
 
-def order_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty order rows derived from the TPC-H-like tables (one per order)."""
-    orders = read_table(spark, sf_dir, "orders").select(
+def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """Dirty order rows derived from the TPC-H-like tables (one per order).
+
+    ``orders`` may be given instead of the ``orders`` table, e.g. a
+    streaming read of new order files; the dimensions stay static tables.
+    """
+    if orders is None:
+        orders = read_table(spark, sf_dir, "orders")
+    orders = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
     # Joins are ordered so each one's build side is as narrow as possible:
