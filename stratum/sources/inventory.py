@@ -42,6 +42,49 @@ def source_inventory(spark: SparkSession, sf_dir: str, names: Sequence[str] = TA
     return reduce(DataFrame.unionByName, parts)
 
 
+def file_rows(spark: SparkSession, path: str, fmt: str = "csv") -> int:
+    """Records in a file or folder, header excluded; a missing path is 0 (S-5)."""
+    try:
+        reader = spark.read.format(fmt)
+        if fmt == "csv":
+            reader = reader.option("header", True)
+        return reader.load(path).count()
+    except AnalysisException:
+        return 0
+
+
+def file_inventory(spark: SparkSession, files: dict[str, str], fmt: str = "csv") -> DataFrame:
+    """``(source, present, row_count)`` for named files of any format (S-7):
+    one count aggregate per present file, unioned; missing files give 0."""
+    parts = []
+    for name, path in files.items():
+        try:
+            reader = spark.read.format(fmt)
+            if fmt == "csv":
+                reader = reader.option("header", True)
+            df = reader.load(path)
+            parts.append(
+                df.agg(F.count(F.lit(1)).alias("row_count")).select(
+                    F.lit(name).alias("source"), F.lit(True).alias("present"), F.col("row_count")
+                )
+            )
+        except AnalysisException:
+            parts.append(spark.createDataFrame([(name, False, 0)], INVENTORY_SCHEMA))
+    if not parts:
+        return spark.createDataFrame([], INVENTORY_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_preview(spark: SparkSession, path: str, limit: int = 2) -> list[dict[str, str]]:
+    """First ``limit`` records of a CSV as text, NULL fields left out; a
+    missing file gives [] (S-6).  Only ``limit`` rows reach the driver."""
+    try:
+        df = spark.read.option("header", True).csv(path)
+    except AnalysisException:
+        return []
+    return [{k: v for k, v in row.asDict().items() if v is not None} for row in df.limit(limit).collect()]
+
+
 def source_preview(df: DataFrame, order_by: Sequence[str], limit: int = 2) -> DataFrame:
     """First ``limit`` rows in key order with every value as text.  A NULL
     stays NULL (a JSON rendering drops it, as ``to_json`` does)."""
