@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions import text as X
 from stratum.functions.rules import Rule, first_match
+from stratum.operators.joins import join_unique_side
 
 
 def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Sequence[str]) -> DataFrame:
@@ -50,7 +51,9 @@ def link_audit(pages: DataFrame, html_col: str = "html", url_col: str = "url") -
     target = X.link_target(F.col("link"), kind, F.col("_page_path"))
     classified = links.select("page_id", "link", kind.alias("link_kind"), target.alias("_target"))
     known = pages.select(page_path.alias("_known")).distinct()
-    joined = classified.join(known, classified["_target"] == known["_known"], "left")
+    # A popular target (say "/") can hold a large share of all links: the
+    # join stays splittable for AQE on the link side.
+    joined = join_unique_side(classified, known, "_target", "_known", "left")
     broken = (
         F.when(F.col("link_kind") == "machine_path", F.lit(True))
         .when(F.col("link_kind").isin("route", "local") & F.col("_target").isNotNull(), F.col("_known").isNull())

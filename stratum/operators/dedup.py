@@ -71,8 +71,13 @@ def flag_latest(
     order = list(order)
     norm = _null_safe_keys(df, keys)
     left = df.withColumns(norm)
-    newest = latest_per_key(left.select(*norm, *order), list(norm), order).select(
-        *norm, F.struct(*[F.col(c) for c in order]).alias(LATEST)
+    # The window is partitioned by the raw keys and the join uses the
+    # (value, is-null) pairs: the per-key side then gets a shuffle of its own
+    # (narrow, one row per key) right under the join, so both join inputs are
+    # plain shuffle stages and AQE can split a hot key's partition on the row
+    # side instead of sending it to one task.
+    newest = latest_per_key(df.select(*keys, *order), keys, order).select(
+        *[expr.alias(name) for name, expr in norm.items()], F.struct(*[F.col(c) for c in order]).alias(LATEST)
     )
     joined = left.join(newest, on=list(norm), how="inner")
     # Struct equality treats NULL fields as equal, so a newest version whose

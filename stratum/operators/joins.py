@@ -1,28 +1,29 @@
-"""Join helpers: broadcast only behind a checked size bound, null-safe keys."""
+"""Join helpers for a row side with hot keys against a side unique per key."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast only when it has at most ``max_rows`` rows.
+def join_unique_side(
+    rows: DataFrame,
+    unique: DataFrame,
+    rows_key: str,
+    unique_key: str,
+    how: str = "left",
+) -> DataFrame:
+    """Join many ``rows`` to a side with one row per key, skew-splittable.
 
-    The check reads at most ``max_rows + 1`` rows, so it is cheap for the
-    small dimension tables it is meant for.  Beyond the bound the planner
-    keeps a shuffled join (and AQE may still broadcast from run-time sizes).
+    The unique side usually comes out of an aggregate already partitioned by
+    its key, so Spark would join it without a shuffle of its own; AQE can then
+    not split a hot key of the row side (its skew-join rule needs a shuffle
+    right under both join inputs).  Joining on ``(hash(key), key)`` gives the
+    unique side a narrow shuffle of its own, and a key holding a third of all
+    rows is split over many tasks instead of landing in one.  The hash is part
+    of the equality, so the result is the plain equi-join on the key.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
-def null_safe_keys(left: DataFrame, right: DataFrame, keys: list[str] | tuple[str, ...]) -> Column:
-    """``left.k <=> right.k`` for all keys: NULL keys match each other."""
-    cond: Column | None = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    assert cond is not None
-    return cond
+    r = rows.withColumn("_jh", F.xxhash64(F.col(rows_key)))
+    u = unique.withColumn("_uh", F.xxhash64(F.col(unique_key)))
+    cond = (r["_jh"] == u["_uh"]) & (r[rows_key] == u[unique_key])
+    return r.join(u, cond, how).drop("_jh", "_uh")

@@ -45,3 +45,57 @@ def test_gold_plan_has_no_full_window(plans):
     # every Window in gold's plan sits on top of a group limit
     p = plans["gold_region_kpis"]
     assert p.count("WindowGroupLimit") >= 2
+
+
+def _final_plan(df) -> str:
+    df.collect()  # runs this DataFrame's own adaptive plan
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture()
+def small_skew_thresholds(spark):
+    keys = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_hot_key_is_split_when_flagging_versions(spark, small_skew_thresholds):
+    from pyspark.sql import functions as F
+
+    from stratum.operators import dedup
+
+    df = spark.range(0, 300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("K"), (F.col("id") % 50000).cast("string"))).alias("order_id"),
+        (F.col("id") % 1000).cast("timestamp").cast("timestamp_ntz").alias("order_ts"),
+        F.col("id").alias("source_rank"),
+    )
+    out = dedup.flag_latest(df, ["order_id"], ["order_ts", "source_rank"])
+    assert "SortMergeJoin(skew=true)" in _final_plan(out)
+
+
+def test_hot_link_target_is_split(spark, small_skew_thresholds):
+    from pyspark.sql import functions as F
+
+    from stratum.operators.joins import join_unique_side
+
+    rows = spark.range(0, 300000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("/")).otherwise(F.concat(F.lit("/p"), (F.col("id") % 40000).cast("string"))).alias("t"),
+        F.col("id"),
+    )
+    known = rows.select(F.col("t").alias("k")).distinct()
+    out = join_unique_side(rows, known, "t", "k", "left")
+    assert "SortMergeJoin(skew=true)" in _final_plan(out)
+    assert out.count() == 300000
