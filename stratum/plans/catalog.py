@@ -350,7 +350,9 @@ ALLOWED_EVENT_TYPES = ("view", "click", "signup", "purchase")
 
 
 def daily_event_counts(spark, sf_dir):
-    return corpus.daily_counts(read_table(spark, sf_dir, "events"), ALLOWED_EVENT_TYPES)
+    """Daily counters; the day is shown as ISO text (yyyy-MM-dd)."""
+    counts = corpus.daily_counts(read_table(spark, sf_dir, "events"), ALLOWED_EVENT_TYPES)
+    return counts.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 
 
 QUERIES: dict[str, Query] = {

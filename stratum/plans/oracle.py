@@ -400,7 +400,7 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 """
     allowed = ", ".join(_sql_str(t) for t in C.ALLOWED_EVENT_TYPES)
     q["daily_event_counts"] = (
-        "SELECT CAST(ts AS DATE) AS day, event_type, CAST(count(*) AS BIGINT) AS events "
+        "SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, event_type, CAST(count(*) AS BIGINT) AS events "
         f"FROM events WHERE event_type IN ({allowed}) GROUP BY CAST(ts AS DATE), event_type"
     )
     q["banned_term_scan"] = _term_scan()
