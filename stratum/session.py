@@ -56,6 +56,11 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_conf(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        # On a cluster, coalesce shuffle partitions to the advisory size
+        # (~128 MB per task) rather than to the core count; in local mode
+        # the data is small and the cores are the limit.
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
     ensure_checkpoint_dir(spark)
     return spark
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.upsert import keyed_upsert, upsert_changes
+from stratum.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -83,6 +84,7 @@ def upsert_into_table(spark: SparkSession, table: str, source: DataFrame, keys:
     """
     if source.limit(1).count() == 0:
         return 0
+    ensure_checkpoint_dir(spark)
     target = spark.table(table)
     stamp = F.current_timestamp().cast("timestamp_ntz")
     affected = upsert_changes(target, source, keys).count()

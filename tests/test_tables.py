@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratum.operators.upsert import DuplicateKeyError, keyed_upsert, upsert_changes
-from stratum.plans.pipeline import quality_report_json, read_published, run_pipeline, validation_report
+from stratum.plans.pipeline import quality_report_json, read_published, run_pipeline, table_registry, validation_report
 from stratum.sinks import snapshots
 
 KPI = "region string, gross_revenue_usd double, accepted_orders bigint, completed_orders bigint, pipeline_orders bigint, distinct_customers bigint"
@@ -115,3 +115,5 @@ def test_pipeline_run_publishes_layers(spark, fixture_source, scratch):
     assert read_published(spark, scratch, "gold", version=0).count() == 5
     with pytest.raises(KeyError):
         read_published(spark, scratch, "platinum")
+    reg = {r.table_name: (r.version, r.rows) for r in table_registry(spark, scratch).collect()}
+    assert reg == {"bronze": (1, 12), "staged": (1, 12), "gold": (1, 5)}
