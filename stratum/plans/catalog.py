@@ -192,6 +192,11 @@ def gold_contract(spark, sf_dir):
     return contract_violations(_gold(spark, sf_dir), "gold_region_kpis")
 
 
+def silver_contract(spark, sf_dir):
+    """Silver's rows checked against its column contract (D-3)."""
+    return contract_violations(_silver(spark, sf_dir), "silver_orders")
+
+
 def silver_snapshot_diff(spark, sf_dir):
     """Silver of the earlier load against silver now: keys added, removed
     or changed (D-4)."""
@@ -375,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "layer_reconciliation": layer_reconciliation,
     "validation_cases": validation_cases,
     "gold_contract": gold_contract,
+    "silver_contract": silver_contract,
     "snapshot_diff": silver_snapshot_diff,
     "source_inventory": source_inventory_q,
     "source_preview": source_preview_q,

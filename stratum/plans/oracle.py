@@ -206,18 +206,24 @@ WHERE violation IS NOT NULL
 """
 
 
-def _gold_contract() -> str:
+def _contract(table: str, source_cte: str) -> str:
+    """Declared contract rows with NOT NULL violations counted on the data
+    (the declared types are the expected Spark types)."""
     rows = []
-    for name, declared, nullable in CONTRACTS["gold_region_kpis"]:
-        nulls = "CAST(0 AS BIGINT)" if nullable else f"CAST(count_if({name} IS NULL) AS BIGINT)"
+    for name, declared, nullable in CONTRACTS[table]:
+        nulls = "CAST(count_if(FALSE) AS BIGINT)" if nullable else f"CAST(count_if({name} IS NULL) AS BIGINT)"
         rows.append(
-            f"SELECT 'gold_region_kpis' AS table_name, '{name}' AS column_name, '{declared}' AS declared_type, "
+            f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{declared}' AS declared_type, "
             f"'{declared}' AS actual_type, {str(nullable).upper()} AS nullable, TRUE AS type_ok, "
-            f"{nulls} AS null_violations FROM gold"
+            f"{nulls} AS null_violations FROM {source_cte}"
         )
     return with_medallion("\nUNION ALL\n".join(rows))
 
 
+def _gold_contract() -> str:
+    return _contract("gold_region_kpis", "gold")
+
+
 def _validation_cases() -> str:
     checks = [
         "count_if(rejection_reason IS NULL AND customer_id IS NULL)",
@@ -345,6 +351,7 @@ SELECT 'silver_rows_are_newest', CAST(0 AS BIGINT),
     )
     q["validation_cases"] = _validation_cases()
     q["gold_contract"] = _gold_contract()
+    q["silver_contract"] = _contract("silver_orders", "silver")
     q["snapshot_diff"] = (
         f"WITH {medallion_ctes()},\n{medallion_ctes('e_', EARLIER)}\n"
         """

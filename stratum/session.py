@@ -19,6 +19,9 @@ REQUIRED_CONF = {
     # Bad casts raise instead of silently producing NULL; parsing that must be
     # lenient uses try_* functions explicitly.
     "spark.sql.ansi.enabled": "true",
+    # ``row_number() ... = 1`` must plan a partial (map-side) group limit: it
+    # is what keeps a hot key from reaching one task (see operators/dedup.py).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 # Settings for throughput at scale: adaptive re-planning coalesces small

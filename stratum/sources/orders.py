@@ -121,16 +121,26 @@ BLANK_TO_NULL = ("customer_id", "region")
 _NO_NULL_TOKEN = "\u0000<no-null>\u0000"
 
 
-def read_order_csv(spark: SparkSession, path: str, strict_amount: bool = True) -> DataFrame:
+def read_order_csv(
+    spark: SparkSession,
+    path: str,
+    strict_amount: bool = True,
+    rank_column: str | None = None,
+) -> DataFrame:
     """Scan CSV order files (header, UTF-8) into the order-source shape.
 
     ``strict_amount`` keeps the contract that a malformed amount stops the run
     (ANSI cast); with ``False`` it becomes NULL and passes the amount rule, as
-    a NULL amount does.  ``source_rank`` is the arrival order within the scan:
-    ``monotonically_increasing_id`` preserves file order inside a split.
+    a NULL amount does.  ``source_rank`` is the arrival order: a sequence
+    column of the file when ``rank_column`` names one (stable under any
+    re-split), else ``monotonically_increasing_id``, which keeps file order
+    inside a split and is repeatable for the same files and split size.
     """
+    schema = CSV_SCHEMA
+    if rank_column:
+        schema = T.StructType(CSV_SCHEMA.fields + [T.StructField(rank_column, T.LongType())])
     raw = (
-        spark.read.schema(CSV_SCHEMA)
+        spark.read.schema(schema)
         .option("header", True)
         .option("encoding", "UTF-8")
         .option("nullValue", _NO_NULL_TOKEN)
@@ -140,7 +150,8 @@ def read_order_csv(spark: SparkSession, path: str, strict_amount: bool = True) -
     cols = []
     for name in SOURCE_COLUMNS:
         if name == "source_rank":
-            cols.append(F.monotonically_increasing_id().alias("source_rank"))
+            rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
+            cols.append(rank.cast("bigint").alias("source_rank"))
         elif name in BLANK_TO_NULL:
             cols.append(F.nullif(F.col(name), F.lit("")).alias(name))
         elif name == "amount":

@@ -222,3 +222,18 @@ def test_hot_key_holding_a_third_of_rows(spark):
     assert m.silver_rows == 20000 + 1
     newest_hot = medallion.silver(b).filter(F.col("order_id") == "HOT").first()
     assert newest_hot.source_rank == 29997
+
+
+def test_csv_rank_column_is_used(spark, scratch):
+    import os
+
+    from stratum.sources.orders import read_order_csv
+
+    p = os.path.join(scratch, "ranked.csv")
+    with open(p, "w") as fh:
+        fh.write("order_id,customer_id,region,channel,status,amount,currency,order_ts,seq\n")
+        fh.write("A,C,R,web,completed,1.00,USD,2026-03-14T09:00:00Z,20\n")
+        fh.write("A,C,R,web,completed,2.00,USD,2026-03-14T09:00:00Z,10\n")
+    src = read_order_csv(spark, p, rank_column="seq")
+    silver = medallion.silver(medallion.bronze(src)).collect()
+    assert [(r.source_rank, r.amount) for r in silver] == [(20, Decimal("1.00"))]
