@@ -58,6 +58,7 @@ def flag_latest(
     keys: Sequence[str],
     order: Sequence[str],
     flag: str = "is_latest",
+    versions: DataFrame | None = None,
 ) -> DataFrame:
     """Every row of ``df`` plus a boolean ``flag``: is it its key's newest?
 
@@ -66,6 +67,10 @@ def flag_latest(
     the NULL-safe key (NULL keys form one group, as in a window partition).
     The per-key side has one row per key, so a hot key is skew only on the
     row side, which AQE's skew-join handling splits for this join shape.
+
+    ``versions`` may supply the ``keys + order`` columns of every row of
+    ``df`` from a cheaper plan (e.g. a table ``df`` was derived from by
+    row-preserving lookups); by default they are taken from ``df``.
     """
     keys = list(keys)
     order = list(order)
@@ -76,7 +81,8 @@ def flag_latest(
     # (narrow, one row per key) right under the join, so both join inputs are
     # plain shuffle stages and AQE can split a hot key's partition on the row
     # side instead of sending it to one task.
-    newest = latest_per_key(df.select(*keys, *order), keys, order).select(
+    version_rows = (versions if versions is not None else df).select(*keys, *order)
+    newest = latest_per_key(version_rows, keys, order).select(
         *[expr.alias(name) for name, expr in norm.items()], F.struct(*[F.col(c) for c in order]).alias(LATEST)
     )
     joined = left.join(newest, on=list(norm), how="inner")

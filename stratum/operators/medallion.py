@@ -7,8 +7,9 @@
   bronze rows, failures included, so a newest version that fails a rule
   still masks an older valid one (the order leaves silver).
 * ``split`` gives the two disjoint halves (F-1, F-2, U-2).
-* ``silver`` computes accepted rows straight from bronze with one map-side
-  combined aggregate; it equals ``split(stage(...))[0]``.
+* ``silver`` computes accepted rows straight from bronze - the newest version
+  per key, limited map side before its one shuffle - and equals
+  ``split(stage(...))[0]`` without staging the rejected rows.
 * ``gold`` aggregates silver into one KPI row per region (A-1..A-6).
 """
 
@@ -69,10 +70,13 @@ def bronze(source: DataFrame, ingested_at: str | _dt.datetime | None = None) ->
     return source.withColumn("ingested_at", stamp).select(*BRONZE_COLUMNS)
 
 
-def stage(bronze_df: DataFrame, spec: StageSpec = ORDER_SPEC) -> DataFrame:
-    """Bronze rows with ``quality_issue``, ``is_latest`` and ``rejection_reason``."""
+def stage(bronze_df: DataFrame, spec: StageSpec = ORDER_SPEC, versions: DataFrame | None = None) -> DataFrame:
+    """Bronze rows with ``quality_issue``, ``is_latest`` and ``rejection_reason``.
+
+    ``versions`` optionally gives the key and version columns of every bronze
+    row from a cheaper plan (see ``flag_latest``)."""
     labelled = bronze_df.withColumn("quality_issue", first_match(spec.rules))
-    flagged = flag_latest(labelled, spec.keys, spec.version)
+    flagged = flag_latest(labelled, spec.keys, spec.version, versions=versions)
     return flagged.withColumn(
         "rejection_reason",
         reason_precedence(F.col("quality_issue"), F.col("is_latest"), spec.stale_label),
@@ -101,18 +105,18 @@ def silver_columns(df: DataFrame) -> DataFrame:
 def silver(bronze_df: DataFrame, spec: StageSpec = ORDER_SPEC) -> DataFrame:
     """Accepted rows: the newest version of each key, if it breaks no rule.
 
-    One aggregate keeps the newest version per key (partial aggregation
-    before the shuffle), then a filter drops keys whose newest version fails.
-    No join back to bronze is needed for the accepted side.
+    ``row_number() ... = 1`` keeps the newest version per key (a partial
+    group limit runs before the shuffle), then a filter drops keys whose
+    newest version fails.  No join back to bronze is needed for this side.
     """
     labelled = bronze_df.withColumn("quality_issue", first_match(spec.rules))
     newest = latest_per_key(labelled, spec.keys, spec.version)
     return silver_columns(newest.filter(F.col("quality_issue").isNull()))
 
 
-def rejected(bronze_df: DataFrame, spec: StageSpec = ORDER_SPEC) -> DataFrame:
+def rejected(bronze_df: DataFrame, spec: StageSpec = ORDER_SPEC, versions: DataFrame | None = None) -> DataFrame:
     """Rejected rows with their reason (the persisted quarantine table, D-1)."""
-    return split(stage(bronze_df, spec))[1]
+    return split(stage(bronze_df, spec, versions))[1]
 
 
 # Gold KPIs, as SQL aggregate text so that the same definitions serve the

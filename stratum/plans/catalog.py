@@ -20,7 +20,7 @@ from stratum.operators.medallion import StageSpec
 from stratum.operators.upsert import keyed_upsert
 from stratum.sinks.snapshots import snapshot_diff
 from stratum.sources.inventory import source_inventory, source_preview
-from stratum.sources.orders import order_source
+from stratum.sources.orders import order_source, order_versions
 from stratum.sources.tables import read_table
 
 # Fixed parameters of the registered queries (results must be repeatable).
@@ -51,7 +51,9 @@ def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.stage(_bronze(spark, sf_dir))
+    # Version columns come straight from orders: the newest-version side of
+    # staging then needs no dimension joins.
+    return medallion.stage(_bronze(spark, sf_dir), versions=order_versions(spark, sf_dir))
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +73,7 @@ def silver_orders(spark, sf_dir):
 
 
 def rejected_orders(spark, sf_dir):
-    return presentable(medallion.rejected(_bronze(spark, sf_dir)))
+    return presentable(medallion.split(_staged(spark, sf_dir))[1])
 
 
 def gold_region_kpis(spark, sf_dir):
@@ -91,7 +93,7 @@ def rejection_reasons(spark, sf_dir):
 
 
 def rejected_preview(spark, sf_dir):
-    rej = medallion.rejected(_bronze(spark, sf_dir))
+    rej = medallion.split(_staged(spark, sf_dir))[1]
     return presentable(
         reports.preview(
             rej,

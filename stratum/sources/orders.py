@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.sources.tables import read_table
+from stratum.operators.joins import broadcast_if_bounded
+from stratum.sources.tables import read_table, table_path
 
 MONEY = T.DecimalType(18, 2)
 
@@ -41,11 +42,18 @@ STATUS_NAMES = {"F": "completed", "P": "processing", "O": "cancelled"}
 FIELD_PRIORITIES = ("1-URGENT", "2-HIGH")
 PARTNER_PRIORITIES = ("3-MEDIUM",)
 
+# Nation and region are fixed-size dimensions (25 and 5 rows at every TPC-H
+# scale); they are broadcast after a once-per-session check of this bound.
+DIMENSION_ROW_BOUND = 10_000
+
+
 def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_nationkey -> r_name`` (nation ⋈ region, both tiny dimensions)."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
+    region = broadcast_if_bounded(region, DIMENSION_ROW_BOUND, table_path(sf_dir, "region"))
+    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
+    return broadcast_if_bounded(joined, DIMENSION_ROW_BOUND, table_path(sf_dir, "nation"))
 
 
 def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
@@ -61,16 +69,14 @@ def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = No
     )
     # Joins are ordered so each one's build side is as narrow as possible:
     # customer shrinks to (custkey, nationkey) and nation ⋈ region to 25 rows.
-    # No broadcast hint: the planner broadcasts a side only when its size
-    # estimate is under spark.sql.autoBroadcastJoinThreshold (true for the
-    # dimension tables at any scale, for customer only while it is small);
-    # otherwise it plans a shuffled join and AQE re-plans from real sizes.
+    # Customer gets no hint: the planner broadcasts it only while its size
+    # estimate is under spark.sql.autoBroadcastJoinThreshold, otherwise it
+    # plans a shuffled join (and AQE re-plans from run-time sizes).
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left").join(
         nation_regions(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
     )
     key = F.col("o_orderkey")
-    order_no = F.when((key % REVISION_EVERY == 0) & (key > 0), key - 1).otherwise(key)
     amount = F.col("o_totalprice").cast(MONEY)
     status = F.col("o_orderstatus")
     status_name = F.when(status == "F", F.lit(STATUS_NAMES["F"])).when(
@@ -83,7 +89,7 @@ def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = No
         .otherwise(F.lit("web"))
     )
     return joined.select(
-        F.concat(F.lit("O-"), order_no.cast("string")).alias("order_id"),
+        _order_id(key).alias("order_id"),
         F.when(key % NULL_CUSTOMER_EVERY == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("C-"), F.col("o_custkey").cast("string")))
         .alias("customer_id"),
@@ -94,9 +100,32 @@ def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = No
         status_name.alias("status"),
         F.when(key % NEGATIVE_AMOUNT_EVERY == 0, -amount).otherwise(amount).cast(MONEY).alias("amount"),
         F.lit("USD").alias("currency"),
+        *_version_columns(key),
+    )
+
+
+def _order_id(key):
+    revised = F.when((key % REVISION_EVERY == 0) & (key > 0), key - 1).otherwise(key)
+    return F.concat(F.lit("O-"), revised.cast("string"))
+
+
+def _version_columns(key):
+    return [
         F.col("o_orderdate").cast("timestamp_ntz").alias("order_ts"),
         key.cast("bigint").alias("source_rank"),
-    )
+    ]
+
+
+def order_versions(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
+    """``(order_id, order_ts, source_rank)`` of every source row, read from
+    ``orders`` alone.  The dimension lookups of ``order_source`` neither add
+    nor drop rows (customer and nation keys are unique), so these are exactly
+    the version columns of the source; computing versions from them spares
+    the newest-version side the joins."""
+    if orders is None:
+        orders = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    return orders.select(_order_id(key).alias("order_id"), *_version_columns(key))
 
 
 # Schema of the CSV order envelope: every field is read as text first so that
