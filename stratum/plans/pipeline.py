@@ -128,7 +128,7 @@ def quality_report_json(result: RunResult) -> str:
             "rejectedReasons": result.reasons,
         },
         indent=2,
-        default=str,
+        default=reports.json_value,
     )
 
 

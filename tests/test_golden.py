@@ -126,3 +126,10 @@ def test_rules_from_json_config(spark, bronze):
     field_rules = tuple(r for r in rules if r.fails is not None)
     spec = medallion.StageSpec(rules=field_rules)
     assert medallion.silver(bronze, spec).count() == 8
+
+
+def test_preview_records_render_json_values(bronze):
+    recs = reports.preview_records(bronze, ["order_id", "source_rank"], 2)
+    assert recs[0]["order_ts"] == "2026-03-14T09:00:00"
+    assert recs[0]["amount"] == 180.5 and isinstance(recs[0]["amount"], float)
+    assert len(recs) == 2
