@@ -38,6 +38,13 @@ SCALE_CONF = {
 }
 
 
+# Initial shuffle partition count on a cluster when none is configured: AQE
+# starts from this many and coalesces them to ~128 MB each, so one shuffle of
+# up to ~4 TB keeps tasks near the advisory size (larger ones spill, never
+# fail), while small shuffles collapse to a few tasks.
+CLUSTER_INITIAL_SHUFFLE_PARTITIONS = 32768
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "stratum",
@@ -64,6 +71,12 @@ def build_session(
         # (~128 MB per task) rather than to the core count; in local mode
         # the data is small and the cores are the limit.
         spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+        user_set = shuffle_partitions or spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
+        if not user_set and spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
+            spark.conf.set(
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS),
+            )
     ensure_checkpoint_dir(spark)
     return spark
 
