@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -76,7 +77,7 @@ def write_snapshot(
     version = 0 if previous is None else previous + 1
     path = _data_path(root, table, version)
     # The row count is observed while the rows are written: no second job.
-    observed = Observation(f"rows_{table}_{version}")
+    observed = Observation(f"rows_{table}_{version}_{uuid.uuid4().hex[:8]}")
     writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
