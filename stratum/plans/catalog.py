@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.rules import Rule
-from stratum.operators import checks, corpus, medallion, reports
+from stratum.operators import checks, corpus, dedup, medallion, reports
 from stratum.operators.contracts import contract_violations
 from stratum.operators.medallion import StageSpec
 from stratum.operators.upsert import keyed_upsert
@@ -168,6 +168,12 @@ def gold_bounded_read(spark, sf_dir):
     )
 
 
+def order_version_ranks(spark, sf_dir):
+    """Every source row's exact version rank within its order (W-2), hot
+    orders included (range-partitioned ranking, see dedup.version_rank)."""
+    return dedup.version_rank(order_versions(spark, sf_dir), ["order_id"], ["order_ts", "source_rank"])
+
+
 def masked_orders(spark, sf_dir):
     return reports.masked_keys(_staged(spark, sf_dir))
 
@@ -378,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "gold_upsert": gold_upsert,
     "gold_bounded_read": gold_bounded_read,
     "masked_orders": masked_orders,
+    "order_version_ranks": order_version_ranks,
     "rejection_impact": rejection_impact,
     "layer_reconciliation": layer_reconciliation,
     "validation_cases": validation_cases,

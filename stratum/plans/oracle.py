@@ -323,6 +323,9 @@ def oracle_sql() -> dict[str, str]:
         "CAST(count_if(NOT is_latest AND quality_issue IS NULL) AS BIGINT) AS valid_older_versions "
         "FROM reasoned GROUP BY order_id) WHERE newest_issue IS NOT NULL AND valid_older_versions > 0"
     )
+    q["order_version_ranks"] = with_medallion(
+        "SELECT order_id, order_ts, source_rank, CAST(row_rank AS INTEGER) AS row_rank FROM ranked"
+    )
     q["rejection_impact"] = with_medallion(
         "SELECT region, rejection_reason, CAST(count(*) AS BIGINT) AS rejected_rows, "
         "CAST(sum(amount) AS DOUBLE) AS rejected_amount_usd FROM rejected GROUP BY region, rejection_reason"

@@ -237,3 +237,28 @@ def test_csv_rank_column_is_used(spark, scratch):
     src = read_order_csv(spark, p, rank_column="seq")
     silver = medallion.silver(medallion.bronze(src)).collect()
     assert [(r.source_rank, r.amount) for r in silver] == [(20, Decimal("1.00"))]
+
+
+def test_version_rank_matches_row_number_with_a_hot_key(spark):
+    from pyspark.sql import Window
+
+    from stratum.operators.dedup import version_rank
+
+    df = spark.range(0, 20000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+        .when(F.col("id") % 101 == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("K"), (F.col("id") % 3000).cast("string")))
+        .alias("order_id"),
+        F.when(F.col("id") % 7 == 0, F.lit(None).cast("timestamp_ntz"))
+        .otherwise((F.col("id") % 500).cast("timestamp").cast("timestamp_ntz"))
+        .alias("order_ts"),
+        F.col("id").alias("source_rank"),
+    )
+    got = version_rank(df, ["order_id"], ["order_ts", "source_rank"], partitions=16)
+    w = Window.partitionBy("order_id").orderBy(F.col("order_ts").desc_nulls_last(), F.col("source_rank").desc())
+    want = df.withColumn("row_rank", F.row_number().over(w).cast("int"))
+    assert got.count() == 20000
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the hot key really was spread over several range partitions
+    parts = df.repartitionByRange(16, "order_id", F.col("order_ts").desc_nulls_last()).filter(F.col("order_id") == "HOT")
+    assert parts.select(F.spark_partition_id()).distinct().count() > 1
