@@ -5,8 +5,10 @@
    once, partitioned by layer: ``layer=silver`` is the silver table and
    ``layer=rejected`` the quarantine table (job 2);
 3. gold is aggregated from the silver partition and written (job 3);
-4. every report number comes from one aggregate over the written staged
-   rows (job 4), then the small report tables are written.
+4. the three versions are committed together by one log append, so readers
+   see the whole run or none of it;
+5. every report number comes from one aggregate over the written staged
+   rows (job 4).
 
 Writing a layer and reading it back cuts the lineage, so a lost executor
 only recomputes work since the last written table.  Output paths come from
@@ -56,22 +58,27 @@ def run_pipeline(
     ingested_at: str | _dt.datetime | None = None,
 ) -> RunResult:
     spark = source.sparkSession
-    versions: dict[str, int] = {}
+    committed = snapshots.latest_versions(spark, root)
+    versions = {t: committed.get(t, -1) + 1 for t in ("bronze", STAGED, "gold")}
+    rows: dict[str, int] = {}
 
-    versions["bronze"] = snapshots.write_snapshot(medallion.bronze(source, ingested_at), root, "bronze")
+    rows["bronze"] = snapshots.write_version(medallion.bronze(source, ingested_at), root, "bronze", versions["bronze"])
     bronze = snapshots.read_layer(spark, root, "bronze", versions["bronze"], check=False)
 
     staged = medallion.stage(bronze, spec).withColumn(
         "layer", F.when(F.col("rejection_reason").isNull(), F.lit("silver")).otherwise(F.lit("rejected"))
     )
-    versions[STAGED] = snapshots.write_snapshot(staged, root, STAGED, partition_by=["layer"])
+    rows[STAGED] = snapshots.write_version(staged, root, STAGED, versions[STAGED], partition_by=["layer"])
     staged = snapshots.read_layer(spark, root, STAGED, versions[STAGED], check=False)
 
     silver = staged.filter(F.col("layer") == "silver")
     # Gold has one row per region: one output file, gathered by a shuffle of
     # those few rows so the aggregation upstream keeps its parallelism.
     gold = medallion.gold(medallion.silver_columns(silver)).repartition(1)
-    versions["gold"] = snapshots.write_snapshot(gold, root, "gold")
+    rows["gold"] = snapshots.write_version(gold, root, "gold", versions["gold"])
+
+    # The run's three versions become visible together, with one log append.
+    snapshots.commit(spark, root, [(t, versions[t], rows[t]) for t in ("bronze", STAGED, "gold")])
 
     # One aggregate over the written staged rows gives every report number.
     counts = reports.staged_counts(staged, spec.rules, with_reasons=True).first().asDict()

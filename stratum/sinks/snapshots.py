@@ -1,13 +1,13 @@
 """Versioned layer tables on any Spark file system (K-1, S-9, S-10, D-4).
 
-A table is a folder with two parts:
-
-* ``data/v=<n>/`` - the rows of version ``n``, written by one Spark job;
-* ``log/`` - one row per committed version ``(version, rows, written_at)``,
-  appended only after the data job has committed.
+Under a root folder each table has ``<table>/data/v=<n>/`` - the rows of
+version ``n``, written by one Spark job - and the root has one commit log,
+``log/``, with a row ``(table_name, version, rows, written_at)`` per
+committed version, appended only after the data jobs have committed.
 
 A version exists once its log row exists, so a crashed or retried write is
-never visible; readers take the highest logged version.  History is kept,
+never visible; readers take the highest logged version.  Several tables can
+be committed by one log append, so a run's layers appear together.  History is kept,
 which gives time travel (``read_layer(..., version=n)``) and version diffs.
 ``fmt`` selects the writer format, so a table format with its own log can
 be dropped in.  One writer per table at a time.
@@ -41,51 +41,83 @@ def _data_path(root: str, table: str, version: int) -> str:
     return os.path.join(root, table, "data", f"v={version}")
 
 
-def _log_path(root: str, table: str) -> str:
-    return os.path.join(root, table, "log")
+def _log_path(root: str) -> str:
+    return os.path.join(root, "log")
 
 
-def table_versions(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The committed versions of ``table`` (empty when there are none)."""
+def commit_log(spark: SparkSession, root: str) -> DataFrame:
+    """Every committed version of every table under ``root``."""
     try:
-        return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root, table))
+        return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
     except AnalysisException:
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
+def table_versions(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The committed versions of ``table`` (empty when there are none)."""
+    return commit_log(spark, root).filter(F.col("table_name") == table)
+
+
+def latest_versions(spark: SparkSession, root: str) -> dict[str, int]:
+    """Highest committed version per table, from one small aggregate."""
+    rows = commit_log(spark, root).groupBy("table_name").agg(F.max("version").alias("v")).collect()
+    return {r["table_name"]: int(r["v"]) for r in rows}
+
+
 def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
     """Highest committed version, or None (S-10)."""
-    row = table_versions(spark, root, table).agg(F.max("version").alias("v")).first()
-    return None if row is None or row["v"] is None else int(row["v"])
+    return latest_versions(spark, root).get(table)
 
 
-def write_snapshot(
+def write_version(
     df: DataFrame,
     root: str,
     table: str,
+    version: int,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-    written_at: _dt.datetime | None = None,
 ) -> int:
-    """Write ``df`` as the next version of ``table``; return the version.
-
-    The data job commits first (its output committer makes it all-or-nothing
-    and safe under task retries); the log row is appended afterwards.
-    """
-    spark = df.sparkSession
-    previous = latest_version(spark, root, table)
-    version = 0 if previous is None else previous + 1
-    path = _data_path(root, table, version)
-    # The row count is observed while the rows are written: no second job.
+    """Write ``df`` as (uncommitted) version ``version`` of ``table``; return
+    its row count, observed during the write (no second job).  The output
+    committer makes the job all-or-nothing and safe under task retries."""
+    if table == "log":
+        raise ValueError("'log' is the commit log's folder, not a table name")
     observed = Observation(f"rows_{table}_{version}_{uuid.uuid4().hex[:8]}")
     writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
-    rows = int(observed.get["rows"])
+    writer.save(_data_path(root, table, version))
+    return int(observed.get["rows"])
+
+
+def commit(
+    spark: SparkSession,
+    root: str,
+    entries: Sequence[tuple[str, int, int]],
+    written_at: _dt.datetime | None = None,
+) -> None:
+    """Make written versions visible: one append of ``(table, version, rows)``
+    rows to the commit log."""
     stamp = written_at or _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
-    log_row = spark.createDataFrame([(table, version, rows, stamp)], LOG_SCHEMA)
-    log_row.coalesce(1).write.mode("append").parquet(_log_path(root, table))
+    rows = [(t, v, n, stamp) for t, v, n in entries]
+    spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(root))
+
+
+def write_snapshot(
+    df: DataFrame,
+    root: str,
+    table: str,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+    written_at: _dt.datetime | None = None,
+) -> int:
+    """Write ``df`` as the next version of ``table`` and commit it; return
+    the version.  The data job finishes before the log row is appended."""
+    spark = df.sparkSession
+    previous = latest_version(spark, root, table)
+    version = 0 if previous is None else previous + 1
+    rows = write_version(df, root, table, version, fmt, partition_by)
+    commit(spark, root, [(table, version, rows)], written_at)
     return version
 
 
