@@ -75,6 +75,28 @@ def file_inventory(spark: SparkSession, files: dict[str, str], fmt: str = "csv")
     return reduce(DataFrame.unionByName, parts)
 
 
+PACK_SCHEMA = T.StructType(
+    [T.StructField("metric", T.StringType(), False), T.StructField("value", T.LongType(), False)]
+)
+
+
+def pack_summary(spark: SparkSession, files: dict[str, tuple[str, str]]) -> DataFrame:
+    """``(metric, value)``: record counts of named source and configuration
+    files (S-8).  ``files`` maps a metric name to ``(path, fmt)`` where fmt is
+    ``csv`` (header row) or ``json`` (one JSON array); a missing file is 0."""
+    parts = []
+    for metric, (path, fmt) in files.items():
+        try:
+            reader = spark.read.option("header", True) if fmt == "csv" else spark.read.option("multiLine", True)
+            df = reader.format(fmt).load(path)
+            parts.append(df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value"))
+        except AnalysisException:
+            parts.append(spark.createDataFrame([(metric, 0)], PACK_SCHEMA))
+    if not parts:
+        return spark.createDataFrame([], PACK_SCHEMA)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def csv_preview(spark: SparkSession, path: str, limit: int = 2) -> list[dict[str, str]]:
     """First ``limit`` records of a CSV as text, NULL fields left out; a
     missing file gives [] (S-6).  Only ``limit`` rows reach the driver."""

@@ -79,3 +79,44 @@ def test_json_report_writer(scratch):
     p = os.path.join(scratch, "deep", "dir", "report.json")
     catalog.write_json_report(p, {"a": 1})
     assert open(p, encoding="utf-8").read() == '{\n  "a": 1\n}'
+
+
+def test_pack_summary(spark, scratch):
+    files = {
+        "source_row_count": (os.path.join(FIXTURES, "source_orders.csv"), "csv"),
+        "quality_rule_count": (os.path.join(FIXTURES, "quality_rules.json"), "json"),
+        "external_file_count": (os.path.join(scratch, "none.csv"), "csv"),
+    }
+    got = {r.metric: r.value for r in inventory.pack_summary(spark, files).collect()}
+    assert got == {"source_row_count": 12, "quality_rule_count": 4, "external_file_count": 0}
+
+
+def test_dirty_order_source_has_every_violation(spark):
+    from stratum.sources.orders import order_source
+
+    src = order_source(spark, SF_SMALL)
+    c = src.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("customer_id").isNull()).alias("no_customer"),
+        F.count_if(F.col("region").isNull()).alias("no_region"),
+        F.count_if(F.col("amount") <= 0).alias("non_positive"),
+        F.count_distinct("order_id").alias("orders"),
+        F.count_if(F.col("currency") != "USD").alias("not_usd"),
+        F.count_if(~F.col("order_id").startswith("O-")).alias("bad_prefix"),
+        F.count_distinct("source_rank").alias("ranks"),
+    ).first()
+    assert c.rows == c.ranks == 1500  # one row per order row, unique rank
+    assert c.no_customer > 0 and c.no_region > 0 and c.non_positive > 0
+    assert c.orders < c.rows  # revisions: some orders have two versions
+    assert c.not_usd == 0 and c.bad_prefix == 0
+
+
+def test_json_value_rendering():
+    import datetime as dt
+    from decimal import Decimal
+
+    from stratum.operators.reports import json_value
+
+    assert json_value(dt.datetime(2026, 3, 14, 9, 0)) == "2026-03-14T09:00:00"
+    assert json_value(Decimal("1.50")) == 1.5
+    assert json_value("x") == "x" and json_value(3) == 3 and json_value(None) is None
