@@ -193,3 +193,60 @@ def read_order_csv(
         else:
             cols.append(F.col(name))
     return raw.select(*cols)
+
+
+MALFORMED_LABEL = "malformed_record"
+
+
+def read_order_csv_quarantined(
+    spark: SparkSession,
+    path: str,
+    rank_column: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """CSV order scan that never stops on a bad record: ``(rows, malformed)``.
+
+    Records the CSV parser cannot read, and records whose amount is not a
+    number, go to ``malformed`` as ``(raw_record, rejection_reason)`` with the
+    reason ``malformed_record``; every other record is an order-source row.
+    The file is parsed once per output, deterministically, so the two halves
+    always partition the records.
+    """
+    schema = CSV_SCHEMA
+    if rank_column:
+        schema = T.StructType(schema.fields + [T.StructField(rank_column, T.LongType())])
+    schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
+    raw = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("encoding", "UTF-8")
+        .option("nullValue", _NO_NULL_TOKEN)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "_corrupt_record")
+        .csv(path)
+    )
+    amount = F.expr("try_cast(amount AS DECIMAL(18,2))")
+    bad_amount = F.col("amount").isNotNull() & (F.col("amount") != "") & amount.isNull()
+    bad = F.col("_corrupt_record").isNotNull() | bad_amount
+    flagged = raw.withColumn("_bad", bad)
+    raw_text = F.coalesce(
+        F.col("_corrupt_record"),
+        F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in CSV_SCHEMA.fields]),
+    )
+    malformed = flagged.filter(F.col("_bad")).select(
+        raw_text.alias("raw_record"), F.lit(MALFORMED_LABEL).alias("rejection_reason")
+    )
+    good = flagged.filter(~F.col("_bad"))
+    cols = []
+    for name in SOURCE_COLUMNS:
+        if name == "source_rank":
+            rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
+            cols.append(rank.cast("bigint").alias("source_rank"))
+        elif name in BLANK_TO_NULL:
+            cols.append(F.nullif(F.col(name), F.lit("")).alias(name))
+        elif name == "amount":
+            cols.append(amount.alias("amount"))
+        elif name == "order_ts":
+            cols.append(F.try_to_timestamp(F.col("order_ts")).cast("timestamp_ntz").alias("order_ts"))
+        else:
+            cols.append(F.col(name))
+    return good.select(*cols), malformed

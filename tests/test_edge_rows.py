@@ -262,3 +262,43 @@ def test_version_rank_matches_row_number_with_a_hot_key(spark):
     # the hot key really was spread over several range partitions
     parts = df.repartitionByRange(16, "order_id", F.col("order_ts").desc_nulls_last()).filter(F.col("order_id") == "HOT")
     assert parts.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_malformed_records_are_quarantined(spark, scratch):
+    import os
+
+    from stratum.sources.orders import read_order_csv, read_order_csv_quarantined
+
+    p = os.path.join(scratch, "dirty.csv")
+    with open(p, "w") as fh:
+        fh.write("order_id,customer_id,region,channel,status,amount,currency,order_ts\n")
+        fh.write("A,C,R,web,completed,1.00,USD,2026-03-14T09:00:00Z\n")
+        fh.write("B,C,R,web,completed,lots,USD,2026-03-14T09:00:00Z\n")
+        fh.write("C,C,R,web,completed,2.00,USD,2026-03-14T09:00:00Z,extra,fields\n")
+        fh.write("D,,R,web,completed,3.00,USD,2026-03-14T09:00:00Z\n")
+    rows, bad = read_order_csv_quarantined(spark, p)
+    assert sorted(r.order_id for r in rows.collect()) == ["A", "D"]
+    got = {r.raw_record.split(",")[0]: r.rejection_reason for r in bad.collect()}
+    assert got == {"B": "malformed_record", "C": "malformed_record"}
+    # the default scan keeps the contract: a malformed amount stops the run
+    with pytest.raises(Exception):
+        read_order_csv(spark, p).collect()
+
+
+def test_hot_null_order_id(spark):
+    hot = spark.range(0, 30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("K"), F.col("id").cast("string"))).alias("order_id"),
+        F.lit("C").alias("customer_id"),
+        F.lit("R").alias("region"),
+        F.lit("web").alias("channel"),
+        F.lit("completed").alias("status"),
+        F.lit(1).cast("decimal(18,2)").alias("amount"),
+        F.lit("USD").alias("currency"),
+        F.lit("2026-03-14 09:00:00").cast("timestamp_ntz").alias("order_ts"),
+        F.col("id").alias("source_rank"),
+    )
+    b = medallion.bronze(hot.repartition(8), "2026-01-01 00:00:00")
+    m = reports.run_metrics(medallion.stage(b)).first()
+    assert (m.bronze_rows, m.silver_rows, m.rejected_rows) == (30000, 20001, 9999)
+    newest_null = medallion.silver(b).filter(F.col("order_id").isNull()).first()
+    assert newest_null.source_rank == 29997
