@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.functions.rules import Rule
+from stratum.functions.rules import Rule, first_match
 from stratum.operators import checks, corpus, dedup, medallion, reports
 from stratum.operators.contracts import contract_violations
 from stratum.operators.medallion import StageSpec
@@ -175,7 +175,8 @@ def order_version_ranks(spark, sf_dir):
 
 
 def masked_orders(spark, sf_dir):
-    return reports.masked_keys(_staged(spark, sf_dir))
+    labelled = _bronze(spark, sf_dir).withColumn("quality_issue", first_match(medallion.ORDER_SPEC.rules))
+    return reports.masked_keys_from_labelled(labelled)
 
 
 def rejection_impact(spark, sf_dir):

@@ -46,7 +46,7 @@ def read_published(spark: SparkSession, root: str, layer: str, version: int | No
     if name in ("silver", "rejected"):
         staged = snapshots.read_layer(spark, root, STAGED, version)
         return staged.filter(F.col("layer") == name).drop("layer")
-    if name in ("bronze", "gold", STAGED):
+    if name in ("bronze", "gold", STAGED, "malformed"):
         return snapshots.read_layer(spark, root, name, version)
     raise KeyError(f"unknown layer {layer!r}")
 
@@ -56,6 +56,7 @@ def run_pipeline(
     root: str,
     spec: StageSpec = ORDER_SPEC,
     ingested_at: str | _dt.datetime | None = None,
+    malformed: DataFrame | None = None,
 ) -> RunResult:
     spark = source.sparkSession
     committed = snapshots.latest_versions(spark, root)
@@ -77,8 +78,16 @@ def run_pipeline(
     gold = medallion.gold(medallion.silver_columns(silver)).repartition(1)
     rows["gold"] = snapshots.write_version(gold, root, "gold", versions["gold"])
 
-    # The run's three versions become visible together, with one log append.
-    snapshots.commit(spark, root, [(t, versions[t], rows[t]) for t in ("bronze", STAGED, "gold")])
+    tables = ["bronze", STAGED, "gold"]
+    if malformed is not None:
+        # Records the source scan could not read (see
+        # read_order_csv_quarantined) are kept with the run that met them.
+        versions["malformed"] = committed.get("malformed", -1) + 1
+        rows["malformed"] = snapshots.write_version(malformed, root, "malformed", versions["malformed"])
+        tables.append("malformed")
+
+    # The run's versions become visible together, with one log append.
+    snapshots.commit(spark, root, [(t, versions[t], rows[t]) for t in tables])
 
     # One aggregate over the written staged rows gives every report number.
     counts = reports.staged_counts(staged, spec.rules, with_reasons=True).first().asDict()

@@ -302,3 +302,20 @@ def test_hot_null_order_id(spark):
     assert (m.bronze_rows, m.silver_rows, m.rejected_rows) == (30000, 20001, 9999)
     newest_null = medallion.silver(b).filter(F.col("order_id").isNull()).first()
     assert newest_null.source_rank == 29997
+
+
+def test_masked_keys_two_ways_agree(spark):
+    from stratum.functions.rules import ORDER_RULES, first_match
+
+    rnd = random.Random(11)
+    specs = []
+    for i in range(400):
+        oid = None if rnd.random() < 0.03 else f"O{rnd.randrange(60)}"
+        cust = None if rnd.random() < 0.2 else f"C{rnd.randrange(30)}"
+        t = None if rnd.random() < 0.1 else ts(rnd.randrange(5), rnd.randrange(3))
+        specs.append((oid, cust, "R", rnd.choice([-1, 4]), t, i))
+    b, st = staged_of(spark, specs)
+    labelled = b.withColumn("quality_issue", first_match(ORDER_RULES))
+    one = sorted(map(tuple, reports.masked_keys(st).collect()), key=repr)
+    two = sorted(map(tuple, reports.masked_keys_from_labelled(labelled).collect()), key=repr)
+    assert one == two and len(one) > 0

@@ -117,3 +117,17 @@ def test_pipeline_run_publishes_layers(spark, fixture_source, scratch):
         read_published(spark, scratch, "platinum")
     reg = {r.table_name: (r.version, r.rows) for r in table_registry(spark, scratch).collect()}
     assert reg == {"bronze": (1, 12), "staged": (1, 12), "gold": (1, 5)}
+
+
+def test_pipeline_keeps_malformed_records(spark, scratch):
+    from conftest import FIXTURES
+    from stratum.sources.orders import read_order_csv_quarantined
+
+    p = os.path.join(scratch, "in.csv")
+    with open(os.path.join(FIXTURES, "source_orders.csv")) as src, open(p, "w") as out:
+        out.write(src.read())
+        out.write("O-2000,C-1,KR-SEOUL,web,completed,n/a,USD,2026-03-14T13:00:00Z\n")
+    rows, bad = read_order_csv_quarantined(spark, p)
+    res = run_pipeline(rows, os.path.join(scratch, "lake"), malformed=bad)
+    assert res.versions["malformed"] == 0 and res.metrics["bronze_rows"] == 12
+    assert read_published(spark, os.path.join(scratch, "lake"), "malformed").count() == 1
