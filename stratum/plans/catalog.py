@@ -80,16 +80,25 @@ def gold_region_kpis(spark, sf_dir):
     return _gold(spark, sf_dir)
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bronze(spark, sf_dir).withColumn("quality_issue", first_match(medallion.ORDER_SPEC.rules))
+
+
+def _counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every report number from labelled bronze, without staging the rows."""
+    return reports.labelled_counts(_labelled(spark, sf_dir))
+
+
 def expectations_report(spark, sf_dir):
-    return reports.expectations(_staged(spark, sf_dir))
+    return reports.expectations_from_counts_df(_counts(spark, sf_dir))
 
 
 def run_metrics(spark, sf_dir):
-    return reports.run_metrics(_staged(spark, sf_dir))
+    return reports.run_metrics_from_counts_df(_counts(spark, sf_dir))
 
 
 def rejection_reasons(spark, sf_dir):
-    return reports.rejection_reasons(_staged(spark, sf_dir))
+    return reports.reasons_from_counts_df(_counts(spark, sf_dir))
 
 
 def rejected_preview(spark, sf_dir):
@@ -124,7 +133,7 @@ def gold_preview(spark, sf_dir):
 
 
 def pipeline_summary(spark, sf_dir):
-    return reports.pipeline_summary(_staged(spark, sf_dir))
+    return reports.pipeline_summary_from_counts_df(_counts(spark, sf_dir))
 
 
 def _earlier_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,8 +184,7 @@ def order_version_ranks(spark, sf_dir):
 
 
 def masked_orders(spark, sf_dir):
-    labelled = _bronze(spark, sf_dir).withColumn("quality_issue", first_match(medallion.ORDER_SPEC.rules))
-    return reports.masked_keys_from_labelled(labelled)
+    return reports.masked_keys_from_labelled(_labelled(spark, sf_dir))
 
 
 def rejection_impact(spark, sf_dir):
