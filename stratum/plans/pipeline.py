@@ -45,7 +45,9 @@ def read_published(spark: SparkSession, root: str, layer: str, version: int | No
     name = layer.lower()
     if name in ("silver", "rejected"):
         staged = snapshots.read_layer(spark, root, STAGED, version)
-        return staged.filter(F.col("layer") == name).drop("layer")
+        part = staged.filter(F.col("layer") == name).drop("layer")
+        # silver in its contract shape (row_rank = 1); rejected keeps is_latest
+        return medallion.silver_columns(part) if name == "silver" else part
     if name in ("bronze", "gold", STAGED, "malformed"):
         return snapshots.read_layer(spark, root, name, version)
     raise KeyError(f"unknown layer {layer!r}")

@@ -131,3 +131,24 @@ def test_pipeline_keeps_malformed_records(spark, scratch):
     res = run_pipeline(rows, os.path.join(scratch, "lake"), malformed=bad)
     assert res.versions["malformed"] == 0 and res.metrics["bronze_rows"] == 12
     assert read_published(spark, os.path.join(scratch, "lake"), "malformed").count() == 1
+
+
+def test_published_layers_equal_the_queries(spark, scratch):
+    from conftest import SF_SMALL
+    from stratum.plans import catalog
+    from stratum.sources.orders import order_source
+
+    root = os.path.join(scratch, "lake")
+    res = run_pipeline(order_source(spark, SF_SMALL), root, ingested_at=catalog.RUN_TS)
+    gold_q = catalog.gold_region_kpis(spark, SF_SMALL)
+    gold_p = read_published(spark, root, "gold")
+    assert gold_p.exceptAll(gold_q).count() == 0 and gold_q.exceptAll(gold_p).count() == 0
+    silver_q = catalog.silver_orders(spark, SF_SMALL)
+    silver_p = catalog.presentable(read_published(spark, root, "silver"))
+    assert silver_p.columns == silver_q.columns
+    assert silver_p.exceptAll(silver_q).count() == 0 and silver_q.exceptAll(silver_p).count() == 0
+    metrics = catalog.run_metrics(spark, SF_SMALL).first().asDict()
+    assert res.metrics == metrics
+    exp = [r.asDict() for r in catalog.expectations_report(spark, SF_SMALL).collect()]
+    assert res.expectations == exp
+    assert res.reasons == [r.rejection_reason for r in catalog.rejection_reasons(spark, SF_SMALL).collect()]
