@@ -253,11 +253,18 @@ def lineitem_latest(spark, sf_dir):
 
 
 def lineitem_rejections(spark, sf_dir):
-    staged = medallion.stage(read_table(spark, sf_dir, "lineitem"), LINEITEM_SPEC)
-    return (
-        staged.groupBy("rejection_reason")
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum("l_quantity").cast("double").alias("quantity"))
+    """Rows and quantity per rejection reason of the line items, from one
+    pass per (order, line) - no staging of every row."""
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_discount",
+        # quantities are whole numbers: summed exactly as DECIMAL
+        F.col("l_quantity").cast("decimal(18,2)").alias("l_quantity"),
     )
+    labelled = lines.withColumn("quality_issue", first_match(LINEITEM_SPEC.rules))
+    summary = reports.reason_summary_from_labelled(
+        labelled, LINEITEM_SPEC.rules, LINEITEM_SPEC.keys, LINEITEM_SPEC.version, ["l_quantity"]
+    )
+    return summary.select("rejection_reason", "rows", F.col("l_quantity").cast("double").alias("quantity"))
 
 
 CUSTOMER_RULES = (Rule("positive_balance", "non_positive_balance", "c_acctbal <= 0"),)

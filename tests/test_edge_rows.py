@@ -319,3 +319,24 @@ def test_masked_keys_two_ways_agree(spark):
     one = sorted(map(tuple, reports.masked_keys(st).collect()), key=repr)
     two = sorted(map(tuple, reports.masked_keys_from_labelled(labelled).collect()), key=repr)
     assert one == two and len(one) > 0
+
+
+def test_reason_summary_equals_staged_group_by(spark):
+    from stratum.functions.rules import ORDER_RULES, first_match
+
+    rnd = random.Random(5)
+    specs = []
+    for i in range(500):
+        oid = None if rnd.random() < 0.03 else f"O{rnd.randrange(90)}"
+        cust = None if rnd.random() < 0.15 else f"C{rnd.randrange(30)}"
+        reg = None if rnd.random() < 0.1 else "R"
+        t = None if rnd.random() < 0.1 else ts(rnd.randrange(5), rnd.randrange(3))
+        specs.append((oid, cust, reg, rnd.choice([-2, 3, 7.5]), t, i))
+    b, st = staged_of(spark, specs)
+    want = sorted(
+        map(tuple, st.groupBy("rejection_reason").agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").alias("amount")).collect()),
+        key=repr,
+    )
+    labelled = b.withColumn("quality_issue", first_match(ORDER_RULES))
+    got = reports.reason_summary_from_labelled(labelled, ORDER_RULES, ["order_id"], ["order_ts", "source_rank"], ["amount"])
+    assert sorted(map(tuple, got.collect()), key=repr) == want
