@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratum.functions.rules import Rule, first_match
 
-def ACCEPTED() -> Column:  # noqa: N802 - reads as a predicate
+def _accepted() -> Column:
     return F.col("rejection_reason").isNull()
 
 
@@ -42,7 +42,7 @@ def validation_cases(staged: DataFrame, keys: Sequence[str] = ("order_id",)) ->
     4. accepted rows that are not their key's newest version, plus extra
        accepted rows of a key that has more than one.
     """
-    accepted = ACCEPTED()
+    accepted = _accepted()
     key = F.struct(*[F.col(k) for k in keys])
     counts = staged.agg(
         _count_if(accepted & F.col("customer_id").isNull()).alias("v0"),
@@ -74,7 +74,7 @@ def reconciliation(staged: DataFrame, gold_df: DataFrame, keys: Sequence[str] =
     The staged rows and gold are unioned into one narrow fact stream and
     reduced by one aggregate, so the two sides meet without a join.
     """
-    accepted = ACCEPTED()
+    accepted = _accepted()
     key = F.struct(*[F.col(k) for k in keys])
     facts = staged.select(
         F.lit(1).alias("bronze"),

@@ -32,13 +32,24 @@ def test_newest_version_is_limited_map_side(plans):
         assert "WindowGroupLimit" in plans[name] and "Partial" in plans[name], name
 
 
+def _scan_columns(plan: str, table: str) -> list[list[str]]:
+    import re
+
+    out = []
+    for m in re.finditer(r"FileScan parquet \[([^\]]*)\][^\n]*?/" + table + r"\.parquet", plan):
+        out.append([c.split("#")[0] for c in m.group(1).split(",")])
+    return out
+
+
 def test_scans_are_pruned(spark):
-    df = E.queries()["daily_event_counts"](spark, SF_SMALL)
-    p = plan_text(df)
-    assert "user_id" not in p and "props" not in p
-    assert "PushedFilters: [IsNotNull(event_type), In(event_type" in p or "In(event_type" in p
+    p = plan_text(E.queries()["daily_event_counts"](spark, SF_SMALL))
+    assert _scan_columns(p, "events") == [["ts", "event_type"]]
+    assert "In(event_type" in p  # the allow-list reaches the scan as a pushed filter
     docs = plan_text(E.queries()["document_label_gate"](spark, SF_SMALL))
-    assert "text" not in docs.split("ReadSchema")[1].split("\n")[0] if "ReadSchema" in docs else True
+    assert _scan_columns(docs, "documents") == [["doc_id", "lang", "n_chars"]]  # no text read
+    gold = plan_text(E.queries()["gold_region_kpis"](spark, SF_SMALL))
+    for cols in _scan_columns(gold, "orders"):
+        assert len(cols) < 6  # the priority column is not needed for gold
 
 
 def test_gold_plan_has_no_full_window(plans):
@@ -99,3 +110,17 @@ def test_hot_link_target_is_split(spark, small_skew_thresholds):
     out = join_unique_side(rows, known, "t", "k", "left")
     assert "SortMergeJoin(skew=true)" in _final_plan(out)
     assert out.count() == 300000
+
+
+def test_broadcast_only_within_bound(spark):
+    from stratum.operators.joins import broadcast_if_bounded
+
+    small = broadcast_if_bounded(spark.range(5), 10, "test-small")
+    big = broadcast_if_bounded(spark.range(50), 10, "test-big")
+    probe = spark.range(100)
+    assert "BroadcastHashJoin" in plan_text(probe.join(small, "id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" not in plan_text(probe.join(big, "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
