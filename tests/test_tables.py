@@ -152,3 +152,29 @@ def test_published_layers_equal_the_queries(spark, scratch):
     exp = [r.asDict() for r in catalog.expectations_report(spark, SF_SMALL).collect()]
     assert res.expectations == exp
     assert res.reasons == [r.rejection_reason for r in catalog.rejection_reasons(spark, SF_SMALL).collect()]
+
+
+def test_command_line_run_writes_reports(spark, scratch):
+    import json
+
+    from conftest import FIXTURES
+    from stratum.__main__ import main
+
+    out = os.path.join(scratch, "lake")
+    assert main(["run", "--csv", os.path.join(FIXTURES, "source_orders.csv"), "--out", out]) == 0
+    q = json.load(open(os.path.join(out, "reports", "quality-report.json"), encoding="utf-8"))
+    assert q["summary"] == {"acceptedRows": 8, "failedRows": 4, "qualityPassRatePct": 66.67}
+    assert [e["failed"] for e in q["expectations"]] == [1, 1, 1, 1]
+    assert [r["rejection_reason"] for r in q["rejectedPreview"]] == [
+        "stale_duplicate", "missing_customer", "missing_region", "non_positive_amount"
+    ]
+    gold = json.load(open(os.path.join(out, "reports", "gold-preview.json"), encoding="utf-8"))
+    assert [r["region"] for r in gold["rows"]] == ["DE-BERLIN", "JP-TOKYO", "KR-BUSAN", "KR-SEOUL", "US-WEST"]
+    bronze = json.load(open(os.path.join(out, "reports", "bronze-preview.json"), encoding="utf-8"))
+    assert len(bronze["rows"]) == 5 and bronze["rows"][0]["order_ts"] == "2026-03-14T09:00:00"
+    summary = json.load(open(os.path.join(out, "reports", "run-summary.json"), encoding="utf-8"))
+    assert summary["summary"]["goldRows"] == 5 and len(summary["tables"]) == 3
+    # reports for the latest version can be rewritten without a run
+    assert main(["reports", "--out", out, "--reports", os.path.join(scratch, "again")]) == 0
+    q2 = json.load(open(os.path.join(scratch, "again", "quality-report.json"), encoding="utf-8"))
+    assert q2["summary"] == q["summary"]
