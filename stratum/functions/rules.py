@@ -79,14 +79,6 @@ def first_match(rules: tuple[Rule, ...] | list[Rule]) -> Column:
     return expr.otherwise(F.lit(None).cast("string"))
 
 
-def first_match_sql(rules: tuple[Rule, ...] | list[Rule]) -> str:
-    """The same CASE as SQL text (used where SQL strings are built)."""
-    arms = [f"WHEN {r.fails} THEN '{r.label}'" for r in rules if isinstance(r.fails, str)]
-    if not arms:
-        return "CAST(NULL AS STRING)"
-    return "CASE " + " ".join(arms) + " END"
-
-
 def reason_precedence(issue: Column, is_latest: Column, stale_label: str = LATEST_RULE.label) -> Column:
     """Field issue first, else the stale-version label, else NULL (P-8)."""
     return F.coalesce(issue, F.when(~is_latest, F.lit(stale_label)))

@@ -34,9 +34,6 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
-LAYERS = ("bronze", "silver", "rejected", "gold")
-
-
 def _data_path(root: str, table: str, version: int) -> str:
     return os.path.join(root, table, "data", f"v={version}")
 

@@ -120,3 +120,25 @@ def test_json_value_rendering():
     assert json_value(dt.datetime(2026, 3, 14, 9, 0)) == "2026-03-14T09:00:00"
     assert json_value(Decimal("1.50")) == 1.5
     assert json_value("x") == "x" and json_value(3) == 3 and json_value(None) is None
+
+
+def test_rules_round_trip_and_named_sources(spark, scratch):
+    from stratum.functions.rules import ORDER_RULES, LATEST_RULE, load_rules, rules_to_json
+    from stratum.sources.tables import data_files, register_views
+
+    p = os.path.join(scratch, "rules.json")
+    with open(p, "w", encoding="utf-8") as fh:
+        fh.write(rules_to_json([*ORDER_RULES, LATEST_RULE]))
+    back = load_rules(spark, p)
+    assert [(r.name, r.label, r.fails) for r in back] == [(r.name, r.label, r.fails) for r in (*ORDER_RULES, LATEST_RULE)]
+    files = data_files(SF_SMALL)
+    assert set(files) >= {"orders", "lineitem", "events"} and files["orders"].endswith("orders.parquet")
+    register_views(spark, SF_SMALL, ("region",))
+    assert spark.sql("SELECT count(*) AS n FROM region").first().n == 5
+
+
+def test_report_table_writer(spark, scratch):
+    path = os.path.join(scratch, "rep")
+    catalog.write_report_table(spark.range(3), path)
+    assert spark.read.json(path).count() == 3
+    assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
