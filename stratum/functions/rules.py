@@ -8,7 +8,7 @@ that is NULL (e.g. ``NULL <= 0``) does not fire, exactly like ``WHEN`` does.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,6 @@ class Rule:
     fails: str | Column | None
     layer: str = "silver"
     description: str = ""
-    extra: dict = field(default_factory=dict, compare=False)
 
     def fail_col(self) -> Column:
         if self.fails is None:
@@ -113,9 +112,17 @@ def load_rules(spark: SparkSession, path: str) -> list[Rule]:
 
 
 def rules_to_json(rules: list[Rule]) -> str:
+    """Rules as a JSON config array; a SQL predicate is kept as ``predicate``
+    (Column predicates cannot be written out and are left to the defaults)."""
     return json.dumps(
         [
-            {"name": r.name, "layer": r.layer, "rule": r.description, "rejected_label": r.label}
+            {
+                "name": r.name,
+                "layer": r.layer,
+                "rule": r.description,
+                "rejected_label": r.label,
+                **({"predicate": r.fails} if isinstance(r.fails, str) else {}),
+            }
             for r in rules
         ],
         indent=2,

@@ -142,3 +142,14 @@ def test_report_table_writer(spark, scratch):
     catalog.write_report_table(spark.range(3), path)
     assert spark.read.json(path).count() == 3
     assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
+
+
+def test_custom_rule_predicate_survives_config(spark, scratch):
+    from stratum.functions.rules import Rule, load_rules, rules_to_json
+
+    custom = [Rule("small_amount", "too_small", "amount < 10", description="tiny orders")]
+    p = os.path.join(scratch, "custom.json")
+    with open(p, "w", encoding="utf-8") as fh:
+        fh.write(rules_to_json(custom))
+    (back,) = load_rules(spark, p)
+    assert (back.name, back.label, back.fails, back.description) == ("small_amount", "too_small", "amount < 10", "tiny orders")
