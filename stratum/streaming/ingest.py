@@ -1,13 +1,15 @@
 """Structured Streaming forms of the medallion (not in the batch contract).
 
 * ``start_newest_versions``: new source files arrive as a stream; each
-  micro-batch (``foreachBatch``) appends its bronze rows and merges them into
-  a versioned table of each key's newest version.  Newest-version is an
-  associative choice (the newest of the newest), so merging batch by batch
-  gives the same table as one batch run over all rows, masking included:
-  silver is the rows of that table that pass every rule.  Re-running a batch
-  after a failure rewrites the same bronze partition and picks the same
-  newest rows, so retries are harmless.
+  micro-batch (``foreachBatch``) appends its bronze rows and its own newest
+  row per key to a change log - work proportional to the batch, never to
+  the table.  Newest-version is an associative choice (the newest of the
+  newest), so the newest row per key over the change log equals one batch
+  run over all rows, masking included; silver is those rows that pass every
+  rule.  Reads reduce the log with the map-side-limited window, and
+  ``compact`` folds it into a versioned base snapshot so reads stay small.
+  A retried batch overwrites its own batch folders, so every batch lands
+  exactly once.
 * ``daily_event_counts_stream``: the daily allow-listed event counters as a
   windowed aggregate with a watermark, emitted once a day is complete.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -40,27 +43,61 @@ def file_stream(spark: SparkSession, folder: str, table: str, max_files_per_trig
     return reader.parquet(folder)
 
 
-def merge_newest(batch: DataFrame, root: str, spec: StageSpec = ORDER_SPEC) -> int:
-    """Merge one batch of bronze rows into the newest-version table; return
-    the new version.  Reads the previous version, unions the batch (already
-    reduced to its newest rows) and keeps the newest row per key again."""
-    spark = batch.sparkSession
-    labelled = batch.withColumn("quality_issue", first_match(spec.rules))
-    incoming = latest_per_key(labelled, spec.keys, spec.version)
-    if snapshots.latest_version(spark, root, NEWEST) is None:
-        merged = incoming
-    else:
-        previous = snapshots.read_layer(spark, root, NEWEST)
-        merged = latest_per_key(previous.unionByName(incoming), spec.keys, spec.version)
-    return snapshots.write_snapshot(merged, root, NEWEST)
-
-
-def streamed_silver(spark: SparkSession, root: str) -> DataFrame:
-    """Silver as of the last merged batch."""
-    newest = snapshots.read_layer(spark, root, NEWEST)
+def _changes_path(root: str) -> str:
+    return os.path.join(root, "changes")
+
+
+def append_changes(bronze_batch: DataFrame, root: str, batch_id: int, spec: StageSpec = ORDER_SPEC) -> None:
+    """Append one batch's newest row per key (with its rule label) to the
+    change log, in the batch's own folder (a retry overwrites it)."""
+    labelled = bronze_batch.withColumn("quality_issue", first_match(spec.rules))
+    newest = latest_per_key(labelled, spec.keys, spec.version)
+    newest.write.mode("overwrite").parquet(os.path.join(_changes_path(root), f"batch_id={batch_id}"))
+
+
+def newest_versions(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> DataFrame:
+    """Newest row per key over the compacted base and the change log since."""
+    parts = []
+    base_version = snapshots.latest_version(spark, root, NEWEST)
+    upto = -1
+    if base_version is not None:
+        base = snapshots.read_layer(spark, root, NEWEST, base_version)
+        upto = base.agg(F.max("_upto_batch")).first()[0]
+        parts.append(base.drop("_upto_batch"))
+    try:
+        changes = spark.read.parquet(_changes_path(root)).filter(F.col("batch_id") > upto).drop("batch_id")
+        parts.append(changes)
+    except AnalysisException:
+        pass
+    if not parts:
+        raise FileNotFoundError(f"no streamed versions under {root}")
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return latest_per_key(rows, spec.keys, spec.version)
+
+
+def compact(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> int:
+    """Fold the change log into a new base version (newest row per key) and
+    return its version; later reads start from it."""
+    try:
+        upto = spark.read.parquet(_changes_path(root)).agg(F.max("batch_id")).first()[0]
+    except AnalysisException:
+        upto = None
+    newest = newest_versions(spark, root, spec)
+    marker = F.lit(-1 if upto is None else int(upto)).cast("bigint")
+    return snapshots.write_snapshot(newest.withColumn("_upto_batch", marker), root, NEWEST)
+
+
+def streamed_silver(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> DataFrame:
+    """Silver as of the last landed batch."""
+    newest = newest_versions(spark, root, spec)
     return medallion.silver_columns(newest.filter(F.col("quality_issue").isNull()))
 
 
+def _read_batch(bronze: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The batch's bronze rows as written (the batch is computed once)."""
+    return bronze.sparkSession.read.parquet(os.path.join(root, "bronze_stream", f"batch_id={batch_id}"))
+
+
 def start_newest_versions(
     source_stream: DataFrame,
     root: str,
@@ -74,7 +111,7 @@ def start_newest_versions(
         bronze = medallion.bronze(batch)
         # One folder per batch id, overwritten on a retry: appends exactly once.
         bronze.write.mode("overwrite").parquet(os.path.join(root, "bronze_stream", f"batch_id={batch_id}"))
-        merge_newest(bronze, root, spec)
+        append_changes(_read_batch(bronze, root, batch_id), root, batch_id, spec)
 
     writer = source_stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

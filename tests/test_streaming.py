@@ -26,10 +26,19 @@ def test_newest_versions_stream_equals_batch(spark, scratch):
     rows = order_source(spark, SF_SMALL, orders=stream)
     q = ingest.start_newest_versions(rows, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"))
     q.awaitTermination(300)
-    streamed = ingest.streamed_silver(spark, os.path.join(scratch, "out")).drop("ingested_at")
+    out = os.path.join(scratch, "out")
     batch = medallion.silver(medallion.bronze(order_source(spark, SF_SMALL))).drop("ingested_at")
-    assert streamed.count() == batch.count()
-    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+    assert len([d for d in os.listdir(os.path.join(out, "changes")) if d.startswith("batch_id=")]) == 3
+
+    def same(streamed):
+        streamed = streamed.drop("ingested_at")
+        assert streamed.count() == batch.count()
+        assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+    same(ingest.streamed_silver(spark, out))
+    # after compaction, reads start from the base version and give the same
+    assert ingest.compact(spark, out) == 0
+    same(ingest.streamed_silver(spark, out))
 
 
 def test_daily_counts_stream_matches_batch(spark, scratch):
