@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,3 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def worker_memory(name: str, make: Callable):
+    """What a Python worker keeps from one task to the next; only ever a cache."""
+    kept = sys.modules.setdefault("stratum_worker_memory", types.ModuleType("stratum_worker_memory"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)

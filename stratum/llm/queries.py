@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from stratum.llm.packing import packing_query
+from stratum.llm.quality import quality_query
 from stratum.llm.sharding import sharding_query, sharding_sql
+from stratum.llm.toxicity import toxicity_query
+from stratum.llm.warc import warc_query, warc_sql
 
 QUERIES = {
+    "op3_toxicity": toxicity_query,
+    "op4_warc": warc_query,
     "op7_packing": packing_query,
+    "op8_quality": quality_query,
     "op9_sharding": sharding_query,
 }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op4_warc": warc_sql(),
         "op9_sharding": sharding_sql(),
     }
