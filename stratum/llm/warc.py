@@ -8,8 +8,8 @@ files back, again by declared lengths.
 
 Archives are written by Spark's text writer, whose line separator is the
 format's record separator, and read with the ``binaryFile`` source, so they may
-lie in any store that Spark reaches.  An archive holds about ``ARCHIVE_BYTES``
-of payload; larger inputs make more archives, not larger ones.
+lie in any store that Spark reaches.  Every partition makes an archive: larger
+inputs make more archives, not larger ones.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from stratum.llm.common import read, shared_folder
 
-ARCHIVE_BYTES = 24_000_000
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 100
 CAPTURED = "20240101000000"
@@ -65,8 +64,6 @@ def write_arc(pages: DataFrame, path: str, version: str = "1") -> None:
         _header_url("url").alias("url"),
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     )
-    total = pages.agg(F.sum(F.octet_length("html").cast("bigint"))).first()[0] or 0
-    archives = total // ARCHIVE_BYTES + 1
     identity = F.coalesce(F.concat(F.lit("X-Page-Id: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit(""))
     content = F.concat(
         F.lit(HTTP_HEAD),
@@ -89,20 +86,11 @@ def write_arc(pages: DataFrame, path: str, version: str = "1") -> None:
     )
     about = f"{version} 0 stratum\n{ARC_FIELDS[version]}\n"
     opening = f"filedesc://archive.arc {IP} {CAPTURED} text/plain{'' if version == '1' else ' 200 - - 0 -'} {len(about)}\n{about}"
-    spark = pages.sparkSession
-    openings = spark.range(archives).select(F.col("id").alias("archive"), F.lit(0).alias("nth"), F.lit(opening).alias("value"))
-    records = rows.select(
-        F.pmod(F.xxhash64("page_id", "url"), F.lit(archives)).alias("archive"), F.lit(1).alias("nth"), record.alias("value")
-    )
-    (
-        openings.unionByName(records)
-        .repartition(int(archives), "archive")
-        .sortWithinPartitions("archive", "nth")
-        .select("value")
-        .write.option("lineSep", "\n")
-        .option("compression", "gzip")
-        .text(path)
-    )
+    # The row number inside a partition is in the low bits: its first record opens the archive.
+    first = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1) == 0
+    rows.select(F.concat(F.when(first, F.lit(opening + "\n")).otherwise(F.lit("")), record).alias("value")).write.option(
+        "lineSep", "\n"
+    ).option("compression", "gzip").text(path)
 
 
 def _archives(spark: SparkSession, path: str) -> DataFrame:
