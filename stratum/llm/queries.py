@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratum.llm.minhash import minhash_query, minhash_sql
 from stratum.llm.packing import packing_query
 from stratum.llm.quality import quality_query
 from stratum.llm.sharding import sharding_query, sharding_sql
@@ -9,6 +10,7 @@ from stratum.llm.toxicity import toxicity_query
 from stratum.llm.warc import warc_query, warc_sql
 
 QUERIES = {
+    "op2_minhash": minhash_query,
     "op3_toxicity": toxicity_query,
     "op4_warc": warc_query,
     "op7_packing": packing_query,
@@ -19,6 +21,7 @@ QUERIES = {
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_minhash": minhash_sql(),
         "op4_warc": warc_sql(),
         "op9_sharding": sharding_sql(),
     }
