@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratum.llm.fingerprints import fingerprints_query
 from stratum.llm.minhash import minhash_query, minhash_sql
 from stratum.llm.packing import packing_query
 from stratum.llm.quality import quality_query
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_minhash": minhash_query,
     "op3_toxicity": toxicity_query,
     "op4_warc": warc_query,
+    "op6_fingerprints": fingerprints_query,
     "op7_packing": packing_query,
     "op8_quality": quality_query,
     "op9_sharding": sharding_query,
