@@ -16,10 +16,10 @@ from __future__ import annotations
 import math
 import pickle
 import uuid
-import zlib
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from zlib import crc32 as _crc
 
 import numpy as np
 import pyarrow as pa
@@ -57,10 +57,16 @@ class Features:
         if not w:
             return []
         framed = f"<{w}>"
-        grams = {framed[i : i + n] for n in range(self.shortest, self.longest + 1) for i in range(len(framed) - n + 1)}
-        return [zlib.crc32(b"w" + w.encode("utf-8", "replace")) % BUCKETS] + [
-            zlib.crc32(g.encode("utf-8", "replace")) % BUCKETS for g in sorted(grams)
-        ]
+        sizes = range(self.shortest, self.longest + 1)
+        if framed.isascii():
+            raw = framed.encode()
+            found = [_crc(raw[i : i + n]) % BUCKETS for n in sizes for i in range(len(raw) - n + 1)]
+        else:
+            found = [
+                _crc(framed[i : i + n].encode("utf-8", "replace")) % BUCKETS for n in sizes for i in range(len(framed) - n + 1)
+            ]
+        found.append(_crc(b"w" + w.encode("utf-8", "replace")) % BUCKETS)
+        return found
 
     def counted(self, text: str) -> list[tuple[str, int]]:
         """Words with their weight in the average: once each, or as often as they occur."""
@@ -107,14 +113,14 @@ class Training:
 class Model:
     """Log-odds a bucket, and those of a text without words."""
 
-    value: np.ndarray
+    value: list[float]
     bias: float
     features: Features
     name: str
 
     def word_value(self, word: str) -> float | None:
         b = self.features.buckets(word)
-        return float(self.value[b].mean()) if b else None
+        return sum(map(self.value.__getitem__, b)) / len(b) if b else None
 
     def score(self, text: str, known: dict[str, float | None]) -> float:
         """Probability of class 1 of a whole text."""
@@ -171,7 +177,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, features:
             out -= np.float32(0.2) * rate * grad_out / np.sqrt(out_seen)
             bias -= np.float32(0.02) * rate * p
     value = (emb @ (out[1] - out[0])).astype(np.float64) if len(labels) else np.zeros(BUCKETS)
-    return Model(value, float(bias[1] - bias[0]), features, uuid.uuid4().hex)
+    return Model(value.tolist(), float(bias[1] - bias[0]), features, uuid.uuid4().hex)
 
 
 def held_out(modulus: int, remainder: int, id_col: str = "doc_id"):
