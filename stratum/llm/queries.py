@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratum.llm.decontamination import decontamination_query
 from stratum.llm.fingerprints import fingerprints_query
 from stratum.llm.minhash import minhash_query, minhash_sql
 from stratum.llm.packing import packing_query
@@ -18,6 +19,7 @@ QUERIES = {
     "op7_packing": packing_query,
     "op8_quality": quality_query,
     "op9_sharding": sharding_query,
+    "op10_decontamination": decontamination_query,
 }
 
 
