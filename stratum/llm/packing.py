@@ -14,21 +14,27 @@ one rewrites the same rows, and pass two reads a committed table.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.common import read, written
+from stratum.llm.common import read, worker_memory, written
 
 END_ID = 1
 LENGTH = 2048
 #: A word's ids are kept while fewer than this many words are known; then the memory starts anew.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 700_000
 LONG_WORD = 64
 #: ASCII white space; no token of the word tokenizer spans it.
 _WORD = re.compile(r"[^\t-\r ]+")
+#: What str.split() takes for white space besides, so that texts with it are split by the pattern.
+_ODD_ASCII = "\x1c\x1d\x1e\x1f"
+_ODD = _ODD_ASCII + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Letters and the punctuation after them are separate tokens; apostrophes may join both.
+_TAIL = re.compile(r"(.*[A-Za-z])([!-&(-/:-@\[-^`{-~]+)")
 
 TOKENS = "part int, doc_id bigint, start_in_part bigint, n bigint, ids binary"
 
@@ -39,11 +45,18 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _split(text: str) -> list[str]:
+    odd = _ODD_ASCII if text.isascii() else _ODD
+    return _WORD.findall(text) if any(c in text for c in odd) else text.split()
+
+
 class WordIds(dict):
-    """Ids of a word as little-endian 32-bit integers, remembered per task.
+    """Ids of a word as little-endian 32-bit integers, remembered by the worker.
 
     The tokenizer's pattern never matches across white space, so a text's ids
-    are those of its words one after the other.
+    are those of its words one after the other.  Nor does it match across the
+    end of a word's letters, and case does not matter to it: a new word is
+    looked up without its punctuation and in lower case first.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -52,17 +65,24 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
 
     def __missing__(self, word: str) -> bytes:
-        import numpy as np
-
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        ids = self._ids(word)
         if len(word) <= LONG_WORD:
             if len(self) >= KNOWN_WORDS:
                 self.clear()
             self[word] = ids
         return ids
 
+    def _ids(self, word: str) -> bytes:
+        if "<|" not in word and len(word) <= LONG_WORD:
+            if found := _TAIL.fullmatch(word):
+                return self[found[1]] + self[found[2]]
+            if word.isascii() and not word.islower() and (low := word.lower()) != word:
+                return self[low]
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str) -> bytes:
-        return b"".join([self[w] for w in _WORD.findall(text)])
+        return b"".join(map(self.__getitem__, _split(text)))
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, end_id: int) -> DataFrame:
@@ -72,7 +92,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str,
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, words, at = TaskContext.get().partitionId(), WordIds(tokenizer_path), 0
+        part, words, at = TaskContext.get().partitionId(), worker_memory(f"ids-{tokenizer_path}", lambda: WordIds(tokenizer_path)), 0
         for batch in batches:
             ids = [words.encode(t or "") + end for t in batch.column(1).to_pylist()]
             sizes = [len(x) // 4 for x in ids]
