@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 from stratum.llm.decontamination import decontamination_query
+from stratum.llm.extraction import extraction_query
 from stratum.llm.fingerprints import fingerprints_query
 from stratum.llm.minhash import minhash_query, minhash_sql
 from stratum.llm.packing import packing_query
 from stratum.llm.quality import quality_query
 from stratum.llm.sharding import sharding_query, sharding_sql
 from stratum.llm.toxicity import toxicity_query
+from stratum.llm.url_filter import url_filter_query
 from stratum.llm.warc import warc_query, warc_sql
 
 QUERIES = {
+    "op1_extraction": extraction_query,
     "op2_minhash": minhash_query,
     "op3_toxicity": toxicity_query,
     "op4_warc": warc_query,
+    "op5_url_filter": url_filter_query,
     "op6_fingerprints": fingerprints_query,
     "op7_packing": packing_query,
     "op8_quality": quality_query,
