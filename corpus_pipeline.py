@@ -1,11 +1,53 @@
-"""The corpus pipeline: documents in, packed training sequences out."""
+"""The corpus pipeline: documents in, packed training sequences out.
+
+Every stage takes what its predecessor kept, by whole texts, and returns the
+columns of documents for what it keeps; only the last returns pieces of packed
+sequences.  A stage's result is written before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from stratum.llm.common import read, written
+from stratum.llm.decontamination import leaks
+from stratum.llm.minhash import near_duplicates
 from stratum.llm.packing import pack
+from stratum.llm.quality import quality_model
+from stratum.llm.subword import keep
+from stratum.llm.toxicity import toxicity_model
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that score as toxic; the model learns from the labelled ones among ``docs``."""
+    model = toxicity_model(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return keep(docs.select(*COLUMNS), model, wanted=0)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that score as of low quality; the model learns from the labelled ones among ``docs``."""
+    model = quality_model(docs, read(spark, sf_dir, "labels", "doc_id", "quality"))
+    return keep(docs.select(*COLUMNS), model, wanted=1)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document, the one with the least id, of each group of near-duplicates.
+
+    Exact repeats of a row are one document; rows without an id stay.
+    """
+    groups = near_duplicates(docs, width=5, percent=80)
+    gone = groups.filter("NOT kept").select("doc_id").distinct()
+    named = docs.select(*COLUMNS).filter("doc_id IS NOT NULL").join(gone, "doc_id", "left_anti")
+    once = named.dropDuplicates(["doc_id", "text"]).select(*COLUMNS)
+    return once.unionByName(docs.select(*COLUMNS).filter("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of the benchmark, as asked or with other values."""
+    held = leaks(docs, read(spark, sf_dir, "benchmark", "item_id", "text")).select("doc_id").distinct()
+    return docs.select(*COLUMNS).join(held, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,6 +56,10 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
     ("packing", packing),
 ]
 
@@ -23,7 +69,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``; each stage's result is written and read again."""
-    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang", "source", "n_chars")
+    docs = read(spark, sf_dir, "documents", *COLUMNS)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
