@@ -11,7 +11,7 @@ Slots are named by the classes around them, so that a slot of the menu is told
 from one of the article by the template's tags, not by the page's words.  If a
 page marks its article, the text of the article's slots is the result; if
 not, that of all slots which no menu, header, footer, notice, advert, form or
-comment encloses, without the runs of text that belong to the template.
+comment encloses, without the blocks that belong to the template as a whole.
 
 Pages are ranged by host and dealt in blocks, each block with a template of
 its own: a host with a third of all pages is many blocks, and no task holds
@@ -234,7 +234,7 @@ def template(pages: list[Page]) -> set:
 def extract(page: Page, places: Places, known: set) -> str:
     """The text of a page's article slots: blocks joined by a line feed."""
     marked = any(text is not None and text.strip() and _in_article(places, place) for place, text in page.tokens)
-    blocks: list[list[str]] = []
+    blocks: list[list[tuple[str, bool]]] = []
     fresh = True
     for (place, text), broken in zip(page.tokens, page.breaks, strict=True):
         if text is None:
@@ -244,15 +244,15 @@ def extract(page: Page, places: Places, known: set) -> str:
         if dropped or marked and not article:
             fresh = True
             continue
-        if not marked and (place, " ".join(text.split())) in known:
-            fresh = True
-            continue
         if fresh:
             blocks.append([])
             fresh = False
-        blocks[-1].append(text)
-    joined = (" ".join("".join(b).split()) for b in blocks)
-    return "\n".join(b for b in joined if b)
+        plain = " ".join(text.split())
+        blocks[-1].append((text, not marked and (not plain or (place, plain) in known)))
+    # A block belongs to the template if all of its runs do.
+    slots = ("".join(text for text, _ in b) for b in blocks if marked or not all(constant for _, constant in b))
+    joined = (" ".join(s.split()) for s in slots)
+    return "\n".join(s for s in joined if s)
 
 
 def _in_article(places: Places, place: int) -> bool:

@@ -1,0 +1,167 @@
+"""Page operators against brute force, and on edge rows."""
+
+import hashlib
+import html
+import io
+import re
+
+import pytest
+from conftest import SF_SMALL
+
+from stratum.llm import extraction, url_filter, warc
+from stratum.llm.url_filter import Rule
+
+
+@pytest.fixture(scope="module")
+def edge_pages(spark):
+    long = "<p>" + "word " * 5000 + "</p>"
+    rows = [
+        (1, None, None),
+        (2, "nourl", ""),
+        (3, "http://A.Example.NET/en/x?q#f", "<p>a &amp; b"),
+        (4, "http://net?x", long),
+        (5, "h://b.org/fr/", long),
+        (5, "h://b.org/fr/", long),
+        (None, "http://x y\nz.com/", long),
+        (7, "a://b://c", "<p>é 漢</p>\r\n\r\nWARC/1.1\r\n"),
+    ]
+    return spark.createDataFrame([(*r, 1, "k") for r in rows], "page_id long, url string, html string, n int, host string").repartition(3)
+
+
+# --- extraction ------------------------------------------------------------
+
+
+def test_article_text_equals_brute_force(spark):
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    source = {r.page_id: r.html for r in pages.collect()}
+    for r in extraction.main_text(pages).collect():
+        body = re.search(r"<article>(.*?)(</article>|\Z)", source[r.page_id], re.S)[1]
+        parts = re.split(r"</?(?:p|h1|br)>", body)
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts]
+        assert r.text == "\n".join(b for b in blocks if b)
+
+
+PAGE = """<!DOCTYPE html><html><head><title>T{0}</title><script>var a="<p>no</p>";</script></head><body>
+<header><a href="/">Site</a></header><div id="cookie-notice">We use cookies {0}</div>
+<div class="page"><h2>Head &eacute;{0}</h2><p>Para  one<b> bold</b> {0}</p><p>Read more</p></div>
+<section class="reader-comments"><p>nice {0}</p></section><div class="leftSidebar">x{0}</div>
+<form><label>Name {0}</label></form><footer>f{0}</footer></body></html>"""
+
+
+def test_unmarked_pages_lose_their_template():
+    got = extraction.extract_block([PAGE.format(i) for i in range(6)])
+    assert got == [f"Head é{i}\nPara one bold {i}" for i in range(6)]
+    # Copies of one page share everything and prove nothing.
+    assert extraction.extract_block([PAGE.format(1)] * 6) == ["Head é1\nPara one bold 1\nRead more"] * 6
+
+
+def test_malformed_pages():
+    got = extraction.extract_block(
+        ["", "<p>only", "plain < 3 &amp; x", "<article><header><h1>A</h1></header><p>b</p><div class=comments>c</div></article>z"]
+        + ["<p class=\"a>b\" x='>'>q</p><p unclosed \"><b>r", "<article><ul><li>a<li>b</ul><p>c<p>d<scri", "<script>if (a<b) x</script>y<!-- <p>z"]
+    )
+    assert got == ["", "only", "plain < 3 & x", "A\nb", "q\nr", "a\nb\nc\nd", "y"]
+
+
+def test_extraction_edges(edge_pages):
+    got = [(r.page_id, r.text) for r in extraction.main_text(edge_pages).collect()]
+    assert len(got) == 8 and dict(got)[1] == "" and dict(got)[2] == "" and dict(got)[3] == "a & b"
+    assert dict(got)[4] == " ".join(["word"] * 5000)
+    assert extraction.main_text(edge_pages.limit(0)).count() == 0
+
+
+# --- archives --------------------------------------------------------------
+
+
+@pytest.mark.parametrize("version", ["1", "2"])
+def test_archives_round_trip(spark, edge_pages, scratch, version):
+    warc.write_arc(edge_pages, f"{scratch}/arc", version)
+    warc.convert(spark, f"{scratch}/arc", f"{scratch}/warc")
+    got = warc.read_warc(spark, f"{scratch}/warc").collect()
+    want = {r.page_id: (r.html or "").encode() for r in edge_pages.collect()}
+    assert len(got) == 8
+    for r in got:
+        assert r.payload_digest == hashlib.sha256(want[r.page_id]).hexdigest() and r.payload_bytes == len(want[r.page_id])
+        assert r.payload == (None if r.record_type == "revisit" else want[r.page_id])
+    kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in got)
+    assert [k for k in kinds if k[1] == "revisit"] == [(5, "revisit", 4), (5, "revisit", 4)]
+    assert {r.target_uri for r in got if r.page_id is None} == {"http://x%20y%0Az.com/"} or any("%20" in r.target_uri for r in got)
+
+
+def test_empty_table_makes_empty_archives(spark, edge_pages, scratch):
+    warc.write_arc(edge_pages.limit(0), f"{scratch}/arc")
+    warc.convert(spark, f"{scratch}/arc", f"{scratch}/warc")
+    assert warc.read_warc(spark, f"{scratch}/warc").count() == 0
+
+
+def test_arc_headers_are_version_specific():
+    two = b"filedesc://x 0.0.0.0 2024 text/plain 200 - - 0 - 3\n2 0\n\nhttp://a 1.1.1.1 20240101000000 text/html 200 - - 5 f.arc 4\nabcd\n"
+    assert [(f[0], c) for _, f, c in warc.arc_records(io.BytesIO(two))] == [("http://a", b"abcd")]
+    with pytest.raises(ValueError):
+        list(warc.arc_records(io.BytesIO(b"filedesc://x 0 2024 text/plain 3\n1 0\nhttp://a 1.1.1.1 2024 text/html 200 - - 5 f.arc 4\nabcd\n")))
+    with pytest.raises(ValueError):
+        list(warc.arc_records(io.BytesIO(b"http://a 1.1.1.1 2024 text/html 9\nabcd")))
+
+
+# --- urls ------------------------------------------------------------------
+
+
+def test_rules(spark, edge_pages):
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge(edge_pages).collect()}
+    assert {g[:4] for g in got} == {
+        (1, "", "", None),
+        (2, "", "", None),
+        (3, "a.example.net", "/en/x", "example.net/en/"),
+        (4, "net", "", None),
+        (5, "b.org", "/fr/", "org/fr/"),
+        (None, "x y\nz.com", "/", None),
+        (7, "b:", "//c", None),
+    }
+    assert {g[4] for g in got} == {"allow"}
+    assert url_filter.judge(edge_pages.limit(0)).count() == 0
+
+
+def test_verdicts_equal_brute_force(spark):
+    import math
+    from collections import Counter
+
+    pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
+    rows = url_filter.judge(pages).collect()
+    for r in rows:
+        m = re.search(r"://([^/?#]*)([^?#]*)", r.url)
+        assert (r.host, r.path) == (m[1].lower(), m[2])
+        fits = [x for x in url_filter.RULES if (r.host == x.host or r.host.endswith("." + x.host)) and r.path.startswith(x.path)]
+        best = max(fits, key=lambda x: len(x.name), default=None)
+        assert r.rule == (best and best.name)
+        if best:
+            assert r.verdict == best.verdict
+
+    def tokens(r):
+        path = [w for w in re.split(r"[^0-9a-z]+", r.path.lower()) if w]
+        return ["h " + w for w in r.words] + ["p " + (f"#{len(w)}" if w.isdigit() else w) for w in path]
+
+    counts = {"allow": Counter(), "block": Counter()}
+    n = Counter(r.verdict for r in rows if r.rule)
+    for r in rows:
+        if r.rule:
+            counts[r.verdict].update(tokens(r))
+    p = {k: sum(v.values()) for k, v in counts.items()}
+    for r in rows:
+        score = math.log(n["block"] / n["allow"])
+        for t in tokens(r):
+            score += math.log((counts["block"][t] + 1) / (p["block"] + url_filter.BUCKETS))
+            score -= math.log((counts["allow"][t] + 1) / (p["allow"] + url_filter.BUCKETS))
+        assert r.score == pytest.approx(score, abs=0.05)
+
+
+def test_viterbi():
+    counts = {"green": 50, "house": 40, "greenhouse": 1, "g": 1}
+    label = "greenhouse"
+    spans = {(a, b): counts[label[a:b]] for a in range(10) for b in range(a + 1, 11) if label[a:b] in counts}
+    assert url_filter.viterbi(label, spans, 92) in (["green", "house"], ["greenhouse"])
+    assert url_filter.viterbi(label, {k: v for k, v in spans.items() if k != (0, 10)}, 92) == ["green", "house"]
+    assert url_filter.viterbi("", {}, 0) == [] and "".join(url_filter.viterbi("xq", {}, 0)) == "xq"
+
+
+def test_rule_names():
+    assert Rule.of("block", "net/") == Rule("block", "net", "/") and Rule.of("allow", "a.b/c/").name == "a.b/c/"
