@@ -35,7 +35,7 @@ from stratum.llm.graph import components
 
 BANDS, ROWS = 24, 4
 #: Documents and shingles of a block, about.
-BLOCK_DOCS, BLOCK_SHINGLES = 256, 1_000_000
+BLOCK_DOCS, BLOCK_SHINGLES = 128, 500_000
 KNOWN_WORDS = 400_000
 SHIFTS = np.arange(BANDS * ROWS, dtype=np.uint32)[:, None]
 
