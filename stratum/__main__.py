@@ -18,7 +18,7 @@ import argparse
 import os
 import sys
 
-from stratum.operators import reports
+from stratum.operators import medallion, reports
 from stratum.plans import pipeline
 from stratum.session import build_session
 from stratum.sinks.catalog import write_json_report
@@ -40,25 +40,31 @@ PREVIEW_COLUMNS = {
 def _preview(spark, root: str, layer: str, version: int | None) -> list[dict]:
     df = pipeline.read_published(spark, root, layer, version)
     cols = PREVIEW_COLUMNS.get(layer)
-    rows = reports.preview(df, PREVIEW_ORDER[layer], PREVIEW_SIZES[layer], cols)
-    return [{k: reports.json_value(v) for k, v in r.asDict().items()} for r in rows.collect()]
+    return reports.records(reports.preview(df, PREVIEW_ORDER[layer], PREVIEW_SIZES[layer], cols))
 
 
-def write_reports(spark, root: str, out_dir: str, result: pipeline.RunResult | None = None) -> None:
-    """Write the report documents for the latest (or the given run's) version."""
-    staged_version = result.versions["staged"] if result else None
+def write_reports(
+    spark, root: str, out_dir: str, result: pipeline.RunResult | None = None, version: int | None = None
+) -> None:
+    """Write the report documents for the given run, the given version of all
+    layers, or the latest one."""
+    staged_version = result.versions["staged"] if result else version
     if result is None:
         counts = reports.staged_counts(
-            pipeline.read_published(spark, root, pipeline.STAGED), with_reasons=True
+            pipeline.read_published(spark, root, pipeline.STAGED, version), with_reasons=True
         ).first().asDict()
-        metrics = reports.metrics_from_counts(counts)
+        metrics = reports.metrics_from_counts(counts, pipeline.table_registry(spark, root).count())
         expectations = reports.expectations_from_counts(counts)
-        reasons = counts["reasons"][:10]
+        reasons = counts["reasons"]
     else:
         metrics, expectations, reasons = result.metrics, result.expectations, result.reasons
+    generated = medallion.run_timestamp()
     write_json_report(
+        spark,
         os.path.join(out_dir, "quality-report.json"),
         {
+            "schema": pipeline.REPORT_SCHEMA,
+            "generatedAt": generated,
             "summary": {
                 "acceptedRows": metrics["silver_rows"],
                 "failedRows": metrics["rejected_rows"],
@@ -71,15 +77,18 @@ def write_reports(spark, root: str, out_dir: str, result: pipeline.RunResult | N
     )
     versions = result.versions if result else {}
     for layer in ("bronze", "silver", "gold"):
-        version = versions.get(pipeline.STAGED if layer == "silver" else layer)
+        shown = versions.get(pipeline.STAGED if layer == "silver" else layer, version)
         write_json_report(
+            spark,
             os.path.join(out_dir, f"{layer}-preview.json"),
-            {"layer": layer, "rows": _preview(spark, root, layer, version)},
+            {"layer": layer, "rows": _preview(spark, root, layer, shown)},
         )
-    registry = [{k: reports.json_value(v) for k, v in r.asDict().items()} for r in pipeline.table_registry(spark, root).collect()]
     write_json_report(
+        spark,
         os.path.join(out_dir, "run-summary.json"),
         {
+            "schema": "stratum-run-summary-v1",
+            "generatedAt": generated,
             "summary": {
                 "sourceRows": metrics["source_rows"],
                 "bronzeRows": metrics["bronze_rows"],
@@ -89,7 +98,8 @@ def write_reports(spark, root: str, out_dir: str, result: pipeline.RunResult | N
                 "tables": metrics["tables"],
                 "qualityPassRatePct": metrics["quality_pass_rate_pct"],
             },
-            "tables": registry,
+            "kpis": [name for name, _ in medallion.REGION_KPIS],
+            "tables": reports.records(pipeline.table_registry(spark, root)),
         },
     )
 
@@ -107,6 +117,7 @@ def main(argv: list[str] | None = None) -> int:
     rep = sub.add_parser("reports", help="write reports for the latest published version")
     rep.add_argument("--out", required=True)
     rep.add_argument("--reports")
+    rep.add_argument("--version", type=int, help="the version of the layers (default: the latest)")
     ap.add_argument("--master", help="Spark master (default: the submitter's)")
     args = ap.parse_args(argv)
 
@@ -123,7 +134,7 @@ def main(argv: list[str] | None = None) -> int:
         result = pipeline.run_pipeline(source, args.out, malformed=malformed)
         write_reports(spark, args.out, report_dir, result)
     else:
-        write_reports(spark, args.out, report_dir)
+        write_reports(spark, args.out, report_dir, version=args.version)
     print(os.path.join(report_dir, "quality-report.json"))
     return 0
 

@@ -11,7 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 URL_PATTERN = r"^([A-Za-z][A-Za-z0-9+.\-]*)://(([^@/?#]*)@)?([^:/?#]*)(:([0-9]*))?([^?#]*)"
-HREF_PATTERN = r'href="([^"]*)"'
+# Attribute names are case-blind; a value is in either kind of quotes, or bare.
+HREF_PATTERN = r"""(?i)\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 # Markers of a local machine path inside a link target.
 MACHINE_PATH_MARKERS = ("/Users/", "/home/", "C:/Users/", "C:\\Users\\", "file://", "vscode://")
@@ -45,8 +46,9 @@ def url_path(url: Column) -> Column:
 
 
 def hrefs(html: Column) -> Column:
-    """All ``href="..."`` targets of a document, in order."""
-    return F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
+    """All ``href`` targets of a document, in order, without their quotes."""
+    raw = F.regexp_extract_all(html, F.lit(HREF_PATTERN), 1)
+    return F.transform(raw, lambda v: F.trim(F.regexp_replace(v, r"""^["']|["']$""", "")))
 
 
 def link_kind(link: Column) -> Column:
@@ -66,12 +68,32 @@ def link_kind(link: Column) -> Column:
     )
 
 
-def link_target(link: Column, kind: Column, page_path: Column) -> Column:
-    """Path a route or local link points at (query and fragment removed);
-    a relative link is taken from the folder of the page that holds it."""
+def resolved(link: Column, kind: Column, page_path: Column) -> Column:
+    """``path, escapes`` of a route or local link, without query and fragment.
+
+    A relative link starts from the folder of its page; empty and ``.``
+    segments go, ``..`` takes the segment before it away, and one that finds
+    none leaves the site.  The root is ``/``.
+    """
     path = F.regexp_extract(link, r"^([^#?]*)", 1)
-    folder = F.regexp_extract(page_path, r"^(.*/)", 1)
-    return (
-        F.when(kind == "route", path)
-        .when((kind == "local") & (path != ""), F.concat(folder, path))
-    )
+    folder = F.regexp_extract(F.concat(F.lit("/"), page_path), r"^(.*/)", 1)
+    full = F.when(kind == "route", path).when(path == "", page_path).otherwise(F.concat(folder, path))
+
+    def step(at: Column, s: Column) -> Column:
+        kept, escapes = at["kept"], at["escapes"]
+        pair = lambda k, e: F.struct(k.alias("kept"), e.alias("escapes"))
+        return (
+            F.when((s == "") | (s == "."), at)
+            .when(s != "..", pair(F.concat(kept, F.array(s)), escapes))
+            .when(F.size(kept) > 0, pair(F.slice(kept, F.lit(1), F.size(kept) - 1), escapes))
+            .otherwise(pair(kept, F.lit(True)))
+        )
+
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(False).alias("escapes"))
+    walked = F.aggregate(F.split(full, "/"), start, step)
+    return F.struct(F.concat(F.lit("/"), F.array_join(walked["kept"], "/")).alias("path"), walked["escapes"].alias("escapes"))
+
+
+def page_key(path: Column) -> Column:
+    """A page's path as links are matched with it: no slash at the end but the root's."""
+    return F.concat(F.lit("/"), F.regexp_replace(F.regexp_replace(path, "^/+", ""), "/+$", ""))

@@ -7,7 +7,8 @@ table (and no pairing of rows) is needed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Seque
     (R-1): ``explode(filter(array(terms), t -> contains(lower(text), t)))``.
 
     The whole text is scanned; the term list is a literal array, evaluated
-    per row inside whole-stage code generation.
+    per row.
     """
     term_array = F.array(*[F.lit(t.lower()) for t in terms])
     # Lower-case once per row, outside the lambda (a lambda does not share
@@ -37,50 +38,79 @@ def link_audit(pages: DataFrame, html_col: str = "html", url_col: str = "url") -
 
     Kinds, first match: ``machine_path`` (a local machine path marker),
     ``external`` (http, https, mailto, tel), ``anchor`` (``#...``), ``route``
-    (absolute ``/...``) and ``local`` (relative).  Routes and local links
-    are resolved against the paths of the known pages; one that resolves to
-    no page is broken.  Machine paths are always broken.
+    (absolute ``/...``) and ``local`` (relative); a local link that climbs out
+    of its site is ``escape``.  Routes and local links are resolved and matched
+    with the pages of the same host; one that finds no page is broken, and so
+    are machine paths and escapes.
     """
-    page_path = X.url_path(F.col(url_col))
+    url = F.col(url_col)
+    host = X.url_host(url)
     links = pages.select(
-        "page_id",
-        page_path.alias("_page_path"),
-        F.explode(X.hrefs(F.col(html_col))).alias("link"),
+        "page_id", host.alias("_host"), X.url_path(url).alias("_page_path"), F.explode(X.hrefs(F.col(html_col))).alias("link")
     )
-    kind = X.link_kind(F.col("link"))
-    target = X.link_target(F.col("link"), kind, F.col("_page_path"))
+    links = links.withColumn("_kind", X.link_kind(F.col("link")))
+    links = links.withColumn("_to", X.resolved(F.col("link"), F.col("_kind"), F.col("_page_path")))
+    inside = F.col("_kind").isin("route", "local")
+    kind = F.when(inside & F.col("_to.escapes"), F.lit("escape")).otherwise(F.col("_kind"))
+    # Host and path as one key: neither part holds a space.
+    target = F.when(inside, F.concat_ws(" ", "_host", X.page_key(F.col("_to.path"))))
     classified = links.select("page_id", "link", kind.alias("link_kind"), target.alias("_target"))
-    known = pages.select(page_path.alias("_known")).distinct()
+    known = pages.select(F.concat_ws(" ", host, X.page_key(X.url_path(url))).alias("_known")).distinct()
     # A popular target (say "/") can hold a large share of all links: the
     # join stays splittable for AQE on the link side.
     joined = join_unique_side(classified, known, "_target", "_known", "left")
-    broken = (
-        F.when(F.col("link_kind") == "machine_path", F.lit(True))
-        .when(F.col("link_kind").isin("route", "local") & F.col("_target").isNotNull(), F.col("_known").isNull())
-        .otherwise(F.lit(False))
+    broken = F.col("link_kind").isin("machine_path", "escape") | (
+        F.col("link_kind").isin("route", "local") & F.col("_known").isNull()
     )
     return joined.select("page_id", "link", "link_kind", broken.alias("broken"))
 
 
-def json_contract(
-    df: DataFrame,
-    json_col: str,
-    id_cols: Sequence[str],
-    required_keys: Sequence[str],
-    int_bounds: dict[str, tuple[int, int]] | None = None,
-) -> DataFrame:
-    """Rows whose JSON document breaks the contract, with the first
-    violation (R-3): not a JSON object; a required key missing; an integer
-    field outside its bounds (or not an integer)."""
-    keys = F.json_object_keys(F.col(json_col))
-    rules = [Rule("json_object", "malformed_json", keys.isNull())]
-    for k in required_keys:
-        rules.append(Rule(f"has_{k}", f"missing_key:{k}", ~F.array_contains(keys, F.lit(k))))
-    for k, (lo, hi) in (int_bounds or {}).items():
-        value = F.get_json_object(F.col(json_col), f"$.{k}").try_cast("bigint")
-        rules.append(Rule(f"{k}_in_range", f"out_of_range:{k}", value.isNull() | (value < lo) | (value > hi)))
-    violation = first_match(rules)
-    return df.select(*id_cols, violation.alias("violation")).filter(F.col("violation").isNotNull())
+@dataclass(frozen=True)
+class JsonContract:
+    """What a JSON document must hold.
+
+    Names are paths of keys joined by dots, ``section.key``.  ``required``
+    must be present; ``bounds`` are integers from low to high; ``lists`` have
+    so many entries at least; every entry of a list in ``item_keys`` is an
+    object with these keys.
+    """
+
+    required: Sequence[str] = ()
+    bounds: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+    lists: Mapping[str, int] = field(default_factory=dict)
+    item_keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def rules(self, doc: Column) -> list[Rule]:
+        """In order: an object, its keys, its numbers, its lists, their items.
+
+        ``doc`` is the document parsed once, as a variant.
+        """
+        at = lambda path, kind: F.try_variant_get(doc, f"$.{path}", kind)
+        items = lambda path: at(path, "array<variant>")
+        rules = [Rule("json_object", "malformed_json", ~F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False)))]
+        for k in self.required:
+            rules.append(Rule(f"has_{k}", f"missing_key:{k}", at(k, "variant").isNull()))
+        for k, (low, high) in self.bounds.items():
+            n = at(k, "bigint")
+            rules.append(Rule(f"{k}_in_range", f"out_of_range:{k}", n.isNull() | (n < low) | (n > high)))
+        for k, least in self.lists.items():
+            rules.append(Rule(f"{k}_long_enough", f"short_list:{k}", F.coalesce(F.size(items(k)) < least, F.lit(True))))
+        for k, keys in self.item_keys.items():
+            for key in keys:
+                rules.append(Rule(f"{k}_items_have_{key}", f"item_without:{k}.{key}", F.exists(items(k), _lacks(key))))
+        return rules
+
+
+def _lacks(key: str) -> Callable[[Column], Column]:
+    return lambda item: F.try_variant_get(item, f"$.{key}", "variant").isNull()
+
+
+def json_contract(df: DataFrame, json_col: str, id_cols: Sequence[str], contract: JsonContract) -> DataFrame:
+    """Rows whose JSON document breaks the contract, with the first violation
+    (R-3).  A document is parsed once; a NULL or unreadable one is malformed."""
+    parsed = df.select(*id_cols, F.try_parse_json(F.col(json_col)).alias("_doc"))
+    violation = first_match(contract.rules(F.col("_doc")))
+    return parsed.select(*id_cols, violation.alias("violation")).filter(F.col("violation").isNotNull())
 
 
 def url_policy(df: DataFrame, url_col: str, id_cols: Sequence[str], allowed_domains: Sequence[str]) -> DataFrame:

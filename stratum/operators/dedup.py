@@ -97,46 +97,34 @@ def version_rank(
     keys: Sequence[str],
     order: Sequence[str],
     rank_col: str = "row_rank",
-    partitions: int | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Every row with its exact version rank (1 = newest), as
     ``row_number() OVER (PARTITION BY keys ORDER BY order DESC NULLS LAST)``
-    gives it, without sending any key's rows to one task.
-
-    1. Range-partition by (keys, order newest first): the sampled bounds cut
-       a hot key's versions into many partitions, in rank order.
-    2. Checkpoint (into the session's shared checkpoint folder) so that every
-       row keeps the partition it was given; the next steps read it twice.
-    3. Rank inside each (partition, key) and count each (key, partition).
-    4. A key's rank offset in a partition is the sum of its counts in the
-       earlier partitions: a window over at most one row per partition.
-    """
-    from stratum.session import ensure_checkpoint_dir
+    gives it, without sending a key's whole history to one task.
 
+    ``bucket`` cuts a key's versions into stretches and must never fall when
+    the first order column rises; by default it is that column's day.  A row's
+    rank is the number of the key's rows in later buckets, from a map-side
+    combined count, plus its rank inside its (key, bucket).  Nothing runs
+    while the plan is built, and nothing is sampled or written.
+    """
     keys = list(keys)
-    order = list(order)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     newest_first = _newest_first(order)
-    ranged = (
-        df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys], *newest_first)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint(eager=True)
+    bucketed = df.withColumn("_bucket", bucket if bucket is not None else F.to_date(F.col(order[0])))
+    local = bucketed.withColumn(
+        "_local_rank", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*newest_first))
     )
-    local = ranged.withColumn(
-        "_local_rank", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*newest_first))
-    )
-    counts = ranged.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc_nulls_last())
     offsets = counts.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_part").alias("_o_part"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"),
-    )
-    cond = F.col("_part") == F.col("_o_part")
+        F.col("_bucket").alias("_o_bucket"),
+        F.sum("_n").over(later.rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),
+    ).filter(F.col("_offset").isNotNull())
+    # Only the older buckets of keys that have several need an offset.
+    cond = F.col("_bucket").eqNullSafe(F.col("_o_bucket"))
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    joined = local.join(offsets, cond, "inner")
-    rank = (F.col("_local_rank") + F.col("_offset")).cast("int").alias(rank_col)
-    return joined.select(*[F.col(c) for c in df.columns], rank)
+    rank = (F.col("_local_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(rank_col)
+    return local.join(offsets, cond, "left").select(*[F.col(c) for c in df.columns], rank)

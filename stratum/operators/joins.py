@@ -27,22 +27,3 @@ def join_unique_side(
     u = unique.withColumn("_uh", F.xxhash64(F.col(unique_key)))
     cond = (r["_jh"] == u["_uh"]) & (r[rows_key] == u[unique_key])
     return r.join(u, cond, how).drop("_jh", "_uh")
-
-
-# (application id, table key) -> whether the table was within its row bound.
-_BOUND_CHECKS: dict[tuple[str, str, int], bool] = {}
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int, key: str) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    For dimension tables with a known small size.  The bound is checked once
-    per session and table (``key``, e.g. its path) by reading at most
-    ``max_rows + 1`` rows; past the bound the side is left to the planner,
-    which shuffles it (or broadcasts it from run-time sizes under AQE).
-    """
-    spark = df.sparkSession
-    cache_key = (spark.sparkContext.applicationId, key, max_rows)
-    if cache_key not in _BOUND_CHECKS:
-        _BOUND_CHECKS[cache_key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _BOUND_CHECKS[cache_key] else df

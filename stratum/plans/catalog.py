@@ -8,6 +8,7 @@ Every query reads whole tables; previews and the bounded read keep their
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,9 @@ RUN_TS = "2026-01-01 00:00:00"
 PREVIOUS_RUN_TS = "2025-12-31 00:00:00"
 # An earlier load holds the orders dated before this day.
 EARLIER_LOAD_BEFORE = "1998-01-01 00:00:00"
-BOUNDED_READ_LIMIT = 20
+BOUNDED_READ_LIMIT = 4
+# The earlier load had a region that has no orders today, and lacked one.
+CLOSED_REGION, NEW_REGION = "AFRICA", "EUROPE"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,18 +142,18 @@ def pipeline_summary(spark, sf_dir):
 def _earlier_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold of the earlier load: orders dated before the cut-off."""
     b = _bronze(spark, sf_dir).filter(F.col("order_ts") < F.lit(EARLIER_LOAD_BEFORE).cast("timestamp_ntz"))
-    return medallion.gold(medallion.silver(b)).withColumn(
-        "loaded_at", F.lit(PREVIOUS_RUN_TS).cast("timestamp_ntz")
-    )
+    gold = medallion.gold(medallion.silver(b)).filter(F.col("region") != NEW_REGION)
+    return gold.withColumn("loaded_at", F.lit(PREVIOUS_RUN_TS).cast("timestamp_ntz"))
 
 
 def gold_upsert(spark, sf_dir):
-    """Today's gold upserted into the table the earlier load published."""
+    """Today's gold upserted into the table the earlier load published: one
+    region is kept from it, one is new, the others are updated."""
     # Gold is a GROUP BY region result, unique on region by construction, so
     # the duplicate-key check (an extra job over the source) is not needed.
     return keyed_upsert(
         _earlier_gold(spark, sf_dir),
-        _gold(spark, sf_dir),
+        _gold(spark, sf_dir).filter(F.col("region") != CLOSED_REGION),
         ["region"],
         stamp=F.lit(RUN_TS).cast("timestamp_ntz"),
         check_unique=False,
@@ -179,7 +182,7 @@ def gold_bounded_read(spark, sf_dir):
 
 def order_version_ranks(spark, sf_dir):
     """Every source row's exact version rank within its order (W-2), hot
-    orders included (range-partitioned ranking, see dedup.version_rank)."""
+    orders included (ranked inside days, see dedup.version_rank)."""
     return dedup.version_rank(order_versions(spark, sf_dir), ["order_id"], ["order_ts", "source_rank"])
 
 
@@ -191,27 +194,58 @@ def rejection_impact(spark, sf_dir):
     return reports.rejection_impact(_staged(spark, sf_dir))
 
 
-def layer_reconciliation(spark, sf_dir):
-    staged = _staged(spark, sf_dir)
-    return checks.reconciliation(staged, medallion.gold(split_accepted(staged)))
+def _each_layer(checked: dict[str, DataFrame]) -> DataFrame:
+    parts = [df.withColumn("layer", F.lit(name)) for name, df in checked.items()]
+    return reduce(DataFrame.unionAll, parts)
 
 
-def split_accepted(staged: DataFrame) -> DataFrame:
-    return medallion.split(staged)[0]
+def layer_reconciliation(spark, sf_dir):
+    """The layers as they are, and with bronze taken for silver, which must
+    not reconcile.  Silver and rejected come from plans of their own."""
+    bronze, gold = _bronze(spark, sf_dir), _gold(spark, sf_dir)
+    rejected = medallion.rejected(bronze, versions=order_versions(spark, sf_dir))
+    return _each_layer(
+        {
+            "silver": checks.reconciliation(bronze, medallion.silver(bronze), rejected, gold),
+            "bronze": checks.reconciliation(bronze, bronze, rejected, gold),
+        }
+    )
 
 
 def validation_cases(spark, sf_dir):
-    return checks.validation_cases(_staged(spark, sf_dir))
+    """The cases over silver, where all pass, and over bronze, where the rows
+    that silver must not hold are counted."""
+    bronze = _bronze(spark, sf_dir)
+    return _each_layer(
+        {
+            "silver": checks.validation_cases(medallion.silver(bronze), bronze),
+            "bronze": checks.validation_cases(bronze, bronze),
+        }
+    )
 
 
 def gold_contract(spark, sf_dir):
-    """Gold's rows checked against its published column contract (D-3)."""
-    return contract_violations(_gold(spark, sf_dir), "gold_region_kpis")
+    """Gold's rows checked against its published column contract (D-3), and
+    gold of all bronze rows, whose rows without a region break it."""
+    everything = medallion.gold(_bronze(spark, sf_dir))
+    return _each_layer(
+        {
+            "gold": contract_violations(_gold(spark, sf_dir), "gold_region_kpis"),
+            "bronze": contract_violations(everything, "gold_region_kpis"),
+        }
+    )
 
 
 def silver_contract(spark, sf_dir):
-    """Silver's rows checked against its column contract (D-3)."""
-    return contract_violations(_silver(spark, sf_dir), "silver_orders")
+    """Silver's rows checked against its column contract (D-3), and bronze
+    rows against the same, which have NULLs and lack columns."""
+    bronze = _bronze(spark, sf_dir)
+    return _each_layer(
+        {
+            "silver": contract_violations(medallion.silver(bronze), "silver_orders"),
+            "bronze": contract_violations(bronze, "silver_orders"),
+        }
+    )
 
 
 def silver_snapshot_diff(spark, sf_dir):
@@ -237,11 +271,11 @@ def source_preview_q(spark, sf_dir):
 
 LINEITEM_SPEC = StageSpec(
     rules=(
-        Rule("positive_quantity", "non_positive_quantity", "l_quantity <= 0"),
-        Rule("discount_in_range", "discount_out_of_range", "l_discount < 0 OR l_discount > 0.10"),
+        Rule("bulk_quantity", "bulk_quantity", "l_quantity > 45"),
+        Rule("discount_in_range", "discount_out_of_range", "l_discount < 0 OR l_discount > 0.08"),
     ),
     keys=("l_orderkey", "l_linenumber"),
-    version=("l_shipdate", "l_extendedprice"),
+    version=("l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity"),
 )
 
 
@@ -253,10 +287,10 @@ def lineitem_latest(spark, sf_dir):
 
 
 def lineitem_rejections(spark, sf_dir):
-    """Rows and quantity per rejection reason of the line items, from one
-    pass per (order, line) - no staging of every row."""
+    """Rows and quantity per rejection reason of the line items, without
+    staging every row."""
     lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_discount",
+        "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_partkey", "l_suppkey", "l_discount",
         # quantities are whole numbers: summed exactly as DECIMAL
         F.col("l_quantity").cast("decimal(18,2)").alias("l_quantity"),
     )
@@ -306,26 +340,8 @@ def orders_without_lines(spark, sf_dir):
     return orders.join(line_keys, "o_orderkey", "left_anti")
 
 
-# Terms the neutral-positioning scan looks for.
-BANNED_TERMS = (
-    "hiring",
-    "recruiter",
-    "job seeker",
-    "job-seeker",
-    "interview prep",
-    "career signal",
-    "best fit roles",
-    "role-fit",
-    "role_fit",
-    "cover letter",
-    "job description",
-    "required qualifications",
-    "preferred qualifications",
-    "채용",
-    "취업",
-    "구직",
-    "입사",
-)
+# Terms that the scan reports: insults, licence notices and secrets.
+BANNED_TERMS = ("idiot", "worthless", "pathetic", "disgusting", "licensed under", "general public license", "token =")
 
 
 def banned_term_scan(spark, sf_dir):
@@ -353,8 +369,12 @@ def link_audit(spark, sf_dir):
 
 
 # Contract of an event's props document: key k present, an integer 0..89.
-EVENT_PROPS_REQUIRED = ("k",)
-EVENT_PROPS_BOUNDS = {"k": (0, 89)}
+EVENT_PROPS = corpus.JsonContract(required=("k",), bounds={"k": (0, 89)})
+# Contract of an order document: head.status, three lines at least, each with
+# a discount, a total in bounds.
+ORDER_DOCUMENT = corpus.JsonContract(
+    required=("key", "head.status"), bounds={"head.total": (0, 400_000)}, lists={"lines": 3}, item_keys={"lines": ("number", "discount")}
+)
 
 
 def json_contract(spark, sf_dir):
@@ -362,11 +382,28 @@ def json_contract(spark, sf_dir):
         read_table(spark, sf_dir, "events"),
         "props",
         ["event_id", "event_type"],
-        EVENT_PROPS_REQUIRED,
-        EVENT_PROPS_BOUNDS,
+        EVENT_PROPS,
     )
 
 
+def order_documents(spark, sf_dir):
+    """One JSON document an order, with its lines; a discount of 0 is left out."""
+    discount = F.when(F.col("l_discount") > 0, F.col("l_discount")).alias("discount")
+    lines = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.struct(F.col("l_linenumber").alias("number"), discount).alias("line")
+    )
+    # An order has a handful of lines.
+    per_order = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    head = F.struct(F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.floor("o_totalprice").alias("total"))
+    joined = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+    return joined.select("o_orderkey", F.to_json(F.struct(F.col("o_orderkey").alias("key"), head.alias("head"), "lines")).alias("document"))
+
+
+def order_document_contract(spark, sf_dir):
+    return corpus.json_contract(order_documents(spark, sf_dir), "document", ["o_orderkey"], ORDER_DOCUMENT)
+
+
 ALLOWED_PAGE_DOMAINS = ("example.com", "example.org")
 
 
@@ -418,5 +455,6 @@ QUERIES: dict[str, Query] = {
     "banned_term_scan": banned_term_scan,
     "link_audit": link_audit,
     "json_contract": json_contract,
+    "order_document_contract": order_document_contract,
     "url_policy": url_policy,
 }

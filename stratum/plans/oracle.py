@@ -106,11 +106,13 @@ PASS_RATE = (
 )
 
 UPSERTED = f"""
-earlier_published AS (SELECT *, TIMESTAMP '{C.PREVIOUS_RUN_TS}' AS loaded_at FROM e_gold),
+earlier_published AS (
+  SELECT *, TIMESTAMP '{C.PREVIOUS_RUN_TS}' AS loaded_at FROM e_gold WHERE region <> '{C.NEW_REGION}'),
+today AS (SELECT * FROM gold WHERE region <> '{C.CLOSED_REGION}'),
 upserted AS (
-  SELECT * FROM earlier_published t WHERE NOT EXISTS (SELECT 1 FROM gold s WHERE s.region = t.region)
+  SELECT * FROM earlier_published t WHERE NOT EXISTS (SELECT 1 FROM today s WHERE s.region = t.region)
   UNION ALL
-  SELECT *, TIMESTAMP '{C.RUN_TS}' AS loaded_at FROM gold
+  SELECT *, TIMESTAMP '{C.RUN_TS}' AS loaded_at FROM today
 )"""
 
 
@@ -134,35 +136,47 @@ def _sql_str(s: str) -> str:
 
 
 def _link_audit() -> str:
-    p = _sql_str(X.URL_PATTERN)
+    """Links cut out and resolved apart from the engine's patterns: hosts and
+    paths by splitting, dot segments by a recursive walk over the segments."""
     machine = " OR ".join(f"contains(link, {_sql_str(m)})" for m in X.MACHINE_PATH_MARKERS)
     external = " OR ".join(f"starts_with(lower(link), {_sql_str(e)})" for e in X.EXTERNAL_PREFIXES)
-    return f"""
-WITH links AS (
-  SELECT page_id, regexp_extract(url, {p}, 7) AS page_path,
-         unnest(regexp_extract_all(html, {_sql_str(X.HREF_PATTERN)}, 1)) AS link
-  FROM pages),
+    return rf"""
+WITH RECURSIVE sites AS (
+  SELECT page_id, html, split_part(split_part(split_part(url, '://', 2), '#', 1), '?', 1) AS rest FROM pages),
+placed AS (
+  SELECT page_id, html, lower(split_part(rest, '/', 1)) AS host, substr(rest, length(split_part(rest, '/', 1)) + 1) AS page_path
+  FROM sites),
+cut AS (
+  SELECT page_id, host, page_path,
+         unnest(list_transform(string_split_regex(html, '[hH][rR][eE][fF]\s*=\s*')[2:],
+           lambda x: CASE WHEN x[1] IN (chr(34), chr(39)) THEN split_part(x[2:], x[1], 1)
+                          ELSE regexp_extract(x, '^[^\s>]*') END)) AS link
+  FROM placed),
+numbered AS (SELECT row_number() OVER () AS n, page_id, host, page_path, trim(link) AS link FROM cut),
 kinds AS (
-  SELECT page_id, link, page_path,
-         CASE WHEN {machine} THEN 'machine_path'
-              WHEN {external} THEN 'external'
-              WHEN starts_with(link, '#') THEN 'anchor'
-              WHEN starts_with(link, '/') THEN 'route'
-              ELSE 'local' END AS link_kind,
-         regexp_extract(link, '^([^#?]*)', 1) AS link_path
-  FROM links),
-targets AS (
-  SELECT page_id, link, link_kind,
-         CASE WHEN link_kind = 'route' THEN link_path
-              WHEN link_kind = 'local' AND link_path <> '' THEN regexp_extract(page_path, '^(.*/)', 1) || link_path
-         END AS target
-  FROM kinds),
-known AS (SELECT DISTINCT regexp_extract(url, {p}, 7) AS known FROM pages)
-SELECT page_id, link, link_kind,
-       CASE WHEN link_kind = 'machine_path' THEN TRUE
-            WHEN link_kind IN ('route', 'local') AND target IS NOT NULL THEN k.known IS NULL
-            ELSE FALSE END AS broken
-FROM targets t LEFT JOIN known k ON t.target = k.known
+  SELECT *, CASE WHEN {machine} THEN 'machine_path'
+                 WHEN {external} THEN 'external'
+                 WHEN starts_with(link, '#') THEN 'anchor'
+                 WHEN starts_with(link, '/') THEN 'route'
+                 ELSE 'local' END AS kind,
+         split_part(split_part(link, '#', 1), '?', 1) AS path
+  FROM numbered),
+steps AS (
+  SELECT n, list_filter(string_split(CASE WHEN kind = 'route' THEN path WHEN path = '' THEN page_path
+      ELSE regexp_replace('/' || page_path, '[^/]*$', '') || path END, '/'), lambda s: s NOT IN ('', '.')) AS ahead,
+    []::VARCHAR[] AS kept, FALSE AS escapes
+  FROM kinds WHERE kind IN ('route', 'local')),
+walk AS (
+  SELECT * FROM steps
+  UNION ALL
+  SELECT n, ahead[2:], CASE WHEN ahead[1] <> '..' THEN list_append(kept, ahead[1]) ELSE kept[:len(kept) - 1] END,
+    escapes OR (ahead[1] = '..' AND len(kept) = 0)
+  FROM walk WHERE len(ahead) > 0),
+ends AS (SELECT n, '/' || array_to_string(kept, '/') AS target, escapes FROM walk WHERE len(ahead) = 0),
+known AS (SELECT DISTINCT host, '/' || trim(page_path, '/') AS known FROM placed)
+SELECT k.page_id, k.link, CASE WHEN e.escapes THEN 'escape' ELSE k.kind END AS link_kind,
+       k.kind = 'machine_path' OR coalesce(e.escapes, FALSE) OR (k.kind IN ('route', 'local') AND p.known IS NULL) AS broken
+FROM kinds k LEFT JOIN ends e ON e.n = k.n LEFT JOIN known p ON p.host = k.host AND p.known = e.target
 """
 
 
@@ -190,8 +204,7 @@ FROM parts
 
 
 def _json_contract() -> str:
-    (key,) = C.EVENT_PROPS_REQUIRED
-    lo, hi = C.EVENT_PROPS_BOUNDS[key]
+    ((key, (lo, hi)),) = C.EVENT_PROPS.bounds.items()
     return f"""
 SELECT event_id, event_type, violation FROM (
   SELECT event_id, event_type,
@@ -206,40 +219,75 @@ WHERE violation IS NOT NULL
 """
 
 
-def _contract(table: str, source_cte: str) -> str:
+def _order_document_contract() -> str:
+    return """
+WITH lines AS (
+  SELECT l_orderkey, count(*) AS n, count_if(l_discount <= 0) AS undiscounted FROM lineitem GROUP BY l_orderkey)
+SELECT o_orderkey, violation FROM (
+  SELECT o_orderkey,
+    CASE WHEN o_orderstatus = 'P' THEN 'missing_key:head.status'
+         WHEN floor(o_totalprice) < 0 OR floor(o_totalprice) > 400000 THEN 'out_of_range:head.total'
+         WHEN coalesce(n, 0) < 3 THEN 'short_list:lines'
+         WHEN undiscounted > 0 THEN 'item_without:lines.discount' END AS violation
+  FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey)
+WHERE violation IS NOT NULL"""
+
+
+def _contract(table: str, layers: dict[str, str], more: str = "") -> str:
     """Declared contract rows with NOT NULL violations counted on the data
-    (the declared types are the expected Spark types)."""
+    (the declared types are the expected Spark types).  Bronze rows lack the
+    columns that staging adds."""
+    added = {"quality_issue", "row_rank", "rejection_reason"}
     rows = []
-    for name, declared, nullable in CONTRACTS[table]:
-        nulls = "CAST(count_if(FALSE) AS BIGINT)" if nullable else f"CAST(count_if({name} IS NULL) AS BIGINT)"
-        rows.append(
-            f"SELECT '{table}' AS table_name, '{name}' AS column_name, '{declared}' AS declared_type, "
-            f"'{declared}' AS actual_type, {str(nullable).upper()} AS nullable, TRUE AS type_ok, "
-            f"{nulls} AS null_violations FROM {source_cte}"
-        )
-    return with_medallion("\nUNION ALL\n".join(rows))
+    for layer, source in layers.items():
+        for name, declared, nullable in CONTRACTS[table]:
+            found = "missing" if source == "bronze" and name in added else declared
+            counted = not nullable and found != "missing"
+            nulls = f"CAST(count_if({name} IS NULL) AS BIGINT)" if counted else "CAST(count_if(FALSE) AS BIGINT)"
+            rows.append(
+                f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{name}' AS column_name, "
+                f"'{declared}' AS declared_type, '{found}' AS actual_type, {str(nullable).upper()} AS nullable, "
+                f"{str(found == declared).upper()} AS type_ok, {nulls} AS null_violations FROM {source}"
+            )
+    ctes = f"WITH {medallion_ctes()}" + (f",\n{more}" if more else "")
+    return ctes + "\n" + "\nUNION ALL\n".join(rows)
 
 
-def _gold_contract() -> str:
-    return _contract("gold_region_kpis", "gold")
+def _validation_cases() -> str:
+    extra = (
+        "(count(*) - (count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END))"
+        " + count_if(NOT is_latest))"
+    )
+    exprs = ["count_if(customer_id IS NULL)", "count_if(region IS NULL)", "count_if(amount <= 0)", extra]
+    rows = []
+    for layer, source in (("silver", "silver"), ("bronze", "reasoned")):
+        for (case_id, focus, assertion), expr in zip(VALIDATION_CASES, exprs):
+            rows.append(
+                f"SELECT '{layer}' AS layer, {_sql_str(case_id)} AS case_id, {_sql_str(focus)} AS focus, "
+                f"{_sql_str(assertion)} AS assertion, CAST({expr} AS BIGINT) AS violations, 'pass' AS expected_status, "
+                f"CASE WHEN {expr} = 0 THEN 'pass' ELSE 'fail' END AS status FROM {source}"
+            )
+    return with_medallion("\nUNION ALL\n".join(rows))
 
 
-def _validation_cases() -> str:
-    checks = [
-        "count_if(rejection_reason IS NULL AND customer_id IS NULL)",
-        "count_if(rejection_reason IS NULL AND region IS NULL)",
-        "count_if(rejection_reason IS NULL AND amount <= 0)",
-        "(count_if(rejection_reason IS NULL AND NOT is_latest) + count_if(rejection_reason IS NULL)"
-        " - count(DISTINCT CASE WHEN rejection_reason IS NULL THEN order_id END)"
-        " - max(CASE WHEN rejection_reason IS NULL AND order_id IS NULL THEN 1 ELSE 0 END))",
-    ]
+def _reconciliation() -> str:
+    bronze, rejected = (f"(SELECT CAST(count(*) AS BIGINT) FROM {t})" for t in ("bronze", "rejected"))
     rows = []
-    for (case_id, focus, assertion), expr in zip(VALIDATION_CASES, checks):
-        rows.append(
-            f"SELECT {_sql_str(case_id)} AS case_id, {_sql_str(focus)} AS focus, {_sql_str(assertion)} AS assertion, "
-            f"CAST({expr} AS BIGINT) AS violations, 'pass' AS expected_status, "
-            f"CASE WHEN {expr} = 0 THEN 'pass' ELSE 'fail' END AS status FROM reasoned"
-        )
+    for layer in ("silver", "bronze"):
+        one = f"(SELECT CAST(count(*) AS BIGINT) FROM {layer})"
+        keys = f"(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT order_id FROM {layer}))"
+        every = "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT order_id FROM bronze))"
+        checks = [
+            ("bronze_equals_silver_plus_rejected", bronze, f"{one} + {rejected}"),
+            ("gold_accepted_equals_silver", one, "(SELECT CAST(sum(accepted_orders) AS BIGINT) FROM gold)"),
+            ("one_silver_row_per_key", one, keys),
+            ("silver_keys_are_in_bronze", one, f"least({one}, {every})"),
+        ]
+        for name, expected, actual in checks:
+            rows.append(
+                f"SELECT '{layer}' AS layer, '{name}' AS check_name, {expected} AS expected, {actual} AS actual, "
+                f"{expected} = {actual} AS ok"
+            )
     return with_medallion("\nUNION ALL\n".join(rows))
 
 
@@ -256,10 +304,11 @@ LINEITEM_COLS = (
 LINEITEM_STAGED = """
 WITH ranked AS (
   SELECT *,
-         CASE WHEN l_quantity <= 0 THEN 'non_positive_quantity'
-              WHEN l_discount < 0 OR l_discount > 0.10 THEN 'discount_out_of_range' END AS quality_issue,
+         CASE WHEN l_quantity > 45 THEN 'bulk_quantity'
+              WHEN l_discount < 0 OR l_discount > 0.08 THEN 'discount_out_of_range' END AS quality_issue,
          row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-                            ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC) AS row_rank
+                            ORDER BY l_shipdate DESC NULLS LAST, l_extendedprice DESC, l_partkey DESC,
+                                     l_suppkey DESC, l_quantity DESC) AS row_rank
   FROM lineitem),
 reasoned AS (
   SELECT *, COALESCE(quality_issue, CASE WHEN row_rank > 1 THEN 'stale_duplicate' END) AS rejection_reason
@@ -283,11 +332,11 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(count(*) AS BIGINT) AS source_rows, CAST(count(*) AS BIGINT) AS bronze_rows, "
         "CAST(count_if(rejection_reason IS NULL) AS BIGINT) AS silver_rows, "
         "CAST(count_if(rejection_reason IS NOT NULL) AS BIGINT) AS rejected_rows, "
-        "(SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows, CAST(4 AS BIGINT) AS tables, "
+        "(SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows, CAST(3 AS BIGINT) AS tables, "
         f"{PASS_RATE} AS quality_pass_rate_pct FROM reasoned"
     )
     q["rejection_reasons"] = with_medallion(
-        "SELECT DISTINCT rejection_reason FROM rejected ORDER BY rejection_reason LIMIT 10"
+        "SELECT DISTINCT rejection_reason FROM rejected ORDER BY rejection_reason"
     )
     q["rejected_preview"] = with_medallion(
         "SELECT order_id, customer_id, region, CAST(amount AS DOUBLE) AS amount, rejection_reason "
@@ -330,31 +379,14 @@ def oracle_sql() -> dict[str, str]:
         "SELECT region, rejection_reason, CAST(count(*) AS BIGINT) AS rejected_rows, "
         "CAST(sum(amount) AS DOUBLE) AS rejected_amount_usd FROM rejected GROUP BY region, rejection_reason"
     )
-    q["layer_reconciliation"] = with_medallion(
-        """
-SELECT 'bronze_equals_silver_plus_rejected' AS check_name,
-       (SELECT CAST(count(*) AS BIGINT) FROM reasoned) AS expected,
-       (SELECT CAST(count(*) AS BIGINT) FROM silver) + (SELECT CAST(count(*) AS BIGINT) FROM rejected) AS actual,
-       (SELECT count(*) FROM reasoned) = (SELECT count(*) FROM silver) + (SELECT count(*) FROM rejected) AS ok
-UNION ALL
-SELECT 'gold_accepted_equals_silver',
-       (SELECT CAST(count(*) AS BIGINT) FROM silver),
-       (SELECT CAST(sum(accepted_orders) AS BIGINT) FROM gold),
-       (SELECT count(*) FROM silver) = (SELECT sum(accepted_orders) FROM gold)
-UNION ALL
-SELECT 'one_silver_row_per_key',
-       (SELECT CAST(count(*) AS BIGINT) FROM silver),
-       (SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT order_id FROM silver)),
-       (SELECT count(*) FROM silver) = (SELECT count(*) FROM (SELECT DISTINCT order_id FROM silver))
-UNION ALL
-SELECT 'silver_rows_are_newest', CAST(0 AS BIGINT),
-       (SELECT CAST(count(*) AS BIGINT) FROM silver WHERE NOT is_latest),
-       (SELECT count(*) FROM silver WHERE NOT is_latest) = 0
-"""
-    )
+    q["layer_reconciliation"] = _reconciliation()
     q["validation_cases"] = _validation_cases()
-    q["gold_contract"] = _gold_contract()
-    q["silver_contract"] = _contract("silver_orders", "silver")
+    q["gold_contract"] = _contract(
+        "gold_region_kpis",
+        {"gold": "gold", "bronze": "every_gold"},
+        f"every_gold AS ({GOLD_SELECT.format(silver='bronze')})",
+    )
+    q["silver_contract"] = _contract("silver_orders", {"silver": "silver", "bronze": "bronze"})
     q["snapshot_diff"] = (
         f"WITH {medallion_ctes()},\n{medallion_ctes('e_', EARLIER)}\n"
         """
@@ -416,5 +448,6 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
     q["banned_term_scan"] = _term_scan()
     q["link_audit"] = _link_audit()
     q["json_contract"] = _json_contract()
+    q["order_document_contract"] = _order_document_contract()
     q["url_policy"] = _url_policy()
     return q

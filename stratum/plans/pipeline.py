@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import checks, medallion, reports
+from stratum.operators.contracts import CONTRACTS, schema_faults
 from stratum.operators.medallion import ORDER_SPEC, StageSpec
 from stratum.sinks import snapshots
 
@@ -62,42 +63,43 @@ def run_pipeline(
 ) -> RunResult:
     spark = source.sparkSession
     committed = snapshots.latest_versions(spark, root)
-    versions = {t: committed.get(t, -1) + 1 for t in ("bronze", STAGED, "gold")}
-    rows: dict[str, int] = {}
+    done: dict[str, snapshots.Written] = {}
 
-    rows["bronze"] = snapshots.write_version(medallion.bronze(source, ingested_at), root, "bronze", versions["bronze"])
-    bronze = snapshots.read_layer(spark, root, "bronze", versions["bronze"], check=False)
+    def publish(df: DataFrame, table: str, contract: str | None = None, **how) -> DataFrame:
+        version = committed.get(table, -1) + 1
+        done[table] = snapshots.write_version(
+            df, root, table, version, contract=CONTRACTS[contract] if contract else None, **how
+        )
+        return snapshots.read_written(spark, root, done[table])
+
+    bronze = publish(medallion.bronze(source, ingested_at), "bronze", "bronze_orders")
 
     staged = medallion.stage(bronze, spec).withColumn(
         "layer", F.when(F.col("rejection_reason").isNull(), F.lit("silver")).otherwise(F.lit("rejected"))
     )
-    rows[STAGED] = snapshots.write_version(staged, root, STAGED, versions[STAGED], partition_by=["layer"])
-    staged = snapshots.read_layer(spark, root, STAGED, versions[STAGED], check=False)
+    staged = publish(staged, STAGED, partition_by=["layer"])
 
-    silver = staged.filter(F.col("layer") == "silver")
+    silver = medallion.silver_columns(staged.filter(F.col("layer") == "silver").drop("layer"))
+    if faults := schema_faults(silver, CONTRACTS["silver_orders"]):
+        raise snapshots.ContractError(f"silver breaks its contract: {'; '.join(faults)}")
     # Gold has one row per region: one output file, gathered by a shuffle of
     # those few rows so the aggregation upstream keeps its parallelism.
-    gold = medallion.gold(medallion.silver_columns(silver)).repartition(1)
-    rows["gold"] = snapshots.write_version(gold, root, "gold", versions["gold"])
-
-    tables = ["bronze", STAGED, "gold"]
+    publish(medallion.gold(silver).repartition(1), "gold", "gold_region_kpis")
     if malformed is not None:
         # Records the source scan could not read (see
         # read_order_csv_quarantined) are kept with the run that met them.
-        versions["malformed"] = committed.get("malformed", -1) + 1
-        rows["malformed"] = snapshots.write_version(malformed, root, "malformed", versions["malformed"])
-        tables.append("malformed")
+        publish(malformed, "malformed")
 
     # The run's versions become visible together, with one log append.
-    snapshots.commit(spark, root, [(t, versions[t], rows[t]) for t in tables])
+    snapshots.commit(spark, root, list(done.values()))
 
     # One aggregate over the written staged rows gives every report number.
     counts = reports.staged_counts(staged, spec.rules, with_reasons=True).first().asDict()
     return RunResult(
-        versions,
-        reports.metrics_from_counts(counts),
+        {t: w.version for t, w in done.items()},
+        reports.metrics_from_counts(counts, len(done)),
         reports.expectations_from_counts(counts, spec.rules),
-        counts["reasons"][:10],
+        counts["reasons"],
     )
 
 
@@ -107,7 +109,10 @@ TABLE_CONTRACTS = {
     "staged": "every bronze row with its quality issue, version flag and one rejection reason; "
     "partition layer=silver is the accepted table, layer=rejected the quarantine",
     "gold": "one KPI row per region from accepted rows only",
+    "malformed": "records that the source scan could not read, with the run that met them",
 }
+# Names the shape of the published quality report.
+REPORT_SCHEMA = "stratum-quality-report-v1"
 
 
 def table_registry(spark: SparkSession, root: str) -> DataFrame:
@@ -137,6 +142,7 @@ def quality_report_json(result: RunResult) -> str:
     """JSON rendering of the quality report (K-9, P-10)."""
     return json.dumps(
         {
+            "schema": REPORT_SCHEMA,
             "summary": {
                 "acceptedRows": result.metrics["silver_rows"],
                 "failedRows": result.metrics["rejected_rows"],
@@ -146,10 +152,9 @@ def quality_report_json(result: RunResult) -> str:
             "rejectedReasons": result.reasons,
         },
         indent=2,
-        default=reports.json_value,
     )
 
 
 def validation_report(spark: SparkSession, root: str) -> DataFrame:
-    """Validation cases over the latest published staged rows."""
-    return checks.validation_cases(snapshots.read_layer(spark, root, STAGED))
+    """Validation cases over the latest published silver, against bronze."""
+    return checks.validation_cases(read_published(spark, root, "silver"), read_published(spark, root, "bronze"))

@@ -66,25 +66,30 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_conf(spark)
-    if not spark.sparkContext.master.startswith("local"):
-        # On a cluster, coalesce shuffle partitions to the advisory size
-        # (~128 MB per task) rather than to the core count; in local mode
-        # the data is small and the cores are the limit.
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
-        user_set = shuffle_partitions or spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
-        if not user_set and spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None:
-            spark.conf.set(
-                "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
-                str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS),
-            )
     ensure_checkpoint_dir(spark)
     return spark
 
 
 def apply_conf(spark: SparkSession) -> None:
-    """Apply the required settings to an existing session (e.g. the driver's)."""
+    """Apply the settings to an existing session (e.g. the driver's).
+
+    Settings that results depend on always hold; those for throughput leave
+    alone what the submitter has set.
+    """
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
+    given = spark.sparkContext.getConf()
+    scale = dict(SCALE_CONF)
+    if not spark.sparkContext.master.startswith("local"):
+        # On a cluster, coalesce shuffle partitions to the advisory size
+        # (~128 MB per task) rather than to the core count; in local mode
+        # the data is small and the cores are the limit.
+        scale["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
+        if spark.conf.get("spark.sql.shuffle.partitions") == "200":
+            scale["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS)
+    for key, value in scale.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -102,6 +107,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="stratum-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

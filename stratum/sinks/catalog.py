@@ -8,14 +8,13 @@ from __future__ import annotations
 
 import json
 import logging
-import os
 import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.upsert import keyed_upsert, upsert_changes
+from stratum.operators.upsert import keyed_upsert
 from stratum.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
@@ -78,21 +77,40 @@ def upsert_into_table(spark: SparkSession, table: str, source: DataFrame, keys:
     """Keyed upsert of ``source`` into catalog table ``table`` (K-3, K-4).
 
     Returns the number of updated plus inserted rows; an empty source writes
-    nothing and returns 0.  The merged result is checkpointed (into the
-    session's shared checkpoint folder) before the table is overwritten, so
-    the write never reads the files it replaces.
+    nothing and returns 0.  The source is computed once, into the session's
+    shared checkpoint folder; the merged result is checkpointed there too
+    before the table is overwritten, so the write never reads the files it
+    replaces and a failed one can be repeated from it.
     """
-    if source.limit(1).count() == 0:
-        return 0
     ensure_checkpoint_dir(spark)
+    source = source.checkpoint(eager=True)
+    affected = source.count()
+    if not affected:
+        return 0
     target = spark.table(table)
     stamp = F.current_timestamp().cast("timestamp_ntz")
-    affected = upsert_changes(target, source, keys).count()
     merged = keyed_upsert(target, source.select(*[c for c in source.columns if c != "loaded_at"]), keys, stamp=stamp)
     merged.select(*target.columns).checkpoint(eager=True).write.insertInto(table, overwrite=True)
     return affected
 
 
+def merge_statement(target: Sequence[str], staging: Sequence[str], keys: Sequence[str], columns: Sequence[str]) -> str:
+    """The statement a warehouse runs to merge the staging table that
+    ``export_jdbc`` fills into its target (K-8).  ``target`` and ``staging``
+    are name parts; every name is checked before it enters the text.  Rows of
+    the target whose key is not in the staging table stay as they are."""
+    names = {c: validated_identifier("column", c) for c in (*keys, *columns)}
+    on = " AND ".join(f"t.{names[k]} = s.{names[k]}" for k in keys)
+    rest = [names[c] for c in columns if c not in keys]
+    every = [*[names[k] for k in keys], *rest]
+    dotted = lambda parts: ".".join(validated_identifier("name part", p) for p in parts)
+    lines = [f"MERGE INTO {dotted(target)} AS t USING {dotted(staging)} AS s ON {on}"]
+    if rest:
+        lines.append("WHEN MATCHED THEN UPDATE SET " + ", ".join(f"{c} = s.{c}" for c in rest))
+    lines.append(f"WHEN NOT MATCHED THEN INSERT ({', '.join(every)}) VALUES ({', '.join('s.' + c for c in every)})")
+    return "\n".join(lines)
+
+
 def bounded_read(spark: SparkSession, table: str, limit: int = 20, order_by: str = "region") -> DataFrame:
     """``SELECT <gold columns> ... ORDER BY region LIMIT n`` with ``n`` clamped
     to 1..1000 (S-11, T-4)."""
@@ -108,29 +126,29 @@ def export_jdbc(
 ) -> bool:
     """Optional export to a JDBC database (K-8): ``False`` when not
     configured, when there is nothing to export, or on any failure; it never
-    raises.  Rows are appended to ``table`` (a staging table the warehouse
-    merges from), written by the executors in parallel."""
+    raises.  ``table`` is a staging table: each export replaces its rows, and
+    ``merge_statement`` gives the statement that merges it into the target.
+    Rows are written by the executors in parallel."""
     if not url:
         return False
     try:
         validated_identifier("table", table.split(".")[-1])
         if df.limit(1).count() == 0:
             return False
-        df.write.jdbc(url, table, mode="append", properties=properties or {})
+        df.write.option("truncate", True).jdbc(url, table, mode="overwrite", properties=properties or {})
         return True
     except Exception:  # noqa: BLE001 - the export must never fail the run
         log.warning("JDBC export to %s failed", table, exc_info=True)
         return False
 
 
-def write_json_report(path: str, payload: dict) -> None:
-    """Write one report document (indent 2, UTF-8), creating parent folders
-    (K-9).  Reports are a few rows gathered on the driver."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(payload, fh, indent=2, default=str)
-
-
-def write_report_table(df: DataFrame, path: str) -> None:
-    """Write a report DataFrame as JSON lines, one small file."""
-    df.repartition(1).write.mode("overwrite").json(path)
+def write_json_report(spark: SparkSession, path: str, payload: dict) -> None:
+    """Write one report document (K-9) to any path that Spark reaches, through
+    its file system, as one file that replaces an older one."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(json.dumps(payload, indent=2, ensure_ascii=False).encode()))
+    finally:
+        out.close()

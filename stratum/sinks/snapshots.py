@@ -1,9 +1,11 @@
 """Versioned layer tables on any Spark file system (K-1, S-9, S-10, D-4).
 
-Under a root folder each table has ``<table>/data/v=<n>/`` - the rows of
-version ``n``, written by one Spark job - and the root has one commit log,
-``log/``, with a row ``(table_name, version, rows, written_at)`` per
-committed version, appended only after the data jobs have committed.
+Under a root folder each table has ``<table>/data/v=<n>-<run>/`` - the rows
+of version ``n``, written by one Spark job into a folder that no other writer
+uses - and the root has one commit log, ``log/``, with a row ``(table_name,
+version, rows, written_at, folder, schema)`` per committed version, appended
+only after the data jobs have committed.  The schema is kept with the version,
+so an empty layer reads back as an empty table.
 
 A version exists once its log row exists, so a crashed or retried write is
 never visible; readers take the highest logged version.  Several tables can
@@ -16,26 +18,48 @@ be dropped in.  One writer per table at a time.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import os
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.operators.contracts import schema_faults
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table_name", T.StringType(), False),
         T.StructField("version", T.LongType(), False),
         T.StructField("rows", T.LongType(), False),
         T.StructField("written_at", T.TimestampNTZType(), False),
+        T.StructField("folder", T.StringType(), False),
+        T.StructField("schema", T.StringType(), False),
     ]
 )
 
-def _data_path(root: str, table: str, version: int) -> str:
-    return os.path.join(root, table, "data", f"v={version}")
+
+class ContractError(ValueError):
+    """Rows that break the table's contract; nothing was committed."""
+
+
+@dataclass(frozen=True)
+class Written:
+    """A version whose data job has finished, not yet committed."""
+
+    table: str
+    version: int
+    rows: int
+    folder: str
+    schema: T.StructType
+
+
+def missing_path(error: AnalysisException) -> bool:
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def _log_path(root: str) -> str:
@@ -46,7 +70,9 @@ def commit_log(spark: SparkSession, root: str) -> DataFrame:
     """Every committed version of every table under ``root``."""
     try:
         return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return spark.createDataFrame([], LOG_SCHEMA)
 
 
@@ -66,6 +92,11 @@ def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
     return latest_versions(spark, root).get(table)
 
 
+def _refuse(table: str, faults: Sequence[str]) -> None:
+    if faults:
+        raise ContractError(f"{table} breaks its contract: {'; '.join(faults)}")
+
+
 def write_version(
     df: DataFrame,
     root: str,
@@ -73,30 +104,42 @@ def write_version(
     version: int,
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
-) -> int:
-    """Write ``df`` as (uncommitted) version ``version`` of ``table``; return
-    its row count, observed during the write (no second job).  The output
-    committer makes the job all-or-nothing and safe under task retries."""
+    contract: Sequence[tuple[str, str, bool]] | None = None,
+) -> Written:
+    """Write ``df`` as (uncommitted) version ``version`` of ``table``.
+
+    Rows, and NULLs in columns that the contract says have none, are observed
+    during the write (no second job).  Missing, extra or mistyped columns are
+    refused before it, NULLs after it; either way nothing is committed.  The
+    output committer makes the job all-or-nothing and safe under task retries.
+    """
     if table == "log":
         raise ValueError("'log' is the commit log's folder, not a table name")
-    observed = Observation(f"rows_{table}_{version}_{uuid.uuid4().hex[:8]}")
-    writer = df.observe(observed, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format(fmt)
+    if contract is not None:
+        _refuse(table, schema_faults(df, contract))
+    never_null = [name for name, _, nullable in contract or () if not nullable]
+    run = uuid.uuid4().hex
+    observed = Observation(f"rows_{table}_{version}_{run[:8]}")
+    counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in never_null]
+    folder = os.path.join(table, "data", f"v={version}-{run}")
+    writer = df.observe(observed, *counts).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(_data_path(root, table, version))
-    return int(observed.get["rows"])
+    writer.save(os.path.join(root, folder))
+    got = observed.get
+    _refuse(table, [f"{got[f'nulls_{c}']} NULLs in {c}" for c in never_null if got[f"nulls_{c}"]])
+    return Written(table, version, int(got["rows"]), folder, df.schema)
 
 
 def commit(
     spark: SparkSession,
     root: str,
-    entries: Sequence[tuple[str, int, int]],
+    entries: Sequence[Written],
     written_at: _dt.datetime | None = None,
 ) -> None:
-    """Make written versions visible: one append of ``(table, version, rows)``
-    rows to the commit log."""
+    """Make written versions visible: one append to the commit log."""
     stamp = written_at or _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0, tzinfo=None)
-    rows = [(t, v, n, stamp) for t, v, n in entries]
+    rows = [(w.table, w.version, w.rows, stamp, w.folder, w.schema.json()) for w in entries]
     spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(_log_path(root))
 
 
@@ -107,38 +150,41 @@ def write_snapshot(
     fmt: str = "parquet",
     partition_by: Sequence[str] = (),
     written_at: _dt.datetime | None = None,
+    contract: Sequence[tuple[str, str, bool]] | None = None,
 ) -> int:
     """Write ``df`` as the next version of ``table`` and commit it; return
     the version.  The data job finishes before the log row is appended."""
     spark = df.sparkSession
     previous = latest_version(spark, root, table)
     version = 0 if previous is None else previous + 1
-    rows = write_version(df, root, table, version, fmt, partition_by)
-    commit(spark, root, [(table, version, rows)], written_at)
+    commit(spark, root, [write_version(df, root, table, version, fmt, partition_by, contract)], written_at)
     return version
 
 
+def read_written(spark: SparkSession, root: str, written: Written, fmt: str = "parquet") -> DataFrame:
+    """The rows of a version by its own folder and schema."""
+    return spark.read.format(fmt).schema(written.schema).load(os.path.join(root, written.folder))
+
+
 def read_layer(
     spark: SparkSession,
     root: str,
     layer: str,
     version: int | None = None,
     fmt: str = "parquet",
-    check: bool = True,
 ) -> DataFrame:
     """Read a layer table by name, case-insensitive, at ``version`` or the
-    latest one (S-9).  Unknown or never-written layers raise.  ``check=False``
-    skips the log lookup for a version the caller has just committed."""
-    table = layer.lower()
-    if version is None:
-        version = latest_version(spark, root, table)
-        if version is None:
-            raise FileNotFoundError(f"layer {layer!r} has no committed version under {root}")
-    elif check:
-        committed = table_versions(spark, root, table).filter(F.col("version") == version).limit(1).count()
-        if not committed:
-            raise FileNotFoundError(f"layer {layer!r} has no committed version {version}")
-    return spark.read.format(fmt).load(_data_path(root, table, version))
+    latest one (S-9).  Unknown or never-written layers raise.  If two writers
+    raced for a version, the one that committed last is read."""
+    log = table_versions(spark, root, layer.lower())
+    if version is not None:
+        log = log.filter(F.col("version") == version)
+    found = log.orderBy(F.col("version").desc(), F.col("written_at").desc(), "folder").limit(1).collect()
+    if not found:
+        wanted = "no committed version" if version is None else f"no committed version {version}"
+        raise FileNotFoundError(f"layer {layer!r} has {wanted} under {root}")
+    schema = T.StructType.fromJson(json.loads(found[0]["schema"]))
+    return spark.read.format(fmt).schema(schema).load(os.path.join(root, found[0]["folder"]))
 
 
 def snapshot_diff(

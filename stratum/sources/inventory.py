@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.sinks.snapshots import missing_path
 from stratum.sources.tables import TABLE_NAMES, read_table
 
 INVENTORY_SCHEMA = T.StructType(
@@ -37,7 +38,9 @@ def source_inventory(spark: SparkSession, sf_dir: str, names: Sequence[str] = TA
                     F.lit(name).alias("source"), F.lit(True).alias("present"), F.col("row_count")
                 )
             )
-        except AnalysisException:
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
             parts.append(spark.createDataFrame([(name, False, 0)], INVENTORY_SCHEMA))
     return reduce(DataFrame.unionByName, parts)
 
@@ -49,7 +52,9 @@ def file_rows(spark: SparkSession, path: str, fmt: str = "csv") -> int:
         if fmt == "csv":
             reader = reader.option("header", True)
         return reader.load(path).count()
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return 0
 
 
@@ -68,7 +73,9 @@ def file_inventory(spark: SparkSession, files: dict[str, str], fmt: str = "csv")
                     F.lit(name).alias("source"), F.lit(True).alias("present"), F.col("row_count")
                 )
             )
-        except AnalysisException:
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
             parts.append(spark.createDataFrame([(name, False, 0)], INVENTORY_SCHEMA))
     if not parts:
         return spark.createDataFrame([], INVENTORY_SCHEMA)
@@ -90,7 +97,9 @@ def pack_summary(spark: SparkSession, files: dict[str, tuple[str, str]]) -> Data
             reader = spark.read.option("header", True) if fmt == "csv" else spark.read.option("multiLine", True)
             df = reader.format(fmt).load(path)
             parts.append(df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value"))
-        except AnalysisException:
+        except AnalysisException as e:
+            if not missing_path(e):
+                raise
             parts.append(spark.createDataFrame([(metric, 0)], PACK_SCHEMA))
     if not parts:
         return spark.createDataFrame([], PACK_SCHEMA)
@@ -102,7 +111,9 @@ def csv_preview(spark: SparkSession, path: str, limit: int = 2) -> list[dict[str
     missing file gives [] (S-6).  Only ``limit`` rows reach the driver."""
     try:
         df = spark.read.option("header", True).csv(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
         return []
     return [{k: v for k, v in row.asDict().items() if v is not None} for row in df.limit(limit).collect()]
 

@@ -9,14 +9,15 @@ dropped: the derivation only rewrites values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stratum.operators.joins import broadcast_if_bounded
-from stratum.sources.tables import read_table, table_path
+from stratum.sources.tables import read_table
 
 MONEY = T.DecimalType(18, 2)
+# Amounts of text files keep their digits (twelve decimals); only gold rounds.
+RAW_MONEY = T.DecimalType(38, 12)
 
 # Column order of every order source.
 SOURCE_COLUMNS = (
@@ -42,18 +43,13 @@ STATUS_NAMES = {"F": "completed", "P": "processing", "O": "cancelled"}
 FIELD_PRIORITIES = ("1-URGENT", "2-HIGH")
 PARTNER_PRIORITIES = ("3-MEDIUM",)
 
-# Nation and region are fixed-size dimensions (25 and 5 rows at every TPC-H
-# scale); they are broadcast after a once-per-session check of this bound.
-DIMENSION_ROW_BOUND = 10_000
-
 
 def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_nationkey -> r_name`` (nation ⋈ region, both tiny dimensions)."""
+    """``n_nationkey -> r_name`` (nation ⋈ region).  No hint: the planner
+    broadcasts what is small enough by its size."""
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    region = broadcast_if_bounded(region, DIMENSION_ROW_BOUND, table_path(sf_dir, "region"))
-    joined = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
-    return broadcast_if_bounded(joined, DIMENSION_ROW_BOUND, table_path(sf_dir, "nation"))
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select("n_nationkey", "r_name")
 
 
 def order_source(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
@@ -146,8 +142,33 @@ CSV_SCHEMA = T.StructType(
 # Only these columns turn blank into NULL (P-1); other blanks stay ''.
 BLANK_TO_NULL = ("customer_id", "region")
 
-# A token no CSV field holds, so the reader itself turns no blank into NULL.
-_NO_NULL_TOKEN = "\u0000<no-null>\u0000"
+MALFORMED_LABEL = "malformed_record"
+
+
+def _csv_rows(spark: SparkSession, path: str, rank_column: str | None, multi_line: bool, corrupt: str | None) -> DataFrame:
+    fields = list(CSV_SCHEMA.fields)
+    if rank_column:
+        fields.append(T.StructField(rank_column, T.LongType()))
+    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", multi_line)
+    if corrupt:
+        fields.append(T.StructField(corrupt, T.StringType()))
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    return reader.schema(T.StructType(fields)).csv(path)
+
+
+def _order_columns(amount: Column, rank_column: str | None) -> list[Column]:
+    """The order-source shape from text columns.  The reader turns every blank
+    into NULL, so blanks are put back where the contract keeps them."""
+    rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
+    special = {
+        "amount": amount,
+        "order_ts": F.try_to_timestamp(F.col("order_ts")).cast("timestamp_ntz"),
+        "source_rank": rank.cast("bigint"),
+    }
+    special |= {c: F.nullif(F.col(c), F.lit("")) for c in BLANK_TO_NULL}
+    return [special.get(c, F.coalesce(F.col(c), F.lit(""))).alias(c) for c in SOURCE_COLUMNS]
 
 
 def read_order_csv(
@@ -155,79 +176,45 @@ def read_order_csv(
     path: str,
     strict_amount: bool = True,
     rank_column: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan CSV order files (header, UTF-8) into the order-source shape.
 
-    ``strict_amount`` keeps the contract that a malformed amount stops the run
-    (ANSI cast); with ``False`` it becomes NULL and passes the amount rule, as
-    a NULL amount does.  ``source_rank`` is the arrival order: a sequence
-    column of the file when ``rank_column`` names one (stable under any
-    re-split), else ``monotonically_increasing_id``, which keeps file order
+    ``strict_amount`` keeps the contract that an amount that is blank or no
+    number stops the run; with ``False`` it becomes NULL and passes the amount
+    rule, as a NULL amount does.  ``source_rank`` is the arrival order: a
+    sequence column of the file when ``rank_column`` names one (stable under
+    any re-split), else ``monotonically_increasing_id``, which keeps file order
     inside a split and is repeatable for the same files and split size.
-    """
-    schema = CSV_SCHEMA
-    if rank_column:
-        schema = T.StructType(CSV_SCHEMA.fields + [T.StructField(rank_column, T.LongType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("nullValue", _NO_NULL_TOKEN)
-        .option("mode", "FAILFAST")
-        .csv(path)
-    )
-    cols = []
-    for name in SOURCE_COLUMNS:
-        if name == "source_rank":
-            rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
-            cols.append(rank.cast("bigint").alias("source_rank"))
-        elif name in BLANK_TO_NULL:
-            cols.append(F.nullif(F.col(name), F.lit("")).alias(name))
-        elif name == "amount":
-            amount = F.col("amount").cast(MONEY) if strict_amount else F.expr("try_cast(amount AS DECIMAL(18,2))")
-            cols.append(amount.alias("amount"))
-        elif name == "order_ts":
-            cols.append(
-                F.try_to_timestamp(F.col("order_ts")).cast("timestamp_ntz").alias("order_ts")
-            )
-        else:
-            cols.append(F.col(name))
-    return raw.select(*cols)
-
 
-MALFORMED_LABEL = "malformed_record"
+    A record is a line.  Files whose quoted fields hold line feeds need
+    ``multi_line``, which reads each file in one task.
+    """
+    raw = _csv_rows(spark, path, rank_column, multi_line, None)
+    number = F.col("amount").try_cast(RAW_MONEY)
+    if strict_amount:
+        stop = F.raise_error(F.concat(F.lit("amount is not a number: "), F.coalesce("amount", F.lit("(blank)"))))
+        number = F.when(number.isNull(), stop.cast(RAW_MONEY)).otherwise(number)
+    return raw.select(*_order_columns(number, rank_column))
 
 
 def read_order_csv_quarantined(
     spark: SparkSession,
     path: str,
     rank_column: str | None = None,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV order scan that never stops on a bad record: ``(rows, malformed)``.
 
-    Records the CSV parser cannot read, and records whose amount is not a
-    number, go to ``malformed`` as ``(raw_record, rejection_reason)`` with the
-    reason ``malformed_record``; every other record is an order-source row.
+    Records the CSV parser cannot read, and records whose amount is blank or
+    no number, go to ``malformed`` as ``(raw_record, rejection_reason)`` with
+    the reason ``malformed_record``; every other record is an order-source row.
     The file is parsed once per output, deterministically, so the two halves
     always partition the records.
     """
-    schema = CSV_SCHEMA
-    if rank_column:
-        schema = T.StructType(schema.fields + [T.StructField(rank_column, T.LongType())])
-    schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
-    raw = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("nullValue", _NO_NULL_TOKEN)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(path)
-    )
-    amount = F.expr("try_cast(amount AS DECIMAL(18,2))")
-    bad_amount = F.col("amount").isNotNull() & (F.col("amount") != "") & amount.isNull()
-    bad = F.col("_corrupt_record").isNotNull() | bad_amount
-    flagged = raw.withColumn("_bad", bad)
+    raw = _csv_rows(spark, path, rank_column, multi_line, "_corrupt_record")
+    amount = F.col("amount").try_cast(RAW_MONEY)
+    flagged = raw.withColumn("_bad", F.col("_corrupt_record").isNotNull() | amount.isNull())
     raw_text = F.coalesce(
         F.col("_corrupt_record"),
         F.concat_ws(",", *[F.coalesce(F.col(f.name), F.lit("")) for f in CSV_SCHEMA.fields]),
@@ -235,18 +222,4 @@ def read_order_csv_quarantined(
     malformed = flagged.filter(F.col("_bad")).select(
         raw_text.alias("raw_record"), F.lit(MALFORMED_LABEL).alias("rejection_reason")
     )
-    good = flagged.filter(~F.col("_bad"))
-    cols = []
-    for name in SOURCE_COLUMNS:
-        if name == "source_rank":
-            rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
-            cols.append(rank.cast("bigint").alias("source_rank"))
-        elif name in BLANK_TO_NULL:
-            cols.append(F.nullif(F.col(name), F.lit("")).alias(name))
-        elif name == "amount":
-            cols.append(amount.alias("amount"))
-        elif name == "order_ts":
-            cols.append(F.try_to_timestamp(F.col("order_ts")).cast("timestamp_ntz").alias("order_ts"))
-        else:
-            cols.append(F.col(name))
-    return good.select(*cols), malformed
+    return flagged.filter(~F.col("_bad")).select(*_order_columns(amount, rank_column)), malformed

@@ -32,6 +32,7 @@ from stratum.sinks import snapshots
 from stratum.sources.tables import TABLE_SCHEMAS
 
 NEWEST = "newest"
+MARK = "newest_mark"
 
 
 def file_stream(spark: SparkSession, folder: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -55,20 +56,27 @@ def append_changes(bronze_batch: DataFrame, root: str, batch_id: int, spec: Stag
     newest.write.mode("overwrite").parquet(os.path.join(_changes_path(root), f"batch_id={batch_id}"))
 
 
+def _changes(spark: SparkSession, root: str) -> DataFrame | None:
+    """The change log, or None before the first batch."""
+    try:
+        return spark.read.parquet(_changes_path(root))
+    except AnalysisException as e:
+        if not snapshots.missing_path(e):
+            raise
+        return None
+
+
 def newest_versions(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> DataFrame:
     """Newest row per key over the compacted base and the change log since."""
     parts = []
-    base_version = snapshots.latest_version(spark, root, NEWEST)
     upto = -1
-    if base_version is not None:
-        base = snapshots.read_layer(spark, root, NEWEST, base_version)
-        upto = base.agg(F.max("_upto_batch")).first()[0]
-        parts.append(base.drop("_upto_batch"))
-    try:
-        changes = spark.read.parquet(_changes_path(root)).filter(F.col("batch_id") > upto).drop("batch_id")
-        parts.append(changes)
-    except AnalysisException:
-        pass
+    versions = snapshots.latest_versions(spark, root)
+    if NEWEST in versions:
+        parts.append(snapshots.read_layer(spark, root, NEWEST, versions[NEWEST]))
+        upto = snapshots.read_layer(spark, root, MARK, versions[NEWEST]).first()["upto_batch"]
+    changes = _changes(spark, root)
+    if changes is not None:
+        parts.append(changes.filter(F.col("batch_id") > upto).drop("batch_id"))
     if not parts:
         raise FileNotFoundError(f"no streamed versions under {root}")
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -77,14 +85,22 @@ def newest_versions(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC
 
 def compact(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> int:
     """Fold the change log into a new base version (newest row per key) and
-    return its version; later reads start from it."""
-    try:
-        upto = spark.read.parquet(_changes_path(root)).agg(F.max("batch_id")).first()[0]
-    except AnalysisException:
-        upto = None
+    return its version; later reads start from it.
+
+    How far the base reaches is a table of its own, committed with it, so that
+    it does not depend on the base having rows.
+    """
+    changes = _changes(spark, root)
+    upto = changes.agg(F.max("batch_id")).first()[0] if changes is not None else None
     newest = newest_versions(spark, root, spec)
-    marker = F.lit(-1 if upto is None else int(upto)).cast("bigint")
-    return snapshots.write_snapshot(newest.withColumn("_upto_batch", marker), root, NEWEST)
+    version = snapshots.latest_versions(spark, root).get(NEWEST, -1) + 1
+    mark = spark.createDataFrame([(-1 if upto is None else int(upto),)], "upto_batch bigint")
+    written = [
+        snapshots.write_version(newest, root, NEWEST, version),
+        snapshots.write_version(mark, root, MARK, version),
+    ]
+    snapshots.commit(spark, root, written)
+    return version
 
 
 def streamed_silver(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> DataFrame:
