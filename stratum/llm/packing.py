@@ -34,7 +34,12 @@ _WORD = re.compile(r"[^\t-\r ]+")
 _ODD_ASCII = "\x1c\x1d\x1e\x1f"
 _ODD = _ODD_ASCII + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Letters and the punctuation after them are separate tokens; apostrophes may join both.
-_TAIL = re.compile(r"(.*[A-Za-z])([!-&(-/:-@\[-^`{-~]+)")
+_TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-^`{-~]+)")
+#: Letters that normalising leaves alone, but for their case.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: The tokenizer's characters for bytes: printable ones stand for themselves, the others follow from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
 
 TOKENS = "part int, doc_id bigint, start_in_part bigint, n bigint, ids binary"
 
@@ -63,6 +68,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.model = self.tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
         ids = self._ids(word)
@@ -76,8 +82,12 @@ class WordIds(dict):
         if "<|" not in word and len(word) <= LONG_WORD:
             if found := _TAIL.fullmatch(word):
                 return self[found[1]] + self[found[2]]
-            if word.isascii() and not word.islower() and (low := word.lower()) != word:
-                return self[low]
+            if _LETTERS.fullmatch(word):
+                if (low := word.lower()) != word:
+                    return self[low]
+                # Nothing is left to normalise or to split: merging is all.
+                found = self.model.tokenize("".join([_BYTE[b] for b in word.encode()]))
+                return struct.pack(f"<{len(found)}I", *[t.id for t in found])
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
