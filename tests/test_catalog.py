@@ -75,12 +75,26 @@ def test_source_inventory_counts(spark):
     assert got["region"] == 5 and got["nation"] == 25 and len(got) == 14
 
 
-def test_json_report_writer(scratch):
+def test_json_report_writer(spark, scratch):
     p = os.path.join(scratch, "deep", "dir", "report.json")
-    catalog.write_json_report(p, {"a": 1})
+    catalog.write_json_report(spark, p, {"a": 2})
+    catalog.write_json_report(spark, "file://" + p, {"a": 1})
     assert open(p, encoding="utf-8").read() == '{\n  "a": 1\n}'
 
 
+def test_merge_statement():
+    got = catalog.merge_statement(["db", "gold"], ["db", "gold_staging"], ["region"], ["region", "n", "loaded_at"])
+    assert got.splitlines() == [
+        "MERGE INTO db.gold AS t USING db.gold_staging AS s ON t.region = s.region",
+        "WHEN MATCHED THEN UPDATE SET n = s.n, loaded_at = s.loaded_at",
+        "WHEN NOT MATCHED THEN INSERT (region, n, loaded_at) VALUES (s.region, s.n, s.loaded_at)",
+    ]
+    with pytest.raises(ValueError):
+        catalog.merge_statement(["db", "gold; drop"], ["s"], ["region"], ["n"])
+    with pytest.raises(ValueError):
+        catalog.merge_statement(["gold"], ["s"], ["region"], ["n = 1"])
+
+
 def test_pack_summary(spark, scratch):
     files = {
         "source_row_count": (os.path.join(FIXTURES, "source_orders.csv"), "csv"),
@@ -111,15 +125,18 @@ def test_dirty_order_source_has_every_violation(spark):
     assert c.not_usd == 0 and c.bad_prefix == 0
 
 
-def test_json_value_rendering():
+def test_records_are_json(spark):
     import datetime as dt
     from decimal import Decimal
 
-    from stratum.operators.reports import json_value
+    from stratum.operators.reports import records
 
-    assert json_value(dt.datetime(2026, 3, 14, 9, 0)) == "2026-03-14T09:00:00"
-    assert json_value(Decimal("1.50")) == 1.5
-    assert json_value("x") == "x" and json_value(3) == 3 and json_value(None) is None
+    rows = [(dt.datetime(2026, 3, 14, 9, 0), Decimal("1.50"), "x", None), (dt.datetime(2026, 3, 14, 9, 0, 0, 5000), None, "", 3)]
+    df = spark.createDataFrame(rows, "t timestamp_ntz, d decimal(18,2), s string, n int")
+    assert records(df) == [
+        {"t": "2026-03-14T09:00:00", "d": 1.5, "s": "x", "n": None},
+        {"t": "2026-03-14T09:00:00.005", "d": None, "s": "", "n": 3},
+    ]
 
 
 def test_rules_round_trip_and_named_sources(spark, scratch):
@@ -137,13 +154,6 @@ def test_rules_round_trip_and_named_sources(spark, scratch):
     assert spark.sql("SELECT count(*) AS n FROM region").first().n == 5
 
 
-def test_report_table_writer(spark, scratch):
-    path = os.path.join(scratch, "rep")
-    catalog.write_report_table(spark.range(3), path)
-    assert spark.read.json(path).count() == 3
-    assert len([f for f in os.listdir(path) if f.endswith(".json")]) == 1
-
-
 def test_custom_rule_predicate_survives_config(spark, scratch):
     from stratum.functions.rules import Rule, load_rules, rules_to_json
 

@@ -58,10 +58,61 @@ def test_url_policy_first_match(spark):
 def test_json_contract(spark):
     rows = [(1, '{"k": 3}'), (2, '{"j": 1}'), (3, "[1, 2]"), (4, "not json"), (5, '{"k": 120}'), (6, '{"k": "x"}')]
     df = spark.createDataFrame(rows, "id long, props string")
-    got = {r.id: r.violation for r in corpus.json_contract(df, "props", ["id"], ["k"], {"k": (0, 99)}).collect()}
+    got = {r.id: r.violation for r in corpus.json_contract(df, "props", ["id"], corpus.JsonContract(required=("k",), bounds={"k": (0, 99)})).collect()}
     assert got == {2: "missing_key:k", 3: "malformed_json", 4: "malformed_json", 5: "out_of_range:k", 6: "out_of_range:k"}
 
 
+def test_json_contract_of_nested_documents(spark):
+    c = corpus.JsonContract(
+        required=("a.b",), bounds={"a.n": (1, 5)}, lists={"items": 2}, item_keys={"items": ("id",)}
+    )
+    docs = [
+        '{"a": {"b": 1, "n": 2}, "items": [{"id": 1}, {"id": 2}]}',
+        '{"a": {"n": 2}, "items": [{"id": 1}, {"id": 2}]}',
+        '{"a": {"b": 1, "n": 9}, "items": [{"id": 1}, {"id": 2}]}',
+        '{"a": {"b": 1, "n": 2}, "items": [{"id": 1}]}',
+        '{"a": {"b": 1, "n": 2}, "items": [{"id": 1}, {"x": 2}]}',
+        '{"a": {"b": 1, "n": 2}}',
+        None,
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, doc string")
+    got = {r.id: r.violation for r in corpus.json_contract(df, "doc", ["id"], c).collect()}
+    assert got == {
+        1: "missing_key:a.b",
+        2: "out_of_range:a.n",
+        3: "short_list:items",
+        4: "item_without:items.id",
+        5: "short_list:items",
+        6: "malformed_json",
+    }
+
+
+def test_links_resolve_inside_their_host(spark):
+    pages = spark.createDataFrame(
+        [
+            (1, "https://a.com", """<A HREF='/x.html'>1</A><a href=./y.html>2</a><a href="../../z">3</a><a href="/">4</a><a href="?q">5</a>"""),
+            (2, "https://a.com/x.html", '<a href="y.html">6</a><a href="sub/../y.html#f">7</a><a href="/only-b">8</a>'),
+            (3, "https://a.com/y.html", "<a href='..'>9</a>"),
+            (4, "https://b.com/only-b", '<a href="/x.html">10</a><a href="/only-b/">11</a>'),
+        ],
+        "page_id long, url string, html string",
+    )
+    got = {(r.page_id, r.link): (r.link_kind, r.broken) for r in corpus.link_audit(pages).collect()}
+    assert got == {
+        (1, "/x.html"): ("route", False),
+        (1, "./y.html"): ("local", False),
+        (1, "../../z"): ("escape", True),
+        (1, "/"): ("route", False),
+        (1, "?q"): ("local", False),
+        (2, "y.html"): ("local", False),
+        (2, "sub/../y.html#f"): ("local", False),
+        (2, "/only-b"): ("route", True),
+        (3, ".."): ("escape", True),
+        (4, "/x.html"): ("route", True),
+        (4, "/only-b/"): ("route", False),
+    }
+
+
 def test_daily_counts_drop_identifiers(spark):
     import datetime as dt
 

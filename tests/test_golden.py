@@ -108,16 +108,38 @@ def test_pipeline_summary_reports_true_counts(staged):
     assert s.expectations_met == 0  # every rule rejects one row in the fixture
 
 
-def test_validation_cases_pass(staged):
-    rows = checks.validation_cases(staged).collect()
-    assert [r.status for r in rows] == ["pass"] * 4
-    assert all(r.violations == 0 for r in rows)
+def test_validation_cases(bronze, staged):
+    silver = medallion.silver(bronze)
+    assert [r.violations for r in checks.validation_cases(silver, bronze).collect()] == [0, 0, 0, 0]
+    # A broken silver is seen: all of bronze, and a stale version beside the newest.
+    everything = checks.validation_cases(bronze, bronze).collect()
+    assert [r.status for r in everything] == ["fail"] * 4 and [r.violations for r in everything][:3] == [1, 1, 1]
+    stale = staged.filter("rejection_reason = 'stale_duplicate'").select(*bronze.columns)
+    kept = checks.validation_cases(silver.select(*bronze.columns).unionAll(stale), bronze).collect()
+    assert [r.status for r in kept] == ["pass", "pass", "pass", "fail"]
+
+
+def test_cases_from_config(spark, bronze, scratch):
+    p = os.path.join(scratch, "cases.json")
+    with open(p, "w", encoding="utf-8") as fh:
+        fh.write('[{"id": "A", "focus": "f", "assertion": "a"}, {"id": "B", "focus": "g", "assertion": "b", "expected_status": "fail"}]')
+    cases = checks.load_cases(spark, p)
+    rows = checks.validation_cases(medallion.silver(bronze), bronze, cases=cases).collect()
+    assert [(r.case_id, r.focus, r.expected_status, r.status) for r in rows] == [("A", "f", "pass", "pass"), ("B", "g", "fail", "pass")]
 
 
 def test_reconciliation(bronze, staged):
-    gold = medallion.gold(medallion.split(staged)[0])
-    rows = checks.reconciliation(staged, gold).collect()
-    assert all(r.ok for r in rows), rows
+    silver, rejected = medallion.silver(bronze), medallion.split(staged)[1]
+    gold = medallion.gold(silver)
+    assert all(r.ok for r in checks.reconciliation(bronze, silver, rejected, gold).collect())
+
+    def failing(*layers):
+        return {r.check_name for r in checks.reconciliation(*layers).collect() if not r.ok}
+
+    lost = silver.filter("order_id != 'ord-0001'").limit(silver.count() - 1)
+    assert "gold_accepted_equals_silver" in failing(bronze, lost, rejected, gold)
+    assert "one_silver_row_per_key" in failing(bronze, silver.unionAll(silver), rejected, gold)
+    assert "bronze_equals_silver_plus_rejected" in failing(bronze, silver, rejected.limit(1), gold)
 
 
 def test_rules_from_json_config(spark, bronze):
@@ -129,7 +151,7 @@ def test_rules_from_json_config(spark, bronze):
 
 
 def test_preview_records_render_json_values(bronze):
-    recs = reports.preview_records(bronze, ["order_id", "source_rank"], 2)
+    recs = reports.records(reports.preview(bronze, ["order_id", "source_rank"], 2))
     assert recs[0]["order_ts"] == "2026-03-14T09:00:00"
     assert recs[0]["amount"] == 180.5 and isinstance(recs[0]["amount"], float)
     assert len(recs) == 2

@@ -112,15 +112,3 @@ def test_hot_link_target_is_split(spark, small_skew_thresholds):
     assert out.count() == 300000
 
 
-def test_broadcast_only_within_bound(spark):
-    from stratum.operators.joins import broadcast_if_bounded
-
-    small = broadcast_if_bounded(spark.range(5), 10, "test-small")
-    big = broadcast_if_bounded(spark.range(50), 10, "test-big")
-    probe = spark.range(100)
-    assert "BroadcastHashJoin" in plan_text(probe.join(small, "id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" not in plan_text(probe.join(big, "id"))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
