@@ -58,6 +58,11 @@ class Written:
     schema: T.StructType
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def missing_path(error: AnalysisException) -> bool:
     return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -68,12 +73,9 @@ def _log_path(root: str) -> str:
 
 def commit_log(spark: SparkSession, root: str) -> DataFrame:
     """Every committed version of every table under ``root``."""
-    try:
-        return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
-    except AnalysisException as e:
-        if not missing_path(e):
-            raise
+    if not path_exists(spark, _log_path(root)):
         return spark.createDataFrame([], LOG_SCHEMA)
+    return spark.read.schema(LOG_SCHEMA).parquet(_log_path(root))
 
 
 def table_versions(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -19,7 +19,6 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -58,12 +57,8 @@ def append_changes(bronze_batch: DataFrame, root: str, batch_id: int, spec: Stag
 
 def _changes(spark: SparkSession, root: str) -> DataFrame | None:
     """The change log, or None before the first batch."""
-    try:
-        return spark.read.parquet(_changes_path(root))
-    except AnalysisException as e:
-        if not snapshots.missing_path(e):
-            raise
-        return None
+    path = _changes_path(root)
+    return spark.read.parquet(path) if snapshots.path_exists(spark, path) else None
 
 
 def newest_versions(spark: SparkSession, root: str, spec: StageSpec = ORDER_SPEC) -> DataFrame:
