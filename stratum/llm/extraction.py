@@ -75,6 +75,8 @@ DROPPED_WORDS = frozenset(
     " share sharing social related recommended recommendations comment comments commentlist reply replies respond disqus feedback"
     " search pagination pager copyright colophon paywall toc skip".split()
 )
+#: Beside these they speak of the page around it: ``with-sidebar``, ``no-ads``.
+LAYOUT_WORDS = frozenset("with has no not free without layout".split())
 HEADER_WORDS = frozenset(["header", "topbar"])
 ARTICLE = frozenset(["article", "main"])
 
@@ -122,8 +124,11 @@ def is_dropped(tag: str, attrs: str, in_article: bool) -> bool:
         return True
     if "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    words = {w.lower() for k in ("class", "id") for w in _WORD.findall(a.get(k, ""))}
-    return bool(words & DROPPED_WORDS) or not in_article and bool(words & HEADER_WORDS)
+    for name in f"{a.get('class', '')} {a.get('id', '')}".split():
+        words = {w.lower() for w in _WORD.findall(name)}
+        if words & DROPPED_WORDS and not words & LAYOUT_WORDS or not in_article and words & HEADER_WORDS:
+            return True
+    return False
 
 
 def _kept_attrs(text: str) -> str:

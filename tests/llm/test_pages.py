@@ -63,6 +63,11 @@ def test_malformed_pages():
     assert got == ["", "only", "plain < 3 & x", "A\nb", "q\nr", "a\nb\nc\nd", "y"]
 
 
+def test_classes_that_only_name_the_layout():
+    page = '<div class="content with-sidebar"><p>kept</p><div class="adBox">x</div><p class="ad-free">too</p></div><div id="mainSidebar">y</div>'
+    assert extraction.extract_block([page]) == ["kept\ntoo"]
+
+
 def test_extraction_edges(edge_pages):
     got = [(r.page_id, r.text) for r in extraction.main_text(edge_pages).collect()]
     assert len(got) == 8 and dict(got)[1] == "" and dict(got)[2] == "" and dict(got)[3] == "a & b"
