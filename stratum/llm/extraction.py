@@ -8,10 +8,11 @@ is valid, and valid classes nest into a template.  What the template does not
 hold are slots, and a page's text is what its slots contain.
 
 Slots are named by the classes around them, so that a slot of the menu is told
-from one of the article by the template's tags, not by the page's words.  If a
-page marks its article, the text of the article's slots is the result; if
-not, that of all slots which no menu, header, footer, notice, advert, form or
-comment encloses, without the blocks that belong to the template as a whole.
+from one of the article by the template's tags, not by the page's words.  A
+page's text is that of the slots which no menu, header, footer, notice,
+advert, form or comment encloses, without the blocks that belong to the
+template as a whole; if most of it is in what the page marks as its article,
+only that.
 
 Pages are ranged by host and dealt in blocks, each block with a template of
 its own: a host with a third of all pages is many blocks, and no task holds
@@ -237,31 +238,31 @@ def template(pages: list[Page]) -> set:
 
 
 def extract(page: Page, places: Places, known: set) -> str:
-    """The text of a page's article slots: blocks joined by a line feed."""
-    marked = any(text is not None and text.strip() and _in_article(places, place) for place, text in page.tokens)
-    blocks: list[list[tuple[str, bool]]] = []
-    fresh = True
+    """The text of a page's article slots: blocks joined by a line feed.
+
+    A block belongs to the template if all of its runs do, inside an article
+    too.  Of the slots that remain, those of marked articles are the result if
+    they hold half of the text at least; if not, the marks are of teasers or
+    the like, and all slots are.
+    """
+    blocks: list[tuple[bool, list[tuple[str, bool]]]] = []
+    fresh, inside = True, False
     for (place, text), broken in zip(page.tokens, page.breaks, strict=True):
         if text is None:
             continue
         fresh = fresh or broken
         dropped, article = places.kind[place] if place >= 0 else (False, False)
-        if dropped or marked and not article:
+        if dropped:
             fresh = True
             continue
-        if fresh:
-            blocks.append([])
-            fresh = False
+        if fresh or article != inside:
+            blocks.append((article, []))
+            fresh, inside = False, article
         plain = " ".join(text.split())
-        blocks[-1].append((text, not marked and (not plain or (place, plain) in known)))
-    # A block belongs to the template if all of its runs do.
-    slots = ("".join(text for text, _ in b) for b in blocks if marked or not all(constant for _, constant in b))
-    joined = (" ".join(s.split()) for s in slots)
-    return "\n".join(s for s in joined if s)
-
-
-def _in_article(places: Places, place: int) -> bool:
-    return place >= 0 and places.kind[place] == (False, True)
+        blocks[-1][1].append((text, not plain or (place, plain) in known))
+    slots = [(a, " ".join("".join(text for text, _ in b).split())) for a, b in blocks if not all(constant for _, constant in b)]
+    marked, other = (sum(len(s) for a, s in slots if a == mark) for mark in (True, False))
+    return "\n".join(s for a, s in slots if a or marked < other)
 
 
 def extract_block(sources: list[str]) -> list[str]:

@@ -55,6 +55,17 @@ def test_unmarked_pages_lose_their_template():
     assert extraction.extract_block([PAGE.format(1)] * 6) == ["Head é1\nPara one bold 1\nRead more"] * 6
 
 
+def test_marked_pages_lose_their_template():
+    page = "<body><main><h1>Head {0}</h1><p>Read our terms</p><article><p>Text {0} of it</p><div class=box>Rate us</div></article></main></body>"
+    assert extraction.extract_block([page.format(i) for i in range(6)]) == [f"Head {i}\nText {i} of it" for i in range(6)]
+
+
+def test_marked_teasers_do_not_hide_the_main_text():
+    page = "<body><div class=page><h1>Head {0}</h1><p>The long main text of page {0}</p></div><article><p>Card {0}</p></article></body>"
+    for i in range(6):
+        assert f"Head {i}\nThe long main text of page {i}" in extraction.extract_block([page.format(k) for k in range(6)])[i]
+
+
 def test_malformed_pages():
     got = extraction.extract_block(
         ["", "<p>only", "plain < 3 &amp; x", "<article><header><h1>A</h1></header><p>b</p><div class=comments>c</div></article>z"]
