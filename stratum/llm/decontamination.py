@@ -4,7 +4,9 @@ Numbers, names and units become typed placeholders, so a question that was
 asked again with other values keeps its template.  Template windows of
 documents are hash-joined with those of the benchmark; pairs with enough
 windows are aligned, and the values in their slots must correspond: one value
-of the question always to the same value of the document.
+of the question always to the same value of the document.  That is judged for
+each place of the document where the question may stand, so that a document
+may hold it several times with other values; equal values need no judgement.
 
 Only SQL expressions are used.  Documents are scanned twice: once for window
 hashes, once for the slots of the few that matched.  The benchmark's windows
@@ -14,7 +16,7 @@ size allows that, and shuffles both sides otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.common import read, written
@@ -62,21 +64,22 @@ def _template(word: Column) -> Column:
 def _windowed(df: DataFrame, text: str, width: int, slots: bool = False) -> DataFrame:
     """Replace ``text`` by ``windows``, an array with the hash of every template window.
 
-    With ``slots``, each is a struct ``hash, slots``: the window's placeholders
-    with their values, in order.
+    With ``slots``, each is a struct ``hash, pos, slots``: the window's first
+    word, and its placeholders in order, as structs ``offset, value``.
     """
     df = df.withColumn("words", _words(text)).drop(text)
     df = df.withColumn("marks", F.transform("words", lambda w: F.xxhash64(_template(w))))
     words, marks = F.col("words"), F.col("marks")
     hashed = lambda i: F.xxhash64(F.lit(width), *[F.get(marks, i + j) for j in range(width)])
-    valued = lambda i: F.filter(F.slice(words, i + 1, width), lambda w: w.startswith("‹"))
-    each = (lambda i: F.struct(hashed(i).alias("hash"), valued(i).alias("slots"))) if slots else hashed
+    placed = lambda w, j: F.struct(j.alias("offset"), w.alias("value"))
+    valued = lambda i: F.filter(F.transform(F.slice(words, i + 1, width), placed), lambda x: x["value"].startswith("‹"))
+    each = (lambda i: F.struct(hashed(i).alias("hash"), i.alias("pos"), valued(i).alias("slots"))) if slots else hashed
     at = F.sequence(F.lit(0), F.greatest(F.size(marks) - width, F.lit(0)))
     return df.withColumn("windows", F.when(F.size(marks) >= width, F.transform(at, each))).drop("marks", "words")
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """``item_id, n_windows, at, width, hash, slots`` of every window of the benchmark.
+    """``item_id, n_windows, n_places, n_words, at, width, hash, slots`` of every window of the benchmark.
 
     A text of fewer words than a window is one window of its own width; windows
     with fewer than ``LITERALS`` words that are no placeholders (or than their
@@ -84,14 +87,16 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
-    sized = items.withColumn("width", F.least(F.size(_words("text")), F.lit(width)))
+    sized = items.withColumn("n_words", F.size(_words("text"))).withColumn("width", F.least("n_words", F.lit(width)))
     parts = None
     for w in range(1, width + 1):
         at = _windowed(sized.filter(F.col("width") == w), "text", w, slots=True)
-        part = at.select("item_id", "width", F.posexplode("windows").alias("at", "x")).select("item_id", "width", "at", "x.*")
+        part = at.select("item_id", "width", "n_words", F.explode_outer("windows").alias("x")).filter("x IS NOT NULL")
+        part = part.select("item_id", "width", "n_words", F.col("x.pos").alias("at"), "x.hash", "x.slots")
         parts = part if parts is None else parts.unionAll(part)
     out = parts.filter(F.col("width") - F.size("slots") >= F.least(F.lit(LITERALS), F.col("width")))
-    n = out.groupBy("item_id").agg(F.count_distinct("at").cast("int").alias("n_windows"))
+    at = F.flatten(F.collect_list(F.transform("slots", lambda x: x["offset"] + F.col("at"))))
+    n = out.groupBy("item_id").agg(F.count_distinct("at").cast("int").alias("n_windows"), F.size(F.array_distinct(at)).alias("n_places"))
     return out.join(n, "item_id")
 
 
@@ -122,29 +127,87 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     )
     pairs = written(pairs.filter(F.col("windows") >= needed), "pairs")
 
-    again = docs.join(pairs.select("doc_id").distinct(), "doc_id")
-    slots = None
+    again = docs.join(pairs.select("doc_id").distinct(), "doc_id").withColumn("copy", F.xxhash64("text"))
+    hits = None
     for w in widths:
-        asked = items.filter((F.col("width") == w) & (F.size("slots") > 0)).select("hash", "item_id", F.col("slots").alias("asked"))
-        said = _windowed(again, "text", w, slots=True).select("doc_id", F.explode("windows").alias("x"))
-        said = said.filter(F.size("x.slots") > 0).select("doc_id", "x.hash", F.col("x.slots").alias("said")).distinct()
-        both = said.join(asked, "hash").select("doc_id", "item_id", F.explode(F.arrays_zip("asked", "said")).alias("p"))
-        part = both.select("doc_id", "item_id", "p.asked", "p.said")
-        slots = part if slots is None else slots.unionAll(part)
-    values = slots.groupBy("doc_id", "item_id", "asked").agg(F.count_distinct("said").alias("n"), F.min("said").alias("said"))
-    judged = values.groupBy("doc_id", "item_id").agg(
-        F.count("*").alias("slots"),
-        F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("steady"),
-        F.sum(F.when((F.col("n") > 1) | (F.col("said") != F.col("asked")), 1).otherwise(0)).alias("changed"),
-    )
-    out = pairs.join(judged, ["doc_id", "item_id"], "left").fillna(0, ["slots", "steady", "changed"])
-    out = out.filter(F.col("steady") >= CONSISTENT * F.col("slots"))
+        asked = items.filter(F.col("width") == w).select("hash", "item_id", "at", "n_windows", "n_places", "n_words", F.col("slots").alias("asked"))
+        # Not outer, the planner would test the windows' size below the join, once more computing them for all documents.
+        said = _windowed(again, "text", w, slots=True).select("doc_id", "copy", F.explode_outer("windows").alias("x"))
+        said = said.select("doc_id", "copy", "x.hash", "x.pos", F.col("x.slots").alias("said"))
+        part = said.join(asked, "hash").drop("hash")
+        hits = part if hits is None else hits.unionAll(part)
+    hits = hits.join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
+    hits = written(hits.dropDuplicates(["doc_id", "copy", "item_id", "pos", "at"]), "hits")
+    best = F.max_by(F.struct("slots", "changed"), F.struct(F.col("changed") == 0, "slots"))
+    judged = _as_a_whole(pairs, hits).unionAll(_by_place(hits, needed)).unionAll(_equal(hits, needed))
+    judged = judged.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
     kind = F.when(F.col("changed") == 0, F.lit("exact")).otherwise(F.lit("reparameterised"))
-    return out.select(
+    return pairs.join(judged, ["doc_id", "item_id"]).select(
         "doc_id", "item_id", "windows", F.col("n_windows").alias("item_windows"), "slots", F.col("changed").alias("changed_slots"), kind.alias("kind")
     )
 
 
+def _slot_values(hits: DataFrame, *by: str) -> DataFrame:
+    """Of every value asked for: with how many values it goes, and in how many places of the item it stands."""
+    slots = hits.select(*by, "at", F.explode(F.arrays_zip("asked", "said")).alias("p"))
+    slots = slots.select(
+        *by, (F.col("at") + F.col("p.asked.offset")).alias("place"), F.col("p.asked.value").alias("asked"), F.col("p.said.value").alias("said")
+    )
+    return slots.groupBy(*by, "asked").agg(
+        F.count_distinct("said").alias("n"), F.count_distinct("place").alias("places"), F.min("said").alias("said")
+    )
+
+
+def _slots() -> tuple[Column, Column]:
+    """Distinct values asked for, and those that the document changes."""
+    changed = F.count_if((F.col("n") > 1) | (F.col("said") != F.col("asked")))
+    return F.count("asked").alias("slots"), changed.alias("changed")
+
+
+def _as_a_whole(pairs: DataFrame, hits: DataFrame) -> DataFrame:
+    """Pairs whose values correspond over the whole document."""
+    judged = _slot_values(hits, "doc_id", "item_id").groupBy("doc_id", "item_id")
+    judged = judged.agg(*_slots(), F.count_if(F.col("n") == 1).alias("steady"))
+    out = pairs.select("doc_id", "item_id").join(judged, ["doc_id", "item_id"], "left").fillna(0, ["slots", "steady", "changed"])
+    return out.filter(F.col("steady") >= CONSISTENT * F.col("slots")).select("doc_id", "item_id", "slots", "changed")
+
+
+def _by_place(hits: DataFrame, needed: Column) -> DataFrame:
+    """Pairs whose values correspond at one place of the document.
+
+    Windows of one copy of an item have one difference of positions, or about
+    one if words were put in or left out: differences are also taken together
+    that lie within an item's length, in two cuts, so that none splits a copy
+    both times.  Then a window of the item counts where most others agree.
+    A place must hold all slots of the item; parts are judged as a whole.
+    """
+    shift, half = F.col("pos") - F.col("at"), F.floor(F.col("n_words") / 2)
+    near = lambda x: F.floor(x / F.col("n_words"))
+    cuts = [(0, shift.cast("bigint")), (1, near(shift)), (2, near(shift + half))]
+    one = Window.partitionBy("doc_id", "item_id", "copy", "shift")
+    hits = hits.withColumn("shift", shift).withColumn("agree", F.count("*").over(one))
+    places = F.array(*[F.struct(F.lit(k).alias("cut"), "copy", at.alias("at")) for k, at in cuts])
+    by = ["doc_id", "item_id", "place_of"]
+    likely = F.max_by(F.struct("asked", "said", "n_windows", "n_places"), F.struct("agree", -F.col("shift")))
+    aligned = hits.withColumn("place_of", F.explode(places)).groupBy(*by, "at").agg(likely.alias("x")).select(*by, "at", "x.*")
+    enough = aligned.groupBy(*by).agg(F.count("*").alias("windows"), F.max("n_windows").alias("n_windows"), F.max("n_places").alias("n_places"))
+    enough = enough.filter(F.col("windows") >= needed)
+    judged = _slot_values(aligned, *by).groupBy(*by)
+    judged = judged.agg(*_slots(), F.sum(F.when(F.col("n") == 1, F.col("places")).otherwise(0)).alias("steady"), F.sum("places").alias("places"))
+    out = enough.join(judged, by, "left").fillna(0, ["slots", "steady", "changed", "places"]).filter("places = n_places")
+    return out.filter(F.col("steady") >= CONSISTENT * F.col("places")).select("doc_id", "item_id", "slots", "changed")
+
+
+def _equal(hits: DataFrame, needed: Column) -> DataFrame:
+    """Pairs with enough windows whose values are the item's own."""
+    values = hits.withColumn("asked", F.col("asked.value")).filter(F.col("asked") == F.col("said.value"))
+    out = values.groupBy("doc_id", "item_id").agg(
+        F.count_distinct("at").alias("windows"), F.max("n_windows").alias("n_windows"), F.flatten(F.collect_set("asked")).alias("asked")
+    )
+    slots = F.size(F.array_distinct("asked")).cast("bigint")
+    return out.filter(F.col("windows") >= needed).select("doc_id", "item_id", slots.alias("slots"), F.lit(0).cast("bigint").alias("changed"))
+
+
 LEAKS = "doc_id bigint, item_id bigint, windows bigint, item_windows int, slots bigint, changed_slots bigint, kind string"
 
 

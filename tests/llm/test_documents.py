@@ -235,6 +235,26 @@ def test_leaks(spark, edge_docs):
     assert decontamination.leaks(edge_docs, items).count() == 0
 
 
+def test_leaks_are_judged_by_place(spark):
+    ask = "A train leaves {} at {} pm and travels to {} at {} km per hour until {} is far behind it"
+    one, two = ask.format("Bern", 5, "Rome", 75, "Bern"), ask.format("Oslo", 9, "Kyiv", 80, "Oslo")
+    exact = ask.format("Boston", 3, "Denver", 60, "Boston")
+    box = "the red box holds {} coins and the red box holds {} coins and the green cup is empty"
+    items = spark.createDataFrame([(1, exact), (2, box.format(3, 5))], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [
+            (1, f"{exact}. {one}."),
+            (2, f"{one}. {two}."),
+            (3, "So " + box.format(3, 5)),
+            (4, "So " + box.format(8, 9)),
+            (5, f"{one.replace('and travels', 'and then travels')}. Next. {two}."),
+        ],
+        "doc_id long, text string",
+    )
+    got = {(r.doc_id, r.item_id): r.kind for r in decontamination.leaks(docs, items).collect()}
+    assert got == {(1, 1): "exact", (2, 1): "reparameterised", (3, 2): "exact", (4, 2): "reparameterised", (5, 1): "reparameterised"}
+
+
 def test_leaks_equal_brute_force(spark, small):
     import re
 
