@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from stratum.llm.alignment import alignment_query
 from stratum.llm.decontamination import decontamination_query
 from stratum.llm.extraction import extraction_query
 from stratum.llm.fingerprints import fingerprints_query
 from stratum.llm.minhash import minhash_query, minhash_sql
+from stratum.llm.overlap_join import overlap_join_query, overlap_join_sql
 from stratum.llm.packing import packing_query
 from stratum.llm.quality import quality_query
 from stratum.llm.sharding import sharding_query, sharding_sql
+from stratum.llm.spelling import spelling_query, spelling_sql
 from stratum.llm.toxicity import toxicity_query
 from stratum.llm.url_filter import url_filter_query
 from stratum.llm.warc import warc_query, warc_sql
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_quality": quality_query,
     "op9_sharding": sharding_query,
     "op10_decontamination": decontamination_query,
+    "op11_spelling": spelling_query,
+    "op12_overlap_join": overlap_join_query,
+    "op13_alignment": alignment_query,
 }
 
 
@@ -32,4 +38,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_minhash": minhash_sql(),
         "op4_warc": warc_sql(),
         "op9_sharding": sharding_sql(),
+        "op11_spelling": spelling_sql(),
+        "op12_overlap_join": overlap_join_sql(),
     }
