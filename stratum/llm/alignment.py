@@ -26,24 +26,24 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
-from operator import or_
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import read, worker_memory, written
 
 #: Words a worker remembers, about; then the memory starts anew.
-KNOWN_WORDS = 700_000
+KNOWN_WORDS = 350_000
 LONG_WORD = 64
 #: Characters of text in a chunk, about.
 CHUNK_CHARS = 8_000_000
+#: Characters that are encoded together, about.
+STRETCH_CHARS = 500_000
 #: Unicode's white space.
-_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACES = "".join(chr(c) for c in (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 _PIECE_SPACE = "\u2581"
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 #: The byte-level alphabet: printable characters stand for themselves, the others follow from 256 on.
@@ -65,38 +65,36 @@ def default_tokenizers() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 
 
-def diagonal(ea: list[int], eb: list[int]) -> list[tuple[int, int, int, int]]:
-    """The groups of two end arrays as ``(a, b, na, nb)``: where they start and their tokens.
+def diagonal(ea: list[int], eb: list[int]) -> tuple[list[int], list[int]]:
+    """The tokens that close the groups of two end arrays, as indices into either.
 
-    A stretch of one-to-one groups is one entry with ``na == nb`` tokens of
-    either side; every other entry is one group.  Both arrays rise and close
-    with the same end; a lone one-to-one group is a stretch of one.
+    Both arrays rise and close with the same end.
     """
-    out = []
-    i = j = 0
+    closing_a, closing_b = [], []
     n = len(ea)
+    # Ends that differ stop every stretch.
+    ea, eb = [*ea, -1], [*eb, -2]
+    i = j = 0
     while i < n:
-        if ea[i] == eb[j]:
-            run, w = 1, 1
-            while True:
-                a = ea[i + run : i + run + w]
-                if a and a == eb[j + run : j + run + w]:
-                    run += len(a)
-                    w += w
-                else:
-                    break
-            # The end of the stretch lies within the next w tokens.
-            while w > 1:
+        x, y = ea[i], eb[j]
+        if x == y:
+            a, b, w = i, j, 4
+            while ea[i : i + w] == eb[j : j + w]:
+                i += w
+                j += w
+                w += w
+            # The stretch ends within the next w tokens.
+            while w > 4:
                 w //= 2
-                a = ea[i + run : i + run + w]
-                if a and a == eb[j + run : j + run + w]:
-                    run += len(a)
-            out.append((i, j, run, run))
-            i += run
-            j += run
+                if ea[i : i + w] == eb[j : j + w]:
+                    i += w
+                    j += w
+            while ea[i] == eb[j]:
+                i += 1
+                j += 1
+            closing_a += range(a, i)
+            closing_b += range(b, j)
         else:
-            a, b = i, j
-            x, y = ea[i], eb[j]
             while x != y:
                 if x < y:
                     i += 1
@@ -104,10 +102,11 @@ def diagonal(ea: list[int], eb: list[int]) -> list[tuple[int, int, int, int]]:
                 else:
                     j += 1
                     y = eb[j]
+            closing_a.append(i)
+            closing_b.append(j)
             i += 1
             j += 1
-            out.append((a, b, i - a, j - b))
-    return out
+    return closing_a, closing_b
 
 
 class Words:
@@ -133,11 +132,12 @@ class Words:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [self._piece_bytes(p) for p in pieces]
         self.unit = self._unit(pieces)
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        #: By 4 id + 2 side + 1 at a group's end: the id and the sign behind it.
+        self.names = [f"{i}{sign}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for sign in ",|,;"]
         self._clear()
 
     @staticmethod
-    def _unit(pieces: list[str]) -> regex.Pattern:
+    def _unit(pieces: list[str]) -> re.Pattern:
         """The pattern of the parts of a text that both tokenizers encode each by itself.
 
         A part begins at white space after another character, or at
@@ -146,15 +146,15 @@ class Words:
         """
         inside = {c for p in pieces for c in p.lstrip(_PIECE_SPACE)[1:]}
         starts = "".join(c for c in "\n\t" if c not in inside) + " " * (_PIECE_SPACE not in inside)
-        after = {y for p in pieces for x, y in zip(p, p[1:]) if x.isalpha()}
-        marks = regex.escape("".join(c for c in "!#$%&()*+,./:;<=>?@[]^_`{|}~-" if c not in after), special_only=False)
         # Line feeds keep B's own space off a part, if they are pieces by themselves.
         if "\n" not in starts:
-            starts = marks = ""
-        rest = f"[^{_SPACE}]*(?:[{_SPACE}--[{starts}]][{_SPACE}]*[^{_SPACE}]*)*"
-        parts = [rf"[{starts}][{_SPACE}]*\p{{L}}+(?=[{marks}])"] if marks else []
-        parts += [f"[{starts}][{_SPACE}]*{rest}|[^{starts}]{rest}" if starts else ".+"]
-        return regex.compile("|".join(parts), regex.V1 | regex.S)
+            return re.compile(".+", re.S)
+        after = {y for p in pieces for x, y in zip(p, p[1:]) if x.isalnum()}
+        marks = re.escape("".join(c for c in "!#$%&()*+,./:;<=>?@[]^_`{|}~-" if c not in after))
+        others = "".join(c for c in _SPACES if c not in starts)
+        word = f"[^{_SPACES}]*(?:[{others}][{_SPACES}]*[^{_SPACES}]*)*"
+        letters = rf"[{starts}][{_SPACES}]*[^\W\d_]+(?=[{marks}])|" if marks else ""
+        return re.compile(f"{letters}[{starts}][{_SPACES}]*{word}|[^{starts}]{word}", re.S)
 
     @staticmethod
     def _piece_bytes(piece: str) -> bytes:
@@ -170,18 +170,19 @@ class Words:
 
     def _tokens(self, units: list[str]):
         """Each unit's ``ok, bytes, ids of A and B, ends of A and B``."""
-        found_a = self.a.encode_batch_fast(units, add_special_tokens=False)
-        # B's own space stands for a leading space; before others a line feed keeps it off.
-        found_b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in units], num_threads=1)
         of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        for unit, a, b in zip(units, found_a, found_b):
-            ids_a, ids_b = a.ids, b if unit[0] == " " else b[2:]
-            raw, parts_a, parts_b = unit.encode("utf-8", "replace"), list(map(of_a, ids_a)), list(map(of_b, ids_b))
-            ok = b"".join(parts_a) == raw == b"".join(parts_b)
-            yield ok, len(raw), (ids_a, ids_b), (accumulate(map(len, parts_a)), accumulate(map(len, parts_b)))
-
-    def _learn(self, units: set[str]) -> None:
-        units = [u for u in sorted(units) if len(u) <= LONG_WORD]
+        for k in range(0, len(units), 2000):
+            some = units[k : k + 2000]
+            found_a = self.a.encode_batch_fast(some, add_special_tokens=False)
+            # B's own space stands for a leading space; before others a line feed keeps it off.
+            found_b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in some], num_threads=1)
+            for unit, a, b in zip(some, found_a, found_b):
+                ids_a, ids_b = a.ids, b if unit[0] == " " else b[2:]
+                raw, parts_a, parts_b = unit.encode("utf-8", "replace"), list(map(of_a, ids_a)), list(map(of_b, ids_b))
+                ok = b"".join(parts_a) == raw == b"".join(parts_b)
+                yield ok, len(raw), (ids_a, ids_b), (accumulate(map(len, parts_a)), accumulate(map(len, parts_b)))
+
+    def _learn(self, units: list[str]) -> None:
         known, (ids_a, ids_b), (ends_a, ends_b), (starts_a, starts_b) = self.known, self.ids, self.ends, self.starts
         for unit, (ok, size, ids, ends) in zip(units, self._tokens(units) if units else ()):
             known[unit] = len(known)
@@ -193,77 +194,100 @@ class Words:
             ends_a.extend(ends[0])
             ends_b.extend(ends[1])
 
+    def _forget(self, units: list[str], row: int) -> None:
+        """Drop the words learnt last, from a row on."""
+        for unit in units:
+            del self.known[unit]
+        del self.rows[4 * row :]
+        for k in (0, 1):
+            start = self.starts[k][row]
+            del self.starts[k][row:], self.ids[k][start:], self.ends[k][start:]
+
     def encode(self, texts: list[str | None]) -> list:
         """Each text's ``(ids, ends)`` of A and of B for space + text; None if there are none.
 
         Null and empty texts have none, nor have texts whose bytes one
         tokenizer doesn't give back.
         """
-        split = [self.unit.findall(" " + t) if t and _PIECE_SPACE not in t else None for t in texts]
-        if len(self.known) > KNOWN_WORDS:
+        out: list = [None] * len(texts)
+        which = [k for k, t in enumerate(texts) if t and _PIECE_SPACE not in t]
+        if not which:
+            return out
+        split = [self.unit.findall(" " + texts[k]) for k in which]
+        distinct = set().union(*split)
+        new = sorted(distinct.difference(self.known))
+        if len(self.known) > KNOWN_WORDS and 4 * len(new) > len(distinct):
+            # The texts have changed: what is known serves no more.
             self._clear()
-        rows = [list(map(self.known.get, units)) if units else None for units in split]
-        self._learn({u for units, r in zip(split, rows) if r and None in r for u, row in zip(units, r) if row is None})
-        return [
-            None if not r else self._gather(r) if None not in r else self._encode_odd(units, list(map(self.known.get, units)))
-            for units, r in zip(split, rows)
-        ]
-
-    def _gather(self, at: list[int]):
-        at = np.array(at)
+            new = sorted(distinct)
+        full = len(self.known) > KNOWN_WORDS
+        passing = [u for u in new if full or len(u) > LONG_WORD]
+        self._learn([] if full else [u for u in new if len(u) <= LONG_WORD])
+        row = len(self.known)
+        self._learn(passing)
+        for k, found in zip(which, self._gather(split)):
+            out[k] = found
+        if passing:
+            self._forget(passing, row)
+        return out
+
+    def _gather(self, split: list[list[str]]) -> Iterator:
+        """The arrays of each list of known words."""
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), np.int64)
         rows = np.frombuffer(self.rows, np.int32).reshape(-1, 4)[at].astype(np.int64)
-        if not rows[:, 0].all():
-            return None
+        counts = np.array([len(units) for units in split])
+        first = np.cumsum(counts) - counts
+        ok = np.minimum.reduceat(rows[:, 0], first)
         base = np.cumsum(rows[:, 1]) - rows[:, 1]
-        out = []
+        base -= np.repeat(base[first], counts)
+        sides = []
         for k in (0, 1):
             ids, ends, starts = (np.frombuffer(x[k], np.int32) for x in (self.ids, self.ends, self.starts))
             n = rows[:, 2 + k]
-            where = np.arange(n.sum()) + np.repeat(starts[at] - (np.cumsum(n) - n), n)
-            out.append((ids[where].astype(np.int64), ends[where] + np.repeat(base, n)))
-        return out
-
-    def _encode_odd(self, units: list[str], rows: list[int | None]):
-        """As _gather, for texts with words that are new, or too long to remember."""
-        if None not in rows:
-            return self._gather(rows)
-        long = iter(list(self._tokens([u for u, row in zip(units, rows) if row is None])))
-        ids, ends, base = ([], []), ([], []), 0
-        for row in rows:
-            if row is None:
-                ok, size, found, at = next(long)
-            else:
-                ok, size, *n = self.rows[4 * row : 4 * row + 4]
-                spans = [slice(self.starts[k][row], self.starts[k][row] + n[k]) for k in (0, 1)]
-                found, at = [self.ids[k][spans[k]] for k in (0, 1)], [self.ends[k][spans[k]] for k in (0, 1)]
-            if not ok:
-                return None
-            for k in (0, 1):
-                ids[k].extend(found[k])
-                ends[k].extend([base + e for e in at[k]])
-            base += size
-        return [(np.array(ids[k], np.int64), np.array(ends[k], np.int64)) for k in (0, 1)]
+            before = np.cumsum(n) - n
+            where = np.arange(n.sum()) + np.repeat(starts[at] - before, n)
+            cuts = np.append(before[first], len(where)).tolist()
+            sides.append((ids[where].astype(np.int64), ends[where] + np.repeat(base, n), cuts))
+        (ids_a, ends_a, at_a), (ids_b, ends_b, at_b) = sides
+        for k, good in enumerate(ok.tolist()):
+            a, b = slice(at_a[k], at_a[k + 1]), slice(at_b[k], at_b[k + 1])
+            yield ((ids_a[a], ends_a[a]), (ids_b[b], ends_b[b])) if good else None
 
     def aligned(self, both) -> tuple:
         """``n_a, n_b, n_groups, n_links, groups_sha256, pairs, times`` of an encoded text."""
         if both is None:
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int32)
         (ids_a, ends_a), (ids_b, ends_b) = both
-        a_ids, b_ids = list(map(self.names.__getitem__, ids_a.tolist())), list(map(self.names.__getitem__, ids_b.tolist()))
-        groups: list[str] = []
-        for i, j, na, nb in diagonal(ends_a.tolist(), ends_b.tolist()):
-            if na == nb == 1:
-                groups.append(a_ids[i] + "|" + b_ids[j])
-            elif na == nb and ends_a[i] == ends_b[j]:
-                groups += [x + "|" + y for x, y in zip(a_ids[i : i + na], b_ids[j : j + nb])]
-            else:
-                groups.append(",".join(a_ids[i : i + na]) + "|" + ",".join(b_ids[j : j + nb]))
-        digest = hashlib.sha256(";".join(groups).encode()).hexdigest()
+        closing = diagonal(ends_a.tolist(), ends_b.tolist())
+        # A group's ids of A stand before its ids of B, and what closes them has another sign behind it.
+        names, turns = [], []
+        for k, ids in enumerate((ids_a, ids_b)):
+            closes = np.zeros(len(ids), np.int64)
+            closes[closing[k]] = 1
+            names.append(4 * ids + 2 * k + closes)
+            turns.append(2 * (np.cumsum(closes) - closes) + k)
+        order = np.argsort(np.concatenate(turns), kind="stable")
+        text = "".join(map(self.names.__getitem__, np.concatenate(names)[order].tolist()))
+        digest = hashlib.sha256(text[:-1].encode()).hexdigest()
         # Every stretch between neighbouring ends, of whichever side, lies in one token of either: a link.
-        ends = np.union1d(ends_a, ends_b)
-        codes = ids_a[np.searchsorted(ends_a, ends)] << 32 | ids_b[np.searchsorted(ends_b, ends)]
+        at_a, at_b = (np.zeros(ends_a[-1] + 1, np.int32) for _ in range(2))
+        at_a[ends_a] = at_b[ends_b] = 1
+        ends = np.flatnonzero(at_a | at_b)
+        codes = ids_a[(np.cumsum(at_a) - at_a)[ends]] << 32 | ids_b[(np.cumsum(at_b) - at_b)[ends]]
         pairs, times = np.unique(codes, return_counts=True)
-        return len(a_ids), len(b_ids), len(groups), len(codes), digest, pairs, times.astype(np.int32)
+        return len(ids_a), len(ids_b), len(closing[0]), len(codes), digest, pairs, times.astype(np.int32)
+
+
+def _stretches(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts that are encoded together: about STRETCH_CHARS characters."""
+    start = size = 0
+    for k, t in enumerate(texts):
+        size += len(t or "")
+        if size >= STRETCH_CHARS:
+            yield start, k + 1
+            start, size = k + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -281,16 +305,15 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", t
         chunk, size = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for a in range(0, len(texts), 500):
-                some = texts[a : a + 500]
-                found, chunks = [words.aligned(both) for both in words.encode(some)], []
-                for t in some:
+            for a, b in _stretches(texts):
+                found, chunks = [words.aligned(both) for both in words.encode(texts[a:b])], []
+                for t in texts[a:b]:
                     chunks.append(chunk)
                     size += len(t or "")
                     if size >= CHUNK_CHARS:
                         chunk, size = chunk + 1, 0
                 cols = list(zip(*found, strict=True))
-                arrays = [pa.array(chunks, pa.int64()), batch.column(0).slice(a, len(some)).cast(pa.int64())]
+                arrays = [pa.array(chunks, pa.int64()), batch.column(0).slice(a, b - a).cast(pa.int64())]
                 arrays += [pa.array(c, pa.int64()) for c in cols[:4]] + [pa.array(cols[4], pa.string())]
                 arrays += [pa.array(cols[5], pa.list_(pa.int64())), pa.array(cols[6], pa.list_(pa.int32()))]
                 yield pa.RecordBatch.from_arrays(

@@ -251,12 +251,22 @@ def test_words_encode_as_whole_texts(words, small):
 @given(st.sets(st.integers(1, 60)), st.sets(st.integers(1, 60)))
 def test_diagonal(a, b):
     ea, eb = sorted(a | {61}), sorted(b | {61})
-    cuts, found = sorted(set(ea) & set(eb)), []
-    for i, j, na, nb in alignment.diagonal(ea, eb):
-        one_to_one = na == nb and ea[i : i + na] == eb[j : j + nb]
-        found += ea[i : i + na] if one_to_one else [ea[i + na - 1]]
-        assert ea[i + na - 1] == eb[j + nb - 1]
-    assert found == cuts
+    closing_a, closing_b = alignment.diagonal(ea, eb)
+    assert [ea[i] for i in closing_a] == [eb[j] for j in closing_b] == sorted(set(ea) & set(eb))
+
+
+def test_memory_is_bounded(small):
+    words = alignment.Words(*alignment.default_tokenizers())
+    texts = list(small[1].values())
+    want = [words.aligned(x)[4] for x in words.encode(texts)]
+    before = alignment.KNOWN_WORDS
+    try:
+        alignment.KNOWN_WORDS = 500
+        few = alignment.Words(*alignment.default_tokenizers())
+        got = [few.aligned(x)[4] for k in range(0, len(texts), 20) for x in few.encode(texts[k : k + 20])]
+    finally:
+        alignment.KNOWN_WORDS = before
+    assert got == want and len(few.known) < len(words.known)
 
 
 def brute_align(words, rows):
