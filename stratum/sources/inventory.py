@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.sinks.snapshots import missing_path
+from stratum.sources.records import HEADER, csv_record_count, csv_records
 from stratum.sources.tables import TABLE_NAMES, read_table
 
 INVENTORY_SCHEMA = T.StructType(
@@ -45,13 +47,18 @@ def source_inventory(spark: SparkSession, sf_dir: str, names: Sequence[str] = TA
     return reduce(DataFrame.unionByName, parts)
 
 
+def _counted(spark: SparkSession, path: str, fmt: str) -> DataFrame:
+    """One row, ``n``: the records of a file or folder.  CSV records may span lines; a JSON file is one array."""
+    if fmt == "csv":
+        return csv_record_count(spark, path)
+    reader = spark.read.option("multiLine", True) if fmt == "json" else spark.read
+    return reader.format(fmt).load(path).agg(F.count(F.lit(1)).alias("n"))
+
+
 def file_rows(spark: SparkSession, path: str, fmt: str = "csv") -> int:
     """Records in a file or folder, header excluded; a missing path is 0 (S-5)."""
     try:
-        reader = spark.read.format(fmt)
-        if fmt == "csv":
-            reader = reader.option("header", True)
-        return reader.load(path).count()
+        return _counted(spark, path, fmt).first()["n"]
     except AnalysisException as e:
         if not missing_path(e):
             raise
@@ -64,15 +71,8 @@ def file_inventory(spark: SparkSession, files: dict[str, str], fmt: str = "csv")
     parts = []
     for name, path in files.items():
         try:
-            reader = spark.read.format(fmt)
-            if fmt == "csv":
-                reader = reader.option("header", True)
-            df = reader.load(path)
-            parts.append(
-                df.agg(F.count(F.lit(1)).alias("row_count")).select(
-                    F.lit(name).alias("source"), F.lit(True).alias("present"), F.col("row_count")
-                )
-            )
+            counted = _counted(spark, path, fmt)
+            parts.append(counted.select(F.lit(name).alias("source"), F.lit(True).alias("present"), F.col("n").alias("row_count")))
         except AnalysisException as e:
             if not missing_path(e):
                 raise
@@ -94,9 +94,7 @@ def pack_summary(spark: SparkSession, files: dict[str, tuple[str, str]]) -> Data
     parts = []
     for metric, (path, fmt) in files.items():
         try:
-            reader = spark.read.option("header", True) if fmt == "csv" else spark.read.option("multiLine", True)
-            df = reader.format(fmt).load(path)
-            parts.append(df.agg(F.count(F.lit(1)).alias("value")).select(F.lit(metric).alias("metric"), "value"))
+            parts.append(_counted(spark, path, fmt).select(F.lit(metric).alias("metric"), F.col("n").alias("value")))
         except AnalysisException as e:
             if not missing_path(e):
                 raise
@@ -110,12 +108,20 @@ def csv_preview(spark: SparkSession, path: str, limit: int = 2) -> list[dict[str
     """First ``limit`` records of a CSV as text, NULL fields left out; a
     missing file gives [] (S-6).  Only ``limit`` rows reach the driver."""
     try:
-        df = spark.read.option("header", True).csv(path)
+        records = csv_records(spark, path)
+        first = records.orderBy("file", "record_no").limit(1).select("record").collect()
     except AnalysisException as e:
         if not missing_path(e):
             raise
         return []
-    return [{k: v for k, v in row.asDict().items() if v is not None} for row in df.limit(limit).collect()]
+    if not first:
+        return []
+    names = next(csv.reader([first[0]["record"]]))
+    # Fields are bound by place, so that names may repeat or hold any sign.
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    rows = records.filter(F.col("record_no") > HEADER).orderBy("source_rank").limit(limit)
+    fields = rows.select("source_rank", F.from_csv("record", schema, {"escape": '"'}).alias("r")).orderBy("source_rank")
+    return [{k: v for k, v in zip(names, row["r"], strict=True) if v is not None} for row in fields.collect()]
 
 
 def source_preview(df: DataFrame, order_by: Sequence[str], limit: int = 2) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.sources.records import HEADER, csv_records
 from stratum.sources.tables import read_table
 
 MONEY = T.DecimalType(18, 2)
@@ -143,25 +144,27 @@ CSV_SCHEMA = T.StructType(
 BLANK_TO_NULL = ("customer_id", "region")
 
 MALFORMED_LABEL = "malformed_record"
+ARRIVAL = "_arrival"
 
 
-def _csv_rows(spark: SparkSession, path: str, rank_column: str | None, multi_line: bool, corrupt: str | None) -> DataFrame:
+def _csv_rows(spark: SparkSession, path: str, rank_column: str | None, corrupt: str | None) -> DataFrame:
+    """The records' fields, by place, with the arrival rank of the record scan unless ``rank_column`` holds one."""
     fields = list(CSV_SCHEMA.fields)
     if rank_column:
         fields.append(T.StructField(rank_column, T.LongType()))
-    reader = spark.read.option("header", True).option("encoding", "UTF-8").option("multiLine", multi_line)
+    options = {"escape": '"', "mode": "PERMISSIVE" if corrupt else "FAILFAST"}
     if corrupt:
         fields.append(T.StructField(corrupt, T.StringType()))
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
-    else:
-        reader = reader.option("mode", "FAILFAST")
-    return reader.schema(T.StructType(fields)).csv(path)
+        options["columnNameOfCorruptRecord"] = corrupt
+    records = csv_records(spark, path).filter(F.col("record_no") > HEADER)
+    schema = T.StructType(fields).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    return records.select(F.from_csv("record", schema, options).alias("r"), F.col("source_rank").alias(ARRIVAL)).select("r.*", ARRIVAL)
 
 
 def _order_columns(amount: Column, rank_column: str | None) -> list[Column]:
     """The order-source shape from text columns.  The reader turns every blank
     into NULL, so blanks are put back where the contract keeps them."""
-    rank = F.col(rank_column) if rank_column else F.monotonically_increasing_id()
+    rank = F.col(rank_column or ARRIVAL)
     special = {
         "amount": amount,
         "order_ts": F.try_to_timestamp(F.col("order_ts")).cast("timestamp_ntz"),
@@ -176,21 +179,18 @@ def read_order_csv(
     path: str,
     strict_amount: bool = True,
     rank_column: str | None = None,
-    multi_line: bool = False,
 ) -> DataFrame:
     """Scan CSV order files (header, UTF-8) into the order-source shape.
 
     ``strict_amount`` keeps the contract that an amount that is blank or no
     number stops the run; with ``False`` it becomes NULL and passes the amount
-    rule, as a NULL amount does.  ``source_rank`` is the arrival order: a
-    sequence column of the file when ``rank_column`` names one (stable under
-    any re-split), else ``monotonically_increasing_id``, which keeps file order
-    inside a split and is repeatable for the same files and split size.
-
-    A record is a line.  Files whose quoted fields hold line feeds need
-    ``multi_line``, which reads each file in one task.
+rule, as a NULL amount does.  ``source_rank`` is the arrival order: a
+    sequence column of the file when ``rank_column`` names one, else the place
+    of the record among those of all files, in the order of their names
+    (``records.csv_records``).  Both stay the same under any re-split.
+    Records may span lines inside quotes; files are read in splits all the same.
     """
-    raw = _csv_rows(spark, path, rank_column, multi_line, None)
+    raw = _csv_rows(spark, path, rank_column, None)
     number = F.col("amount").try_cast(RAW_MONEY)
     if strict_amount:
         stop = F.raise_error(F.concat(F.lit("amount is not a number: "), F.coalesce("amount", F.lit("(blank)"))))
@@ -202,7 +202,6 @@ def read_order_csv_quarantined(
     spark: SparkSession,
     path: str,
     rank_column: str | None = None,
-    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV order scan that never stops on a bad record: ``(rows, malformed)``.
 
@@ -212,7 +211,7 @@ def read_order_csv_quarantined(
     The file is parsed once per output, deterministically, so the two halves
     always partition the records.
     """
-    raw = _csv_rows(spark, path, rank_column, multi_line, "_corrupt_record")
+    raw = _csv_rows(spark, path, rank_column, "_corrupt_record")
     amount = F.col("amount").try_cast(RAW_MONEY)
     flagged = raw.withColumn("_bad", F.col("_corrupt_record").isNotNull() | amount.isNull())
     raw_text = F.coalesce(
