@@ -116,7 +116,7 @@ def json_contract(df: DataFrame, json_col: str, id_cols: Sequence[str], contract
 def url_policy(df: DataFrame, url_col: str, id_cols: Sequence[str], allowed_domains: Sequence[str]) -> DataFrame:
     """First-match URL policy per row (R-4): https only, no userinfo, a host,
     no explicit port, host on the allow-list (the domain or a subdomain).
-    ``violation`` is NULL for an accepted URL."""
+    ``violation`` is NULL for an accepted URL; a NULL one has no host."""
     url = F.col(url_col)
     scheme = F.lower(X.url_scheme(url))
     host = X.url_host(url)
@@ -126,7 +126,7 @@ def url_policy(df: DataFrame, url_col: str, id_cols: Sequence[str], allowed_doma
     rules = [
         Rule("https_only", "not_https", scheme != F.lit("https")),
         Rule("no_userinfo", "userinfo", X.url_userinfo(url) != F.lit("")),
-        Rule("host_present", "missing_host", host == F.lit("")),
+        Rule("host_present", "missing_host", F.coalesce(host, F.lit("")) == F.lit("")),
         Rule("no_port", "port", X.url_port(url) != F.lit("")),
         Rule("host_allowed", "host_not_allowed", ~allowed),
     ]

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratum.session import ensure_checkpoint_dir
+
 LATEST = "_latest"
 _RN = "_version_rn"
 
@@ -97,34 +99,38 @@ def version_rank(
     keys: Sequence[str],
     order: Sequence[str],
     rank_col: str = "row_rank",
-    bucket: Column | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every row with its exact version rank (1 = newest), as
     ``row_number() OVER (PARTITION BY keys ORDER BY order DESC NULLS LAST)``
     gives it, without sending a key's whole history to one task.
 
-    ``bucket`` cuts a key's versions into stretches and must never fall when
-    the first order column rises; by default it is that column's day.  A row's
-    rank is the number of the key's rows in later buckets, from a map-side
-    combined count, plus its rank inside its (key, bucket).  Nothing runs
-    while the plan is built, and nothing is sampled or written.
+    Rows are range partitioned by key and version, so a hot key, even one
+    whose versions share an instant, lies in as many partitions as its rows
+    need.  A row's place in its sorted partition, less the place where its key
+    begins there, is its rank among the key's rows of that partition; the
+    counts of a key's earlier partitions, one row each, are summed and added.
+
+    The sorted rows are checkpointed once, as the plan is built: ranges come
+    from a sample, and a second run of the shuffle could cut them elsewhere.
+    ``partitions`` defaults to the session's shuffle partitions, coalesced.
     """
     keys = list(keys)
-    newest_first = _newest_first(order)
-    bucketed = df.withColumn("_bucket", bucket if bucket is not None else F.to_date(F.col(order[0])))
-    local = bucketed.withColumn(
-        "_local_rank", F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(*newest_first))
-    )
-    counts = bucketed.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc_nulls_last())
-    offsets = counts.select(
+    ensure_checkpoint_dir(df.sparkSession)
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *_newest_first(order)]
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *by)
+    placed = ranged.sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id()).checkpoint(eager=True)
+    # The upper bits of such an id are the partition's number.
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    parts = placed.groupBy(*keys, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
         *[F.col(k).alias(f"_o_{k}") for k in keys],
-        F.col("_bucket").alias("_o_bucket"),
-        F.sum("_n").over(later.rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),
-    ).filter(F.col("_offset").isNotNull())
-    # Only the older buckets of keys that have several need an offset.
-    cond = F.col("_bucket").eqNullSafe(F.col("_o_bucket"))
+        F.col("_part").alias("_o_part"),
+        (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_offset"),
+    )
+    cond = F.col("_part") == F.col("_o_part")
     for k in keys:
         cond = cond & F.col(k).eqNullSafe(F.col(f"_o_{k}"))
-    rank = (F.col("_local_rank") + F.coalesce(F.col("_offset"), F.lit(0))).cast("int").alias(rank_col)
-    return local.join(offsets, cond, "left").select(*[F.col(c) for c in df.columns], rank)
+    rank = (F.col("_place") + F.col("_offset") + 1).cast("int").alias(rank_col)
+    return placed.join(offsets, cond).select(*[F.col(c) for c in df.columns], rank)

@@ -7,6 +7,7 @@ Every query reads whole tables; previews and the bounded read keep their
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,13 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.functions.rules import Rule, first_match
-from stratum.operators import checks, corpus, dedup, medallion, reports
-from stratum.operators.contracts import contract_violations
+from stratum.operators import checks, corpus, dedup, incremental, medallion, reports
+from stratum.operators.contracts import CONTRACTS, contract_violations, divert_broken
 from stratum.operators.medallion import StageSpec
 from stratum.operators.upsert import keyed_upsert
+from stratum.plans.pipeline import run_pipeline, table_registry
+from stratum.session import ensure_checkpoint_dir
+from stratum.sinks import buckets
 from stratum.sinks.snapshots import snapshot_diff
-from stratum.sources.inventory import source_inventory, source_preview
-from stratum.sources.orders import order_source, order_versions
+from stratum.sources.inventory import file_inventory, source_inventory, source_preview
+from stratum.sources.orders import CSV_SCHEMA, order_source, order_versions, read_order_csv
 from stratum.sources.tables import read_table
 
 # Fixed parameters of the registered queries (results must be repeatable).
@@ -136,7 +140,8 @@ def gold_preview(spark, sf_dir):
 
 
 def pipeline_summary(spark, sf_dir):
-    return reports.pipeline_summary_from_counts_df(_counts(spark, sf_dir))
+    """Layer counts, expectations met, and gold's rows as a list (A-10)."""
+    return reports.with_kpi_list(reports.pipeline_summary_from_counts_df(_counts(spark, sf_dir)), _gold(spark, sf_dir))
 
 
 def _earlier_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,7 +187,7 @@ def gold_bounded_read(spark, sf_dir):
 
 def order_version_ranks(spark, sf_dir):
     """Every source row's exact version rank within its order (W-2), hot
-    orders included (ranked inside days, see dedup.version_rank)."""
+    orders included (range partitioned, see dedup.version_rank)."""
     return dedup.version_rank(order_versions(spark, sf_dir), ["order_id"], ["order_ts", "source_rank"])
 
 
@@ -224,6 +229,132 @@ def validation_cases(spark, sf_dir):
     )
 
 
+# Cases as data: another order than the built-in one, and a case with a predicate of its own.
+CASE_LIST = (
+    *reversed(checks.CASES),
+    checks.Case("LARGE-01", "large cancellations", "No cancelled order of over 300000 is published.", "fail",
+                violation="status = 'cancelled' AND amount > 300000"),
+)
+
+
+def case_list(spark, sf_dir):
+    """Validation cases bound by id and predicate, over silver (D-5)."""
+    bronze = _bronze(spark, sf_dir)
+    return checks.validation_cases(medallion.silver(bronze), bronze, cases=CASE_LIST)
+
+
+CONTENT_COLUMNS = ("order_id", "customer_id", "region", "amount", "order_ts", "source_rank")
+
+
+def content_reconciliation(spark, sf_dir):
+    """Bronze against silver and rejected, row by row: once as they are, which
+    names nothing, and once against a damaged copy in which some rows are
+    lost, some doubled, some have another amount and some another key (D-7)."""
+    bronze = _bronze(spark, sf_dir).select(*CONTENT_COLUMNS)
+    staged = _staged(spark, sf_dir)
+    layers = reduce(DataFrame.unionAll, [part.select(*CONTENT_COLUMNS) for part in medallion.split(staged)])
+    rank = F.col("source_rank")
+    damaged = layers.filter(rank % 997 != 3).withColumns(
+        {
+            "amount": F.when(rank % 991 == 5, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(18,2)"),
+            "order_id": F.when(rank % 977 == 11, F.concat(F.lit("X"), "order_id")).otherwise(F.col("order_id")),
+        }
+    )
+    damaged = damaged.unionAll(damaged.filter(rank % 983 == 7))
+    compared = {"published": layers, "damaged": damaged}
+    return presentable(_each_layer({k: checks.content_differences(bronze, df, CONTENT_COLUMNS) for k, df in compared.items()}))
+
+
+def contract_quarantine(spark, sf_dir):
+    """Rows a layer and reason when only the amount rule is applied: what then
+    breaks silver's NOT NULL promises is diverted to quarantine (D-3)."""
+    lax = StageSpec(rules=tuple(r for r in medallion.ORDER_SPEC.rules if r.name == "positive_amount"))
+    staged = medallion.stage(_bronze(spark, sf_dir), lax, versions=order_versions(spark, sf_dir))
+    diverted = divert_broken(staged, CONTRACTS["silver_orders"])
+    return diverted.groupBy("layer", "rejection_reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _earlier_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = F.lit(EARLIER_LOAD_BEFORE).cast("timestamp_ntz")
+    return medallion.silver(_bronze(spark, sf_dir).filter(F.col("order_ts") < cut))
+
+
+def gold_from_changes(spark, sf_dir):
+    """Today's gold from the earlier load's state and the rows that changed
+    since (D-4), and the earlier gold by taking the same changes back."""
+    earlier, now = _earlier_silver(spark, sf_dir), _silver(spark, sf_dir)
+    forward = incremental.apply_changes(incremental.gold_state(earlier), incremental.signed_changes(earlier, now))
+    back = incremental.apply_changes(incremental.gold_state(now), incremental.signed_changes(now, earlier))
+    return _each_layer({"now": incremental.gold_of(forward), "earlier": incremental.gold_of(back)})
+
+
+def approx_region_customers(spark, sf_dir):
+    """Distinct customers a region, exactly and from daily sketches rolled up
+    (A-6): whether the estimate keeps its stated bound."""
+    silver = _silver(spark, sf_dir)
+    exact = silver.groupBy("region").agg(F.count_distinct("customer_id").alias("customers"))
+    approx = incremental.approx_customers(incremental.customer_sketches(silver), "region")
+    error = F.abs(F.col("approx_customers") - F.col("customers"))
+    within = error <= F.ceil(F.col("customers") * incremental.SKETCH_BOUND)
+    return exact.join(approx, "region").select("region", "customers", within.alias("within_bound"))
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def published_tables(spark, sf_dir):
+    """The table registry after a run of the whole pipeline (A-11, K-1, S-9)."""
+    root = _scratch(spark, "published")
+    run_pipeline(order_source(spark, sf_dir), root, ingested_at=RUN_TS)
+    return table_registry(spark, root).select("table_name", F.col("version").cast("bigint").alias("version"), "rows", "contract")
+
+
+UPSERT_BUCKETS = 16
+UPSERT_SINCE = "1998-07-01 00:00:00"
+UPSERT_KEYS_BELOW = 50
+
+
+def bucketed_upsert(spark, sf_dir):
+    """An order table in key buckets, its late orders and a few new keys
+    upserted (K-4): only the buckets that hold them are rewritten."""
+    path = _scratch(spark, "bucketed")
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+    buckets.write_bucketed(orders, path, ["o_orderkey"], UPSERT_BUCKETS)
+    late = read_table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit(UPSERT_SINCE).cast("timestamp_ntz"))
+    changed = late.select("o_orderkey", F.lit("U").alias("o_orderstatus"), (F.col("o_totalprice") + 1).cast("decimal(18,2)").alias("price"))
+    new = orders.filter(F.col("o_orderkey") < UPSERT_KEYS_BELOW).select(
+        (-1 - F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"), "price"
+    )
+    buckets.upsert_bucketed(spark, path, changed.unionAll(new), ["o_orderkey"], UPSERT_BUCKETS)
+    return presentable(buckets.read_bucketed(spark, path))
+
+
+def _order_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The orders as CSV files in key order, some with quotes and line feeds in a field."""
+    path = _scratch(spark, "orders-csv")
+    desk = F.concat(F.lit('desk "'), (F.col("source_rank") % 7).cast("string"), F.lit('",\nfloor 2'))
+    source = order_source(spark, sf_dir).withColumn("channel", F.when(F.col("source_rank") % 5 == 0, desk).otherwise(F.col("channel")))
+    when = F.date_format("order_ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_ts")
+    cols = [when if f.name == "order_ts" else F.col(f.name).cast("string").alias(f.name) for f in CSV_SCHEMA.fields]
+    rows = source.orderBy("source_rank").select(*cols)
+    rows.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def csv_arrival_orders(spark, sf_dir):
+    """Orders written to CSV and scanned in splits: fields that span lines are
+    whole, and the arrival rank is the order of writing (S-1, P-4)."""
+    return presentable(read_order_csv(spark, _order_csv(spark, sf_dir)).select("source_rank", "order_id", "region", "channel", "amount"))
+
+
+def csv_record_counts(spark, sf_dir):
+    """Records of the order files and of a missing one (S-5, S-7)."""
+    path = _order_csv(spark, sf_dir)
+    return file_inventory(spark, {"orders": path, "absent": f"{path}-absent"})
+
+
 def gold_contract(spark, sf_dir):
     """Gold's rows checked against its published column contract (D-3), and
     gold of all bronze rows, whose rows without a region break it."""
@@ -408,7 +539,9 @@ ALLOWED_PAGE_DOMAINS = ("example.com", "example.org")
 
 
 def url_policy(spark, sf_dir):
-    return corpus.url_policy(read_table(spark, sf_dir, "pages"), "url", ["page_id"], ALLOWED_PAGE_DOMAINS)
+    """The policy over all pages; every fiftieth page's url is taken away, so that one without a url is judged too."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", F.when(F.col("page_id") % 50 != 7, F.col("url")).alias("url"))
+    return corpus.url_policy(pages, "url", ["page_id"], ALLOWED_PAGE_DOMAINS)
 
 
 # Event types counted by the daily counters; other types never leave the scan.
@@ -457,4 +590,13 @@ QUERIES: dict[str, Query] = {
     "json_contract": json_contract,
     "order_document_contract": order_document_contract,
     "url_policy": url_policy,
+    "case_list": case_list,
+    "content_reconciliation": content_reconciliation,
+    "contract_quarantine": contract_quarantine,
+    "gold_from_changes": gold_from_changes,
+    "approx_region_customers": approx_region_customers,
+    "published_tables": published_tables,
+    "bucketed_upsert": bucketed_upsert,
+    "csv_arrival_orders": csv_arrival_orders,
+    "csv_record_counts": csv_record_counts,
 }

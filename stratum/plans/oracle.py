@@ -12,6 +12,7 @@ from stratum.functions import text as X
 from stratum.operators.checks import VALIDATION_CASES
 from stratum.operators.contracts import CONTRACTS
 from stratum.plans import catalog as C
+from stratum.plans.pipeline import TABLE_CONTRACTS
 from stratum.sources.tables import TABLE_NAMES
 
 BRONZE_COLS = "order_id, customer_id, region, channel, status, CAST(amount AS DOUBLE) AS amount, currency, order_ts, ingested_at, source_rank"
@@ -192,11 +193,11 @@ WITH parts AS (
          regexp_extract(url, {p}, 3) AS userinfo,
          regexp_replace(lower(regexp_extract(url, {p}, 4)), '\\.$', '') AS host,
          regexp_extract(url, {p}, 6) AS port
-  FROM pages)
+  FROM (SELECT page_id, CASE WHEN page_id % 50 <> 7 THEN url END AS url FROM pages))
 SELECT page_id, url, host,
        CASE WHEN scheme <> 'https' THEN 'not_https'
             WHEN userinfo <> '' THEN 'userinfo'
-            WHEN host = '' THEN 'missing_host'
+            WHEN coalesce(host, '') = '' THEN 'missing_host'
             WHEN port <> '' THEN 'port'
             WHEN NOT ({allowed}) THEN 'host_not_allowed' END AS violation
 FROM parts
@@ -270,18 +271,50 @@ def _validation_cases() -> str:
     return with_medallion("\nUNION ALL\n".join(rows))
 
 
+def _case_list() -> str:
+    extra = "(count(*) - (count(DISTINCT order_id) + max(CASE WHEN order_id IS NULL THEN 1 ELSE 0 END)) + count_if(NOT is_latest))"
+    exprs = [extra, "count_if(amount <= 0)", "count_if(region IS NULL)", "count_if(customer_id IS NULL)"]
+    exprs.append(f"count_if({C.CASE_LIST[-1].violation})")
+    return with_medallion(
+        "\nUNION ALL\n".join(
+            f"SELECT {_sql_str(c.case_id)} AS case_id, {_sql_str(c.focus)} AS focus, {_sql_str(c.assertion)} AS assertion, "
+            f"CAST({expr} AS BIGINT) AS violations, '{c.expected_status}' AS expected_status, "
+            f"CASE WHEN {expr} = 0 THEN 'pass' ELSE 'fail' END AS status FROM silver"
+            for c, expr in zip(C.CASE_LIST, exprs)
+        )
+    )
+
+
+def _content_reconciliation() -> str:
+    """Both differences of the multisets bronze and its damaged copy."""
+    cols = "order_id, customer_id, region, CAST(amount AS DOUBLE) AS amount, order_ts, source_rank"
+    sides = "\nUNION ALL\n".join(
+        f"SELECT *, '{side}' AS side FROM (SELECT * FROM {a} EXCEPT ALL SELECT * FROM {b})"
+        for side, a, b in (("lost", "whole", "damaged"), ("foreign", "damaged", "whole"))
+    )
+    return f"""
+WITH bronze AS ({ORDER_SOURCE}), whole AS (SELECT {cols} FROM bronze),
+changed AS (
+  SELECT CASE WHEN source_rank % 977 = 11 THEN 'X' || order_id ELSE order_id END AS order_id, customer_id, region,
+         CAST(amount + CASE WHEN source_rank % 991 = 5 THEN 1 ELSE 0 END AS DOUBLE) AS amount, order_ts, source_rank
+  FROM bronze WHERE source_rank % 997 <> 3),
+damaged AS (SELECT * FROM changed UNION ALL SELECT * FROM changed WHERE source_rank % 983 = 7),
+sides AS ({sides})
+SELECT *, CAST(count(*) AS BIGINT) AS copies, 'damaged' AS layer FROM sides GROUP BY ALL"""
+
+
 def _reconciliation() -> str:
     bronze, rejected = (f"(SELECT CAST(count(*) AS BIGINT) FROM {t})" for t in ("bronze", "rejected"))
     rows = []
     for layer in ("silver", "bronze"):
         one = f"(SELECT CAST(count(*) AS BIGINT) FROM {layer})"
         keys = f"(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT order_id FROM {layer}))"
-        every = "(SELECT CAST(count(*) AS BIGINT) FROM (SELECT DISTINCT order_id FROM bronze))"
         checks = [
             ("bronze_equals_silver_plus_rejected", bronze, f"{one} + {rejected}"),
             ("gold_accepted_equals_silver", one, "(SELECT CAST(sum(accepted_orders) AS BIGINT) FROM gold)"),
             ("one_silver_row_per_key", one, keys),
-            ("silver_keys_are_in_bronze", one, f"least({one}, {every})"),
+            ("silver_keys_are_in_bronze", one, f"(SELECT CAST(count(*) AS BIGINT) FROM {layer} l "
+             "WHERE EXISTS (SELECT 1 FROM bronze b WHERE b.order_id IS NOT DISTINCT FROM l.order_id))"),
         ]
         for name, expected, actual in checks:
             rows.append(
@@ -332,7 +365,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT CAST(count(*) AS BIGINT) AS source_rows, CAST(count(*) AS BIGINT) AS bronze_rows, "
         "CAST(count_if(rejection_reason IS NULL) AS BIGINT) AS silver_rows, "
         "CAST(count_if(rejection_reason IS NOT NULL) AS BIGINT) AS rejected_rows, "
-        "(SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows, CAST(3 AS BIGINT) AS tables, "
+        "(SELECT CAST(count(*) AS BIGINT) FROM gold) AS gold_rows, "
+        "CAST((CASE WHEN count(*) > 0 THEN 1 ELSE 0 END) + (CASE WHEN count_if(rejection_reason IS NULL) > 0 THEN 1 ELSE 0 END)"
+        " + (SELECT CASE WHEN count(*) > 0 THEN 1 ELSE 0 END FROM gold) AS BIGINT) AS tables, "
         f"{PASS_RATE} AS quality_pass_rate_pct FROM reasoned"
     )
     q["rejection_reasons"] = with_medallion(
@@ -358,7 +393,9 @@ def oracle_sql() -> dict[str, str]:
         "CAST(count_if(rejection_reason IS NOT NULL) AS BIGINT) AS rejected_rows, "
         "(SELECT CAST(count(*) AS BIGINT) FROM expectations) AS total_expectations, "
         "(SELECT CAST(count_if(failed = 0) AS BIGINT) FROM expectations) AS expectations_met, "
-        f"{PASS_RATE} AS quality_pass_rate_pct FROM reasoned"
+        f"{PASS_RATE} AS quality_pass_rate_pct, (SELECT string_agg(concat_ws('|', coalesce(region, ''), "
+        "CAST(round(gross_revenue_usd * 100) AS BIGINT), accepted_orders, completed_orders, pipeline_orders, distinct_customers), "
+        "';' ORDER BY region) FROM gold) AS gold_kpis FROM reasoned"
     )
     upsert_ctes = f"WITH {medallion_ctes()},\n{medallion_ctes('e_', EARLIER)},\n{UPSERTED}\n"
     q["gold_upsert"] = upsert_ctes + "SELECT * FROM upserted"
@@ -450,4 +487,42 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
     q["json_contract"] = _json_contract()
     q["order_document_contract"] = _order_document_contract()
     q["url_policy"] = _url_policy()
+    q["case_list"] = _case_list()
+    q["content_reconciliation"] = _content_reconciliation()
+    q["contract_quarantine"] = (
+        f"WITH bronze AS ({ORDER_SOURCE}), ranked AS (SELECT *, row_number() OVER "
+        "(PARTITION BY order_id ORDER BY order_ts DESC NULLS LAST, source_rank DESC) AS row_rank FROM bronze), "
+        "labelled AS (SELECT CASE WHEN amount <= 0 THEN 'non_positive_amount' WHEN row_rank > 1 THEN 'stale_duplicate' "
+        "WHEN customer_id IS NULL OR region IS NULL THEN 'contract_violation' END AS rejection_reason FROM ranked) "
+        "SELECT CASE WHEN rejection_reason IS NULL THEN 'silver' ELSE 'rejected' END AS layer, rejection_reason, "
+        'CAST(count(*) AS BIGINT) AS "rows" FROM labelled GROUP BY rejection_reason'
+    )
+    q["gold_from_changes"] = (
+        f"WITH {medallion_ctes()},\n{medallion_ctes('e_', EARLIER)}\n"
+        "SELECT *, 'now' AS layer FROM gold UNION ALL SELECT *, 'earlier' AS layer FROM e_gold"
+    )
+    q["approx_region_customers"] = with_medallion("SELECT region, distinct_customers AS customers, TRUE AS within_bound FROM gold")
+    q["published_tables"] = with_medallion(
+        "\nUNION ALL\n".join(
+            f"SELECT '{t}' AS table_name, CAST(0 AS BIGINT) AS version, CAST(count(*) AS BIGINT) AS \"rows\", "
+            f"{_sql_str(TABLE_CONTRACTS[t])} AS contract FROM {source}"
+            for t, source in (("bronze", "bronze"), ("staged", "reasoned"), ("gold", "gold"))
+        )
+    )
+    late = f"o_orderdate >= TIMESTAMP '{C.UPSERT_SINCE}'"
+    q["bucketed_upsert"] = (
+        f"SELECT o_orderkey, CASE WHEN {late} THEN 'U' ELSE o_orderstatus END AS o_orderstatus, "
+        f"CAST(CAST(o_totalprice + CASE WHEN {late} THEN 1 ELSE 0 END AS DECIMAL(18,2)) AS DOUBLE) AS price FROM orders "
+        "UNION ALL SELECT -1 - o_orderkey, 'N', CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) FROM orders "
+        f"WHERE o_orderkey < {C.UPSERT_KEYS_BELOW}"
+    )
+    q["csv_arrival_orders"] = (
+        f"WITH bronze AS ({ORDER_SOURCE}) SELECT row_number() OVER (ORDER BY source_rank) - 1 AS source_rank, order_id, region, "
+        "CASE WHEN source_rank % 5 = 0 THEN 'desk \"' || (source_rank % 7) || '\",' || chr(10) || 'floor 2' ELSE channel END AS channel, "
+        "CAST(amount AS DOUBLE) AS amount FROM bronze"
+    )
+    q["csv_record_counts"] = (
+        "SELECT 'orders' AS source, TRUE AS present, CAST(count(*) AS BIGINT) AS row_count FROM orders "
+        "UNION ALL SELECT 'absent', FALSE, CAST(0 AS BIGINT)"
+    )
     return q

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import checks, medallion, reports
-from stratum.operators.contracts import CONTRACTS, schema_faults
+from stratum.operators.contracts import CONTRACTS, divert_broken, schema_faults
 from stratum.operators.medallion import ORDER_SPEC, StageSpec
 from stratum.sinks import snapshots
 
@@ -74,10 +74,9 @@ def run_pipeline(
 
     bronze = publish(medallion.bronze(source, ingested_at), "bronze", "bronze_orders")
 
-    staged = medallion.stage(bronze, spec).withColumn(
-        "layer", F.when(F.col("rejection_reason").isNull(), F.lit("silver")).otherwise(F.lit("rejected"))
-    )
-    staged = publish(staged, STAGED, partition_by=["layer"])
+    # Rows that no rule rejects but that break silver's promises are quarantined, not committed.
+    staged = divert_broken(medallion.stage(bronze, spec), CONTRACTS["silver_orders"])
+    staged = publish(staged, STAGED, "staged_orders", partition_by=["layer"])
 
     silver = medallion.silver_columns(staged.filter(F.col("layer") == "silver").drop("layer"))
     if faults := schema_faults(silver, CONTRACTS["silver_orders"]):

@@ -40,6 +40,7 @@ def test_url_policy_first_match(spark):
         (6, "https://evil.example.net/a"),
         (7, "not a url"),
         (8, "HTTPS://Example.ORG./x"),
+        (9, None),
     ]
     df = spark.createDataFrame(urls, "page_id long, url string")
     got = {r.page_id: r.violation for r in corpus.url_policy(df, "url", ["page_id"], ["example.com", "example.org"]).collect()}
@@ -52,6 +53,7 @@ def test_url_policy_first_match(spark):
         6: "host_not_allowed",
         7: "not_https",
         8: None,
+        9: "missing_host",
     }
 
 

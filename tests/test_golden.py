@@ -122,7 +122,7 @@ def test_validation_cases(bronze, staged):
 def test_cases_from_config(spark, bronze, scratch):
     p = os.path.join(scratch, "cases.json")
     with open(p, "w", encoding="utf-8") as fh:
-        fh.write('[{"id": "A", "focus": "f", "assertion": "a"}, {"id": "B", "focus": "g", "assertion": "b", "expected_status": "fail"}]')
+        fh.write('[{"id": "A", "focus": "f", "assertion": "a", "check": "customer_present"}, {"id": "B", "focus": "g", "assertion": "b", "expected_status": "fail", "check": "region_present"}]')
     cases = checks.load_cases(spark, p)
     rows = checks.validation_cases(medallion.silver(bronze), bronze, cases=cases).collect()
     assert [(r.case_id, r.focus, r.expected_status, r.status) for r in rows] == [("A", "f", "pass", "pass"), ("B", "g", "fail", "pass")]
