@@ -8,8 +8,15 @@ of the question always to the same value of the document.  That is judged for
 each place of the document where the question may stand, so that a document
 may hold it several times with other values; equal values need no judgement.
 
-Only SQL expressions are used.  Documents are scanned twice: once for window
-hashes, once for the slots of the few that matched.  The benchmark's windows
+Template windows with few literal words would match anything, so they are not
+joined.  Items that have such windows, or just one window, are searched by
+their plain words with all values besides: windows of these are exact, so they
+need no literals and no judgement, and a first word is the same word whether
+or not it was read as a name.
+
+Only SQL expressions are used.  Documents are scanned for window hashes, of
+plain words only if an item needs them, and again for the slots of the few
+that matched.  The benchmark's windows
 are joined without a hint; the planner sends them to all executors if their
 size allows that, and shuffles both sides otherwise.
 """
@@ -61,7 +68,21 @@ def _template(word: Column) -> Column:
     )
 
 
-def _windowed(df: DataFrame, text: str, width: int, slots: bool = False) -> DataFrame:
+def _hashes(marks: Column, width: int | Column) -> Column:
+    """The hash of every window of ``marks``; null if there are fewer than ``width``.
+
+    Spark hashes an array as its elements one after the other, so a width that
+    is a column gives the same hashes as a number.
+    """
+    if isinstance(width, int):
+        hashed = lambda i: F.xxhash64(F.lit(width), *[F.get(marks, i + j) for j in range(width)])
+    else:
+        hashed = lambda i: F.xxhash64(width, F.slice(marks, i + 1, width))
+    at = F.sequence(F.lit(0), F.greatest(F.size(marks) - width, F.lit(0)))
+    return F.when(F.size(marks) >= width, F.transform(at, hashed))
+
+
+def _windowed(df: DataFrame, text: str, width: int | Column, slots: bool = False) -> DataFrame:
     """Replace ``text`` by ``windows``, an array with the hash of every template window.
 
     With ``slots``, each is a struct ``hash, pos, slots``: the window's first
@@ -69,13 +90,13 @@ def _windowed(df: DataFrame, text: str, width: int, slots: bool = False) -> Data
     """
     df = df.withColumn("words", _words(text)).drop(text)
     df = df.withColumn("marks", F.transform("words", lambda w: F.xxhash64(_template(w))))
-    words, marks = F.col("words"), F.col("marks")
-    hashed = lambda i: F.xxhash64(F.lit(width), *[F.get(marks, i + j) for j in range(width)])
-    placed = lambda w, j: F.struct(j.alias("offset"), w.alias("value"))
-    valued = lambda i: F.filter(F.transform(F.slice(words, i + 1, width), placed), lambda x: x["value"].startswith("‹"))
-    each = (lambda i: F.struct(hashed(i).alias("hash"), i.alias("pos"), valued(i).alias("slots"))) if slots else hashed
-    at = F.sequence(F.lit(0), F.greatest(F.size(marks) - width, F.lit(0)))
-    return df.withColumn("windows", F.when(F.size(marks) >= width, F.transform(at, each))).drop("marks", "words")
+    windows = _hashes(F.col("marks"), width)
+    if slots:
+        placed = lambda w, j: F.struct(j.alias("offset"), w.alias("value"))
+        slice_at = lambda i: F.slice("words", i + 1, width)
+        valued = lambda i: F.filter(F.transform(slice_at(i), placed), lambda x: x["value"].startswith("‹"))
+        windows = F.transform(windows, lambda h, i: F.struct(h.alias("hash"), i.alias("pos"), valued(i).alias("slots")))
+    return df.withColumn("windows", windows).drop("marks", "words")
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -88,18 +109,66 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter("item_id IS NOT NULL AND text IS NOT NULL")
     sized = items.withColumn("n_words", F.size(_words("text"))).withColumn("width", F.least("n_words", F.lit(width)))
-    parts = None
-    for w in range(1, width + 1):
-        at = _windowed(sized.filter(F.col("width") == w), "text", w, slots=True)
-        part = at.select("item_id", "width", "n_words", F.explode_outer("windows").alias("x")).filter("x IS NOT NULL")
-        part = part.select("item_id", "width", "n_words", F.col("x.pos").alias("at"), "x.hash", "x.slots")
-        parts = part if parts is None else parts.unionAll(part)
+    parts = _windowed(sized.filter("width > 0"), "text", F.col("width"), slots=True)
+    parts = parts.select("item_id", "width", "n_words", F.explode("windows").alias("x"))
+    parts = parts.select("item_id", "width", "n_words", F.col("x.pos").alias("at"), "x.hash", "x.slots")
     out = parts.filter(F.col("width") - F.size("slots") >= F.least(F.lit(LITERALS), F.col("width")))
     at = F.flatten(F.collect_list(F.transform("slots", lambda x: x["offset"] + F.col("at"))))
     n = out.groupBy("item_id").agg(F.count_distinct("at").cast("int").alias("n_windows"), F.size(F.array_distinct(at)).alias("n_places"))
     return out.join(n, "item_id")
 
 
+def _plain(text: str) -> Column:
+    """Lower-case words with their values."""
+    return F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+
+
+def _plain_windows(df: DataFrame, text: str, width: int | Column) -> DataFrame:
+    """Replace ``text`` by ``windows``, an array with the hash of every window of plain words."""
+    df = df.withColumn("marks", F.transform(_plain(text), lambda w: F.xxhash64(w))).drop(text)
+    return df.withColumn("windows", _hashes(F.col("marks"), width)).drop("marks")
+
+
+def plain_windows(benchmark: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
+    """``item_id, width, at, hash, n_windows, n_values`` of the items that template windows don't cover.
+
+    Those are the items with a window of too few literals, and those of one
+    window; ``items`` are the template windows.
+    """
+    texts = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").cast("string").alias("text"))
+    texts = texts.filter("item_id IS NOT NULL AND text IS NOT NULL").withColumn("n_words", F.size(_words("text")))
+    kept = items.groupBy("item_id").agg(F.max("n_windows").alias("kept"))
+    most = F.greatest(F.col("n_words") - width + 1, F.lit(1))
+    bare = (F.coalesce("kept", F.lit(0)) < most) | (F.col("n_words") <= width)
+    texts = texts.join(kept, "item_id", "left").filter(bare)
+    n_values = F.size(F.array_distinct(F.filter(_words("text"), lambda w: w.startswith("‹")))).cast("bigint")
+    sized = texts.select("item_id", "text", n_values.alias("n_values"), F.least(F.size(_plain("text")), F.lit(width)).alias("width"))
+    at = _plain_windows(sized.filter("width > 0"), "text", F.col("width"))
+    parts = at.select("item_id", "width", "n_values", F.posexplode("windows").alias("at", "hash"))
+    n = parts.groupBy("item_id").agg(F.count_distinct("at").cast("int").alias("n_windows"))
+    return parts.join(n, "item_id")
+
+
+def _verbatim(docs: DataFrame, items: DataFrame, needed: Column) -> DataFrame | None:
+    """Pairs, in the columns of ``LEAKS``, that share enough windows of plain words; None if no item asks for them."""
+    widths = sorted(r[0] for r in items.select("width").distinct().collect())
+    found = None
+    for w in widths:
+        seen = _plain_windows(docs, "text", w).select("doc_id", F.explode(F.array_distinct("windows")).alias("hash"))
+        hits = seen.join(items.filter(F.col("width") == w).drop("width"), "hash")
+        found = hits if found is None else found.unionAll(hits)
+    if found is None:
+        return None
+    pairs = found.groupBy("doc_id", "item_id").agg(
+        F.count_distinct("at").alias("windows"), F.max("n_windows").alias("n_windows"), F.max("n_values").alias("slots")
+    )
+    pairs = pairs.filter(F.col("windows") >= needed)
+    return pairs.select(
+        "doc_id", "item_id", "windows", F.col("n_windows").alias("item_windows"), "slots",
+        F.lit(0).cast("bigint").alias("changed_slots"), F.lit("exact").alias("kind"),
+    )
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The pairs of a document and a benchmark item that it holds.
 
@@ -112,16 +181,29 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
     items = written(benchmark_windows(benchmark), "benchmark")
+    needed = F.least(F.lit(ENOUGH), F.ceil(F.col("n_windows") / 2))
+    canonical = _by_template(docs, items, needed)
+    verbatim = _verbatim(docs, written(plain_windows(benchmark, items), "plain"), needed)
+    found = [x for x in (canonical, verbatim) if x is not None]
+    if not found:
+        return docs.sparkSession.createDataFrame([], LEAKS)
+    if len(found) == 1:
+        return found[0]
+    best = F.max_by(F.struct("windows", "item_windows", "slots", "changed_slots", "kind"), F.struct(F.col("kind") == "exact", "windows"))
+    return found[0].unionByName(found[1]).groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+
+
+def _by_template(docs: DataFrame, items: DataFrame, needed: Column) -> DataFrame | None:
+    """Pairs, in the columns of ``LEAKS``, whose template windows match and whose values correspond."""
     # The distinct widths of the benchmark's windows: WINDOW of them at most.
     widths = sorted(r[0] for r in items.select("width").distinct().collect())
-    needed = F.least(F.lit(ENOUGH), F.ceil(F.col("n_windows") / 2))
     found = None
     for w in widths:
         seen = _windowed(docs, "text", w).select("doc_id", F.explode(F.array_distinct("windows")).alias("hash"))
         hits = seen.join(items.filter(F.col("width") == w).select("hash", "item_id", "at", "n_windows"), "hash")
         found = hits if found is None else found.unionAll(hits)
     if found is None:
-        return docs.sparkSession.createDataFrame([], LEAKS)
+        return None
     pairs = found.groupBy("doc_id", "item_id").agg(
         F.count_distinct("at").alias("windows"), F.max("n_windows").alias("n_windows")
     )

@@ -255,6 +255,33 @@ def test_leaks_are_judged_by_place(spark):
     assert got == {(1, 1): "exact", (2, 1): "reparameterised", (3, 2): "exact", (4, 2): "reparameterised", (5, 1): "reparameterised"}
 
 
+SHORT_ITEMS = [
+    "What is 12 times 7?",
+    "Tom has 3 kg, Ann has 5 kg, Bob has 7 kg, Eve has 9 kg",
+    "What is the capital of France",
+    "Is 3 km 3000 m?",
+    "Anna met Paul and Paul met Rita and Rita met Omar near Oslo",
+    "12 15 18 21 24 27 30 33 36 39 42",
+    "The answer",
+]
+
+
+def test_leaks_of_items_with_few_literals(spark):
+    import re
+
+    texts = [f"{a} {t} {b}" for t in SHORT_ITEMS for a, b in (("", ""), ("tell me", "now"), ("So,", "Yes."))]
+    texts += [t.upper() for t in SHORT_ITEMS] + ["What is 13 times 7?", "Tom has 4 kg", "What is the capital of Spain", "the answers", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame(list(enumerate(SHORT_ITEMS)), "item_id long, text string")
+    plain = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
+    want = {(i, k) for i, t in enumerate(texts) for k, q in enumerate(SHORT_ITEMS) if plain(q) in plain(t)}
+    rows = decontamination.leaks(docs, items).collect()
+    assert len({(r.doc_id, r.item_id) for r in rows}) == len(rows)
+    assert {(r.doc_id, r.item_id) for r in rows if r.kind == "exact"} == want
+    # "What is the capital of Spain" asks item 2 with another name.
+    assert {(r.doc_id, r.item_id) for r in rows} - want == {(30, 2)} and texts[30].endswith("Spain")
+
+
 def test_leaks_equal_brute_force(spark, small):
     import re
 
