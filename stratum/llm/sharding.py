@@ -148,14 +148,23 @@ def _sql_shard(key: str, t: Topology) -> str:
 
 
 def sharding_sql() -> str:
+    """The same tree, and checksums byte by byte from a table of the 256 bytes' own."""
     t = Topology.regular(24)
     return f"""
-WITH keyed AS (
+WITH RECURSIVE steps AS (
+  SELECT i::BIGINT AS byte, i::BIGINT AS v, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc AS MATERIALIZED (SELECT list(v ORDER BY byte) AS t FROM steps WHERE k = 8),
+sums AS MATERIALIZED (
+  SELECT data, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, octet_length(data)),
+    lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)), lambda s, b: xor(t[xor(s & 255, b) + 1], s >> 8)), 4294967295) AS sum
+  FROM (SELECT DISTINCT encode(coalesce(text, '')) AS data, hex(encode(coalesce(text, ''))) AS h FROM documents), crc),
+keyed AS (
   SELECT doc_id, encode(coalesce(text, '')) AS data, coalesce(doc_id::VARCHAR, '') AS key FROM documents),
 placed AS (
-  SELECT doc_id, octet_length(data) + 8 AS size, {_sql_shard('key', t)} AS shard, {_sql_shard('key', t.grown())} AS grown_shard,
+  SELECT doc_id, data, octet_length(data) + 8 AS size, {_sql_shard('key', t)} AS shard, {_sql_shard('key', t.grown())} AS grown_shard,
     (('0x' || substr(md5(key || '/slot'), 1, 13))::BIGINT) % {BUCKETS} AS bucket
   FROM keyed)
-SELECT doc_id, size::BIGINT AS size, 'key' AS law, shard, grown_shard,
+SELECT doc_id, size::BIGINT AS size, sum AS text_crc32, 'key' AS law, shard, grown_shard,
   row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id) - 1 AS slot
-FROM placed"""
+FROM placed JOIN sums USING (data)"""
