@@ -38,22 +38,17 @@ def text_or_empty(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
-#: A worker keeps so many memories, the latest used: a model and its words.
-MEMORIES = 2
-
-
 def worker_memory(name: str, make: Callable):
     """What a Python worker keeps from one task to the next; only ever a cache.
 
-    Workers outlive stages, so what another stage kept goes when this one's
-    memories need the room.
+    Workers outlive stages, so what another operator kept goes first: names
+    that agree behind their first hyphen belong together.
     """
     home = sys.modules.setdefault("stratum_worker_memory", types.ModuleType("stratum_worker_memory"))
     kept = home.__dict__.setdefault("kept", {})
-    if name in kept:
-        kept[name] = kept.pop(name)
-    else:
-        while len(kept) >= MEMORIES:
-            del kept[next(iter(kept))]
+    if name not in kept:
+        owner = name.partition("-")[2]
+        for other in [k for k in kept if k.partition("-")[2] != owner]:
+            del kept[other]
         kept[name] = make()
     return kept[name]

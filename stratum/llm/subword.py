@@ -117,6 +117,8 @@ class Model:
     bias: float
     features: Features
     name: str
+    #: Whether rows of both classes were fitted.
+    learnt: bool = True
 
     def word_value(self, word: str) -> float | None:
         b = self.features.buckets(word)
@@ -177,7 +179,7 @@ def fit(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, features:
             out -= np.float32(0.2) * rate * grad_out / np.sqrt(out_seen)
             bias -= np.float32(0.02) * rate * p
     value = (emb @ (out[1] - out[0])).astype(np.float64) if len(labels) else np.zeros(BUCKETS)
-    return Model(value.tolist(), float(bias[1] - bias[0]), features, uuid.uuid4().hex)
+    return Model(value.tolist(), float(bias[1] - bias[0]), features, uuid.uuid4().hex, len(set(labels.tolist())) == 2)
 
 
 def held_out(modulus: int, remainder: int, id_col: str = "doc_id"):
@@ -250,7 +252,12 @@ def judged(docs: DataFrame, labels: DataFrame, out, features: Features, t: Train
 
 
 def keep(docs: DataFrame, model: Model, wanted: int) -> DataFrame:
-    """The rows of ``docs`` whose text the model puts into the wanted class, with all their columns."""
+    """The rows of ``docs`` whose text the model puts into the wanted class, with all their columns.
+
+    A model that has not seen both classes tells nothing: every row is kept.
+    """
+    if not model.learnt:
+        return docs
     shipped = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     name = model.name
 
