@@ -10,6 +10,7 @@ import json
 import logging
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,6 +95,25 @@ def upsert_into_table(spark: SparkSession, table: str, source: DataFrame, keys:
     return affected
 
 
+@dataclass(frozen=True)
+class ExportTarget:
+    """Where gold may be exported to, and what switches the export on."""
+
+    name: str
+    activation: str
+    role: str
+
+
+def load_targets(spark: SparkSession, path: str) -> tuple[ExportTarget, ...]:
+    """Read a JSON array of export targets (S-3), configuration of a handful of
+    entries: ``name``, ``activation`` and ``role``.  A record that lacks a name
+    is refused."""
+    found = [r.asDict() for r in spark.read.option("multiLine", True).json(path).collect()]
+    if any(not r.get("name") for r in found):
+        raise ValueError(f"an export target of {path} has no name")
+    return tuple(ExportTarget(r["name"], r.get("activation") or "", r.get("role") or "") for r in found)
+
+
 def merge_statement(target: Sequence[str], staging: Sequence[str], keys: Sequence[str], columns: Sequence[str]) -> str:
     """The statement a warehouse runs to merge the staging table that
     ``export_jdbc`` fills into its target (K-8).  ``target`` and ``staging``

@@ -94,6 +94,20 @@ def latest_version(spark: SparkSession, root: str, table: str) -> int | None:
     return latest_versions(spark, root).get(table)
 
 
+def latest_delta_version(spark: SparkSession, table_path: str) -> int | None:
+    """Highest committed version of a Delta table's folder, by the names in its
+    ``_delta_log`` alone (S-10); None without a log or a commit in it."""
+    try:
+        entries = spark.read.format("binaryFile").load(os.path.join(table_path, "_delta_log", "*.json"))
+        version = F.regexp_extract("path", r"/(\d+)\.json$", 1)
+        row = entries.select(version.alias("v")).filter("v != ''").agg(F.max(F.col("v").cast("bigint"))).first()
+    except AnalysisException as e:
+        if not missing_path(e):
+            raise
+        return None
+    return row[0]
+
+
 def _refuse(table: str, faults: Sequence[str]) -> None:
     if faults:
         raise ContractError(f"{table} breaks its contract: {'; '.join(faults)}")

@@ -13,6 +13,7 @@ from stratum.operators.contracts import BROKEN_LABEL, CONTRACTS, divert_broken,
 from stratum.operators.dedup import version_rank
 from stratum.plans import pipeline
 from stratum.sinks import buckets, snapshots
+from stratum.sinks import catalog as catalog_sink
 
 
 def same_rows(a, b):
@@ -218,3 +219,30 @@ def test_broken_rows_are_diverted_before_the_commit(spark, fixture_source, scrat
     assert divert_broken(staged, CONTRACTS["silver_orders"]).filter(F.col("rejection_reason") == BROKEN_LABEL).count() == 0
     with pytest.raises(snapshots.ContractError):
         snapshots.write_snapshot(staged.withColumn("layer", F.lit(None).cast("string")), root, "staged", contract=CONTRACTS["staged_orders"])
+
+
+# --- outside folders and configuration -------------------------------------
+
+
+def test_version_of_a_delta_folder(spark, scratch):
+    table = os.path.join(scratch, "outside")
+    assert snapshots.latest_delta_version(spark, table) is None
+    log = os.path.join(table, "_delta_log")
+    os.makedirs(log)
+    assert snapshots.latest_delta_version(spark, table) is None
+    for name in ("00000000000000000000.json", "00000000000000000009.json", "00000000000000000010.json", "x.json", "00000000000000000011.crc"):
+        with open(os.path.join(log, name), "w") as f:
+            f.write("{}")
+    assert snapshots.latest_delta_version(spark, table) == 10
+
+
+def test_export_targets_from_config(spark, scratch):
+    path = os.path.join(scratch, "targets.json")
+    with open(path, "w") as f:
+        f.write('[{"name": "warehouse", "activation": "URL", "role": "KPIs"}, {"name": "files"}]')
+    got = catalog_sink.load_targets(spark, path)
+    assert [(t.name, t.activation, t.role) for t in got] == [("warehouse", "URL", "KPIs"), ("files", "", "")]
+    with open(path, "w") as f:
+        f.write('[{"name": null, "role": "x"}]')
+    with pytest.raises(ValueError, match="no name"):
+        catalog_sink.load_targets(spark, path)
