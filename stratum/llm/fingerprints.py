@@ -13,7 +13,9 @@ array is computed anew for every element that looks at it.
 
 from __future__ import annotations
 
+import json
 import random
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +29,10 @@ WIDTH = 5
 SPACE = " \t\n\x0b\x0c\r"
 #: Documents of a stretch of ids, about: what one sort puts in order to find each document's successor.
 STRETCH = 2000
+#: Cuts of the order at one level; there are two levels.
+FAN = 256
+#: Stretches from here on hold the rows without an id.
+NO_ID = 1 << 30
 #: An odd factor a bin: (j - i) * factor mod BINS is bin i's order of trying the bins j, itself first.
 FACTORS = [2 * random.Random(i).randrange(BINS // 2) + 1 for i in range(BINS)]
 
@@ -84,51 +90,75 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def _after(firsts: DataFrame, group: int = 4096) -> DataFrame:
-    """``stretch, next_id``: the first id of the next stretch that has one, the first of all after the last.
+def cuts_of(docs: DataFrame) -> tuple[list[tuple[int, int]], int]:
+    """Where to cut the order of (id, hash of the text), and the number of rows without an id.
 
-    Two levels: stretches are ordered inside groups of stretches, and only the
-    groups' firsts as a whole.
+    Quantiles of the ids, at most ``FAN`` of them, and as many again between
+    each two; an id that spans several is cut by the hash, which is uniform.
+    They steer how even stretches are, never a result.
     """
-    grouped = firsts.withColumn("grp", F.floor(F.col("stretch") / group))
-    tops = grouped.groupBy("grp").agg(F.min("first_id").alias("top"))
-    inner = Window.partitionBy("grp").orderBy("stretch")
-    outer = Window.orderBy("grp")
-    wrapped = tops.select(
-        "grp", F.coalesce(F.lead("top").over(outer), F.first("top").over(outer)).alias("next_top")
-    )
-    return (
-        grouped.withColumn("next_id", F.lead("first_id").over(inner))
-        .join(wrapped, "grp")
-        .select("stretch", F.coalesce("next_id", "next_top").alias("next_id"))
-    )
+    quantiles = lambda n: F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 20 * FAN)
+    total, known = docs.agg(F.count("*"), F.count("doc_id")).first()
+    wanted = known // STRETCH + 1
+    ids = docs.select("doc_id").filter("doc_id IS NOT NULL")
+    coarse = list(ids.agg(quantiles(min(wanted, FAN)).alias("q")).first()["q"] or []) if wanted > 1 else []
+    found = coarse
+    if wanted > FAN:
+        part = F.size(F.filter(_listed(sorted(set(coarse)), "bigint"), lambda c: c <= F.col("doc_id")))
+        finer = ids.groupBy(part).agg(quantiles(min(wanted // FAN + 1, FAN)).alias("q")).select("q").collect()
+        found = coarse + [q for r in finer for q in r["q"]]
+    cuts = []
+    for i, times in sorted(Counter(found).items()):
+        cuts += [(i, -(2**63) + k * 2**64 // times) for k in range(times)]
+    return cuts, total - known
+
+
+def _listed(values: list, kind: str) -> Column:
+    """A constant array, as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def stretch_of(cuts: list[tuple[int, int]], without_id: int) -> Column:
+    """The stretch of a row by its ``doc_id`` and ``tie``; rows without an id have stretches after all others."""
+    key = F.struct(F.col("doc_id").alias("i"), F.col("tie").alias("t"))
+    below = lambda known: F.size(F.filter(known, lambda c: c <= key))
+    groups = [[{"i": i, "t": t} for i, t in cuts[k : k + FAN]] for k in range(0, len(cuts), FAN)]
+    coarse = _listed([g[0] for g in groups], "struct<i:bigint,t:bigint>")
+    group = F.get(_listed(groups, "array<struct<i:bigint,t:bigint>>"), below(coarse) - 1)
+    known = below(coarse) * FAN * 2 + F.coalesce(below(group), F.lit(0))
+    parts = min(without_id // STRETCH + 1, FAN * FAN)
+    unknown = NO_ID + F.floor((F.col("tie") / 2.0**64 + 0.5) * parts).cast("int")
+    return F.when(F.col("doc_id").isNull(), unknown).otherwise(known)
 
 
 def with_successor(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Add the text and fingerprint of the next document by id; the first follows the last.
 
-    Ids are cut into stretches of equal width, with about ``STRETCH`` documents
-    each; documents are ordered inside a stretch only, and the last one of a
-    stretch is joined to the first of the next.
+    Documents are dealt in stretches of the order, about ``STRETCH`` in each
+    (more beyond ``FAN`` x ``FAN`` stretches), and ordered inside a stretch
+    only; the last one of a stretch is joined to the first of the next.  The
+    firsts are as many as the stretches, so they may be broadcast.
     """
-    low, high, count = docs.agg(F.min("doc_id"), F.max("doc_id"), F.count("doc_id")).first()
-    low, high = low or 0, high or 0
-    stretches = count // STRETCH + 1
-    wide = (high - low) // stretches + 1
-    rows = docs.withColumn("stretch", F.coalesce(F.floor((F.col("doc_id") - low) / wide), F.lit(-1)))
-    firsts = rows.select("stretch", "doc_id").groupBy("stretch").agg(F.min("doc_id").alias("first_id")).filter("stretch >= 0")
-    tie = F.xxhash64("text")
-    heads = docs.join(_after(firsts).withColumnsRenamed({"next_id": "doc_id", "stretch": "after"}), "doc_id")
-    heads = heads.withColumn("tie", tie).withColumn("nth", F.row_number().over(Window.partitionBy("after").orderBy("tie")))
-    heads = with_fingerprint(heads.filter("nth = 1").drop("nth", "tie"), "text", "head_print", width)
-    heads = heads.select(F.col("after").alias("stretch"), F.col("text").alias("head"), "head_print")
-    order = Window.partitionBy("stretch").orderBy(F.col("doc_id"), F.col("tie"))
-    printed = with_fingerprint(rows, "text", "fingerprint", width).withColumn("tie", tie)
-    led = printed.withColumns(
+    rows = docs.withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("stretch", stretch_of(*cuts_of(docs)))
+    order = F.struct("doc_id", "tie")
+    firsts = rows.groupBy("stretch").agg(F.min(order).alias("f")).select("stretch", "f.doc_id", "f.tie")
+    # At most 2 x FAN x FAN rows; rows without an id have no successor beyond their last.
+    along = Window.partitionBy(F.col("stretch") >= NO_ID).orderBy("stretch")
+    last = F.max("stretch").over(along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = F.coalesce(F.lag("stretch").over(along), F.when(F.col("stretch") < NO_ID, last))
+    firsts = firsts.withColumn("before", before).withColumnsRenamed({"stretch": "at", "doc_id": "first_id", "tie": "first_tie"})
+    same = (F.col("stretch") == F.col("at")) & (F.col("tie") == F.col("first_tie")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+    heads = rows.join(F.broadcast(firsts), same).dropDuplicates(["at"])
+    heads = with_fingerprint(heads, "text", "head_print", width)
+    heads = heads.select(F.col("before").alias("stretch"), F.col("text").alias("head"), "head_print")
+    heads = heads.filter("stretch IS NOT NULL")
+    inside = Window.partitionBy("stretch").orderBy("doc_id", "tie")
+    led = with_fingerprint(rows, "text", "fingerprint", width).withColumns(
         {
-            "led": F.lead("text").over(order),
-            "led_print": F.lead("fingerprint").over(order),
-            "is_last": F.lead("stretch").over(order).isNull(),
+            "led": F.lead("text").over(inside),
+            "led_print": F.lead("fingerprint").over(inside),
+            "is_last": F.lead("stretch").over(inside).isNull(),
         }
     )
     return led.join(heads, "stretch", "left").select(
@@ -144,7 +174,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """Fingerprints of every row's text and of the text with its last half replaced.
 
     Returns ``doc_id, text, edited, fingerprint, edited_fingerprint, near_edited,
-    near_next``.  A null text is empty; an empty text has an empty fingerprint.
+    near_next``.  A null text is empty, an empty one has an empty
+    fingerprint, and long ones are taken whole.
     Rows that repeat an id follow one another by a hash of their texts; rows
     with a null id are ordered among themselves by that hash, and the last of
     them is followed by an empty text.  Other columns are ignored.

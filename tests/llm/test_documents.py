@@ -1,6 +1,7 @@
 """Document operators against brute force, and on edge rows."""
 
 import hashlib
+import re
 import struct
 import zlib
 from collections import defaultdict
@@ -187,11 +188,54 @@ def test_fingerprints_equal_brute_force(small):
     assert {len(r.fingerprint) for r in got.values()} <= {0, 128}
 
 
-def test_stretches_agree_with_one_order(spark, monkeypatch):
+@pytest.mark.parametrize("fan", [2, 256])
+def test_stretches_agree_with_one_order(spark, monkeypatch, fan):
     monkeypatch.setattr(fingerprints, "STRETCH", 3)
-    docs = spark.createDataFrame([(i * i, f"text number {i} here") for i in range(40)], "doc_id long, text string")
+    monkeypatch.setattr(fingerprints, "FAN", fan)
+    ids = [-9 * 10**18, 9 * 10**18, 2**62, *(i * i for i in range(40))]
+    docs = spark.createDataFrame([(i, f"text number {i} here") for i in ids], "doc_id long, text string").repartition(3)
     got = {r.doc_id: r.next_text for r in fingerprints.with_successor(docs).collect()}
-    assert got == {i * i: f"text number {(i + 1) % 40} here" for i in range(40)}
+    ids.sort()
+    assert got == {i: f"text number {n} here" for i, n in zip(ids, ids[1:] + ids[:1], strict=True)}
+
+
+def test_stretches_are_even(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "STRETCH", 20)
+    ids = [2**62, -(2**62), *range(400), *[7] * 300, *[None] * 300]
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(ids)], "doc_id long, text string")
+    rows = docs.selectExpr("*", "xxhash64(text) AS tie").withColumn("s", fingerprints.stretch_of(*fingerprints.cuts_of(docs)))
+    assert max(r["count"] for r in rows.groupBy("s").count().collect()) <= 60
+    # Each row follows the one before in (id, hash) order; rows without an id end with an empty text.
+    follows = sorted(r.next_text for r in fingerprints.with_successor(docs).collect())
+    texts = [f"text {k}" for k in range(len(ids))]
+    known = [(r.doc_id, r.tie, r.text) for r in rows.collect()]
+    first_null = min((t, x) for i, t, x in known if i is None)[1]
+    assert follows == sorted(x if x != first_null else "" for x in texts)
+
+
+def brute_fingerprint(hashes):
+    """By the definition: least hash a bin, an empty bin takes that of the first filled one in its order."""
+    least = {}
+    for h in hashes:
+        b = (h % 2**64) >> (64 - fingerprints.BIN_BITS)
+        least[b] = min(h, least.get(b, h))
+    out = ""
+    for i, f in enumerate(fingerprints.FACTORS):
+        b = min(least, key=lambda j: ((j - i) * f) % fingerprints.BINS)
+        out += f"{least[b] % 2**fingerprints.BITS:x}"
+    return out
+
+
+def test_fingerprints_equal_brute_force_digit_by_digit(spark, small):
+    docs, texts = small
+    got = {r.doc_id: r.fingerprint for r in fingerprints.with_fingerprint(docs, "text", "fingerprint").collect()}
+    for i in sorted(texts)[:12]:
+        words = re.findall(r"[^\x20\x09-\x0D]+", texts[i].translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})))
+        if len(words) < 5:
+            continue
+        hashed = spark.createDataFrame([(words,)], "w array<string>").selectExpr("transform(w, x -> xxhash64(x)) AS w")
+        runs = "transform(sequence(0, size(w) - 5), i -> xxhash64(w[i], w[i+1], w[i+2], w[i+3], w[i+4]))"
+        assert got[i] == brute_fingerprint(hashed.selectExpr(f"{runs} AS s").first()["s"])
 
 
 def test_fingerprint_edges(edge_docs):
