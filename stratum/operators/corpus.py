@@ -33,6 +33,43 @@ def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Seque
     return lowered.select(*id_cols, F.explode(hits).alias("term"))
 
 
+def _grams(text: Column, size: int) -> Column:
+    """Distinct runs of ``size`` characters."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
+
+
+def indexed_term_hits(
+    df: DataFrame, id_cols: Sequence[str], text_col: str, terms: DataFrame, term_col: str = "term", size: int = 3
+) -> DataFrame:
+    """``term_hits`` for a table of terms, thousands and more (R-1).
+
+    Each term is looked up by that one of its grams (runs of ``size``
+    characters, or the whole of a shorter term) which the fewest records
+    hold; records that hold it are joined with the term and checked by
+    ``contains``.  A text is cut into grams once, however many terms there
+    are, and joins are plain equi-joins.  Terms are compared in lower case and
+    once each; NULL and empty terms are ignored, as are NULL texts.
+    """
+    wanted = terms.select(F.lower(F.col(term_col)).alias("term")).filter("term != ''").distinct()
+    by_size = [F.when(F.length("term") == n, _grams(F.col("term"), n)) for n in range(1, size)]
+    term_grams = wanted.select("term", F.explode(F.coalesce(*by_size, _grams(F.col("term"), size))).alias("gram"))
+    # At most ``size`` rows.
+    sizes = sorted(r["n"] for r in wanted.select(F.least(F.length("term"), F.lit(size)).alias("n")).distinct().collect())
+    # A hash over ids and text names a record: rows without an id do not meet
+    # on one key, and two records of one hash only share what is checked.
+    lowered = df.select(*id_cols, F.lower(F.col(text_col)).alias("_text"))
+    records = lowered.withColumn("_record", F.xxhash64(*id_cols, "_text"))
+    cut = F.flatten(F.array(*[_grams(F.col("_text"), n) for n in sizes])) if sizes else F.array().cast("array<string>")
+    text_grams = records.filter("_text IS NOT NULL").select("_record", F.explode(cut).alias("gram"))
+    held = text_grams.join(term_grams.select("gram").distinct(), "gram").groupBy("gram").agg(F.count("*").alias("n"))
+    # A term with a gram that no record holds is in no text.
+    rarity = F.struct(F.coalesce(F.col("n"), F.lit(0)).alias("n"), F.col("gram").alias("gram"))
+    rare = term_grams.join(held, "gram", "left").groupBy("term").agg(F.min(rarity).alias("r"))
+    rare = rare.filter("r.n > 0").select("term", F.col("r.gram").alias("gram"))
+    candidates = text_grams.join(rare, "gram").select("_record", "term").distinct()
+    return records.join(candidates, "_record").filter(F.col("_text").contains(F.col("term"))).select(*id_cols, "term")
+
+
 def link_audit(pages: DataFrame, html_col: str = "html", url_col: str = "url") -> DataFrame:
     """Every link of every page, classified, with broken targets flagged (R-2).
 

@@ -495,6 +495,20 @@ def banned_term_scan(spark, sf_dir):
     return docs.unionByName(convs)
 
 
+def benchmark_phrases(spark, sf_dir):
+    """Every two neighbouring words of the benchmark items, in lower case."""
+    words = F.split(F.lower("text"), " ")
+    at = F.sequence(F.lit(1), F.size("w") - 1)
+    pairs = F.transform(at, lambda i: F.concat_ws(" ", F.element_at("w", i), F.element_at("w", i + 1)))
+    items = read_table(spark, sf_dir, "benchmark").select(words.alias("w")).filter(F.size("w") > 1)
+    return items.select(F.explode(pairs).alias("term"))
+
+
+def phrase_scan(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return corpus.indexed_term_hits(docs, ["doc_id"], "text", benchmark_phrases(spark, sf_dir))
+
+
 def link_audit(spark, sf_dir):
     return corpus.link_audit(read_table(spark, sf_dir, "pages"))
 
@@ -586,6 +600,7 @@ QUERIES: dict[str, Query] = {
     "orders_without_lines": orders_without_lines,
     "daily_event_counts": daily_event_counts,
     "banned_term_scan": banned_term_scan,
+    "phrase_scan": phrase_scan,
     "link_audit": link_audit,
     "json_contract": json_contract,
     "order_document_contract": order_document_contract,

@@ -483,6 +483,11 @@ WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
         f"FROM events WHERE event_type IN ({allowed}) GROUP BY CAST(ts AS DATE), event_type"
     )
     q["banned_term_scan"] = _term_scan()
+    q["phrase_scan"] = (
+        "WITH w AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark), "
+        "terms AS (SELECT DISTINCT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM w) "
+        "SELECT doc_id, term FROM documents JOIN terms ON contains(lower(text), term)"
+    )
     q["link_audit"] = _link_audit()
     q["json_contract"] = _json_contract()
     q["order_document_contract"] = _order_document_contract()

@@ -1,5 +1,7 @@
 """Text, link, URL and JSON checks on hand-made rows."""
 
+import random
+
 from stratum.operators import corpus
 
 
@@ -10,6 +12,25 @@ def test_term_hits_whole_text(spark):
     assert got == [(1, "hiring"), (3, "cover letter"), (3, "채용")]
 
 
+def test_indexed_term_hits_equal_the_literal_scan(spark):
+    rnd = random.Random(7)
+    letters = "abcdé漢😀. "
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 2, 30, 400]))) for _ in range(60)]
+    texts += [texts[5], "x " * 9000 + "Needle(.*)", None, "tail"]
+    # Repeated ids with other texts, and rows without an id.
+    rows = [(k // 2 if k % 5 else None, t) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    terms = ["".join(rnd.choice(letters) for _ in range(n)) for n in (1, 2, 2, 3, 3, 4, 5, 6) for _ in range(20)]
+    terms += ["NEEDLE(.*)", "needle(", "nowhere", "x x", "il"]
+    table = spark.createDataFrame([(t,) for t in [*terms, terms[0], "", None]], "term string")
+    got = corpus.indexed_term_hits(docs, ["id"], "text", table).collect()
+    want = corpus.term_hits(docs, ["id"], "text", sorted({t.lower() for t in terms})).collect()
+    key = lambda r: (r.id is None, r.id or 0, r.term)
+    assert sorted(got, key=key) == sorted(want, key=key) and len(want) > 500
+    assert corpus.indexed_term_hits(docs, ["id"], "text", table.limit(0)).count() == 0
+    assert corpus.indexed_term_hits(docs.limit(0), ["id"], "text", table).count() == 0
+
+
 def test_link_audit(spark):
     html = (
         '<a href="/en/1">ok</a><a href="/missing">x</a><a href="https://x.org">e</a>'
