@@ -1,8 +1,11 @@
 """Page operators against brute force, and on edge rows."""
 
+import gzip
 import hashlib
 import html
 import io
+import os
+import pathlib
 import re
 
 import pytest
@@ -119,6 +122,48 @@ def test_arc_headers_are_version_specific():
         list(warc.arc_records(io.BytesIO(b"http://a 1.1.1.1 2024 text/html 9\nabcd")))
 
 
+def test_archives_from_elsewhere(spark, scratch):
+    """Records that are no HTTP messages, urls with spaces, odd header lines and bytes that are no text."""
+    bodies = [
+        ("dns:a.org", "text/dns", b"20240102030405\na.org. 300 IN A 1.2.3.4\n"),
+        ("http://a.org/two words?q=a b", "text/html; charset=latin-1", b"HTTP/1.0 200 OK\r\nServer:x\r\nno field\r\n\r\n<p>\xff\xe9\r\n\r\nz"),
+        ("http://a.org/lf", "text/html", b"HTTP/1.0 200 OK\nX-Odd\n\nbody"),
+        ("http://a.org/bare", "text/html", b"HTTP/1.0 204 No Content\r\n"),
+        ("ftp://a.org/f", "no-type", b""),
+    ]
+    about = b"1 0 Somebody\nURL IP-address Archive-date Content-type Archive-length\n"
+    data = b"filedesc://x.arc 0.0.0.0 20240101 text/plain %d\n%s\n" % (len(about), about)
+    for url, kind, body in bodies:
+        data += f"{url} 1.2.3.4 20240102 {kind} {len(body)}\n".encode() + body + b"\n"
+    os.makedirs(f"{scratch}/arc")
+    with gzip.open(f"{scratch}/arc/a.arc.gz", "wb") as f:
+        f.write(data)
+    warc.convert(spark, f"{scratch}/arc", f"{scratch}/warc")
+    got = {r.target_uri: r for r in warc.read_warc(spark, f"{scratch}/warc").collect()}
+    assert {u: (r.record_type, r.payload) for u, r in got.items()} == {
+        "dns:a.org": ("resource", bodies[0][2]),
+        "http://a.org/two%20words?q=a%20b": ("response", b"<p>\xff\xe9\r\n\r\nz"),
+        "http://a.org/lf": ("response", b"body"),
+        "http://a.org/bare": ("response", b""),
+        "ftp://a.org/f": ("resource", b""),
+    }
+    assert {r.captured for r in got.values()} == {"2024-01-02T00:00:00Z"}
+    raw = [r for f in pathlib.Path(f"{scratch}/warc").glob("*.gz") for r in warc.warc_records(gzip.open(f, "rb"))]
+    assert [b for h, b in raw if h["warc-type"] == "warcinfo"] == [about]
+    # A response keeps its header bytes as they were.
+    assert bodies[1][2] in [b for _, b in raw] and bodies[3][2] in [b for _, b in raw]
+
+
+def test_revisits_name_their_response(spark, scratch):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", "same text " * 20) for i in range(3)], "page_id long, url string, html string")
+    warc.write_arc(pages, f"{scratch}/arc", "2")
+    warc.convert(spark, f"{scratch}/arc", f"{scratch}/warc")
+    raw = [h for f in pathlib.Path(f"{scratch}/warc").glob("*.gz") for h, _ in warc.warc_records(gzip.open(f, "rb"))]
+    response = [h["warc-record-id"] for h in raw if h["warc-type"] == "response"]
+    assert [h["warc-refers-to"] for h in raw if h["warc-type"] == "revisit"] == response * 2
+    assert len(response) == 1 and {h.get("warc-refers-to-target-uri") for h in raw} == {None, "http://a/0"}
+
+
 # --- urls ------------------------------------------------------------------
 
 
