@@ -2,42 +2,47 @@
 
 Pages that come from one template share its tokens.  A token is a tag, or a
 run of text, at its place in the page's tree; its occurrence vector says how
-often it occurs on each page.  Tokens with equal vectors form an equivalence
-class; a class that is frequent and whose tokens keep one order on all pages
-is valid, and valid classes nest into a template.  What the template does not
-hold are slots, and a page's text is what its slots contain.
-
-Slots are named by the classes around them, so that a slot of the menu is told
-from one of the article by the template's tags, not by the page's words.  A
-page's text is that of the slots which no menu, header, footer, notice,
-advert, form or comment encloses, without the blocks that belong to the
-template as a whole; if most of it is in what the page marks as its article,
-only that.
-
-Pages are ranged by host and dealt in blocks, each block with a template of
-its own: a host with a third of all pages is many blocks, and no task holds
-more than one of them at a time.
+often it occurs on each page of the host.  Tokens with equal vectors form an
+equivalence class; a class that stands on nearly all different pages and whose
+tokens keep one order is valid, and the valid classes are the host's template.
+HTML's own tree nests the classes: a token's place is its path of tags, and
+block tags bound the slots between the template's tokens.
+
+A page's text is that of the slots which no menu, header, footer, notice,
+advert, form or comment encloses, without the blocks whose runs all belong to
+the template; if most of it is in what the page marks as its article, only
+that.  Menus and the like are told by tag names and class words.
+
+Vectors, classes and orders are aggregates over all pages of a host, so a
+page's text never depends on how the table is split.  Pages are parsed twice:
+once for their tokens, once with the template of their host.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as references
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import read
+from stratum.llm.common import read, written
 
-#: Pages and characters of a block at most (a longer page is a block alone).
-BLOCK_PAGES, BLOCK_CHARS = 128, 4_000_000
-#: Different pages that must share a run of text before it counts as the template's.
-RUN_SUPPORT = 4
-#: Share of a block's pages that a class must occur on.
-SUPPORT = 0.5
+#: Different pages of a host that must share a token before it counts as the template's.
+LEAST_PAGES = 4
+#: Share of a host's different pages that a class must occur on, and of those in one order.
+SUPPORT = 0.9
+#: Characters of a host's part, about: a larger host is cut when its template is joined to its pages.
+PART_CHARS = 8_000_000
+#: Parts that all larger hosts have together, at most; beyond, parts grow.
+PARTS = 1 << 16
+#: Pages after which a task forgets the places it met.
+PLACES_PAGES = 512
 
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))""",
@@ -90,11 +95,17 @@ class Page:
     breaks: list[bool]
 
 
+def _hash(*parts) -> int:
+    digest = hashlib.blake2b("\x00".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+    return int.from_bytes(digest, "little", signed=True)
+
+
 class Places:
-    """Places in the trees of a block's pages, numbered; each knows its parent, tag and kind."""
+    """Places in the trees of pages, numbered; each has a name (the hash of its path) and a kind."""
 
     def __init__(self):
         self.number: dict[tuple, int] = {}
+        self.name: list[int] = []
         self.kind: list[tuple[bool, bool]] = []
 
     def child(self, parent: int, tag: str, attrs: str) -> int:
@@ -103,9 +114,14 @@ class Places:
         if n is None:
             n = self.number[key] = len(self.kind)
             dropped, article = self.kind[parent] if parent >= 0 else (False, False)
+            self.name.append(_hash(self.name[parent] if parent >= 0 else 0, tag, attrs))
             self.kind.append((dropped or is_dropped(tag, attrs, article), article or is_article(tag, attrs)))
         return n
 
+    def run(self, place: int, plain: str) -> int:
+        """Name of a run of text, white space apart, at its place."""
+        return _hash("run", self.name[place] if place >= 0 else 0, plain)
+
 
 def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(text)}
@@ -196,48 +212,43 @@ def parse(source: str, places: Places) -> Page:
     return Page(tokens, breaks)
 
 
-def template(pages: list[Page]) -> set:
-    """The tokens of all valid equivalence classes of a block of pages.
+def tokens_of(page: Page, places: Places) -> dict[int, int]:
+    """How often each token occurs, in the order of first occurrences."""
+    counts: dict[int, int] = {}
+    for place, text in page.tokens:
+        if text is None:
+            token = places.name[place]
+        elif plain := " ".join(text.split()):
+            token = places.run(place, plain)
+        else:
+            continue
+        counts[token] = counts.get(token, 0) + 1
+    return counts
+
+
+def template(pages: list[dict[int, int]]) -> set[int]:
+    """The tokens of all valid classes of a few pages, by ``tokens_of``; ``host_templates`` does it for tables.
 
-    A page that occurs several times counts once.  A run of text must be
-    shared by ``RUN_SUPPORT`` different pages at least, and by all of them.
+    A page that occurs several times counts once.
     """
-    different = list({tuple(t for t in p.tokens if t[1] is not None): p for p in pages}.values())
-    vectors: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-    first: dict[tuple, list[int]] = defaultdict(list)
+    different = list({tuple(p.items()): p for p in pages}.values())
+    vectors: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for n, page in enumerate(different):
-        counts: dict[tuple, int] = defaultdict(int)
-        where: dict[tuple, int] = {}
-        for i, (place, text) in enumerate(page.tokens):
-            token = (place, None if text is None else " ".join(text.split()))
-            if token[1] == "":
-                continue
-            counts[token] += 1
-            where.setdefault(token, i)
-        for token, c in counts.items():
+        for token, c in page.items():
             vectors[token].append((n, c))
-            first[token].append(where[token])
-    classes: dict[tuple, list[tuple]] = defaultdict(list)
+    classes: dict[tuple, set[int]] = defaultdict(set)
     for token, vector in vectors.items():
-        if token[1] is None or len(vector) >= max(RUN_SUPPORT, len(different)):
-            classes[tuple(vector)].append(token)
-    found = set()
-    for vector, tokens in classes.items():
-        if len(vector) < SUPPORT * len(different):
-            continue
-        tokens.sort(key=lambda t: first[t][0])
-        ordered = True
-        for k in range(1, len(vector)):
-            at = [first[t][k] for t in tokens]
-            if any(a > b for a, b in zip(at, at[1:])):
-                ordered = False
-                break
-        if ordered:
-            found.update(tokens)
-    return found
-
-
-def extract(page: Page, places: Places, known: set) -> str:
+        if len(vector) >= max(LEAST_PAGES, SUPPORT * len(different)):
+            classes[tuple(vector)].add(token)
+    known: set[int] = set()
+    for vector, members in classes.items():
+        orders = Counter(tuple(t for t in different[n] if t in members) for n, _ in vector)
+        if max(orders.values()) >= SUPPORT * len(vector):
+            known |= members
+    return known
+
+
+def extract(page: Page, places: Places, known: set[int]) -> str:
     """The text of a page's article slots: blocks joined by a line feed.
 
     A block belongs to the template if all of its runs do, inside an article
@@ -259,61 +270,148 @@ def extract(page: Page, places: Places, known: set) -> str:
             blocks.append((article, []))
             fresh, inside = False, article
         plain = " ".join(text.split())
-        blocks[-1][1].append((text, not plain or (place, plain) in known))
+        blocks[-1][1].append((text, not plain or bool(known) and places.run(place, plain) in known))
     slots = [(a, " ".join("".join(text for text, _ in b).split())) for a, b in blocks if not all(constant for _, constant in b)]
     marked, other = (sum(len(s) for a, s in slots if a == mark) for mark in (True, False))
     return "\n".join(s for a, s in slots if a or marked < other)
 
 
 def extract_block(sources: list[str]) -> list[str]:
-    """Main texts of pages of one host, by the template that they share."""
+    """Main texts of a few pages of one host, by the template that they share."""
     places = Places()
     pages = [parse(s, places) for s in sources]
-    known = template(pages)
+    known = template([tokens_of(p, places) for p in pages])
     return [extract(p, places, known) for p in pages]
 
 
+def _in_places(batches, *, rows: int) -> Iterator[tuple[Places, list[tuple]]]:
+    """Rows in lists of at most ``rows``, each with places of its own."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held.append(row)
+            if len(held) == rows:
+                yield Places(), held
+                held = []
+    if held:
+        yield Places(), held
+
+
+def page_tokens(pages: DataFrame) -> DataFrame:
+    """``host, page, tokens, counts, chars`` of each different page of a host.
+
+    ``page`` is a hash of the tokens; pages of one hash are one row, which a
+    task combines before the shuffle, and ``chars`` is the sum over them.
+    """
+
+    def tokens(batches):
+        for places, rows in _in_places(batches, rows=PLACES_PAGES):
+            found = [list(tokens_of(parse(html, places), places).items()) for _, html in rows]
+            columns = [
+                pa.array([h for h, _ in rows], pa.string()),
+                pa.array([_hash(f) for f in found], pa.int64()),
+                pa.array([[t for t, _ in f] for f in found], pa.list_(pa.int64())),
+                pa.array([[c for _, c in f] for f in found], pa.list_(pa.int32())),
+                pa.array([len(html) for _, html in rows], pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "tokens", "counts", "chars"])
+
+    schema = "host string, page bigint, tokens array<bigint>, counts array<int>, chars bigint"
+    every = pages.select("host", "html").mapInArrow(tokens, schema)
+    return every.groupBy("host", "page").agg(
+        F.first("tokens").alias("tokens"), F.first("counts").alias("counts"), F.sum("chars").alias("chars")
+    )
+
+
+def in_parts(rows: DataFrame, sizes: DataFrame, *mix: str) -> DataFrame:
+    """Add ``part``: larger hosts are cut by a hash of ``mix``.  ``sizes`` (at most ``PARTS`` rows) may be broadcast."""
+    cut = rows.join(F.broadcast(sizes), "host", "left")
+    return cut.withColumn("part", F.pmod(F.xxhash64(*mix), F.coalesce("parts", F.lit(1)))).drop("parts")
+
+
+def for_parts(per_host: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Repeat a row a host for each of the host's parts."""
+    cut = per_host.join(F.broadcast(sizes), "host", "left")
+    parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce("parts", F.lit(1)) - 1)
+    return cut.withColumn("part", F.explode(parts)).drop("parts")
+
+
+def large_hosts(different: DataFrame) -> DataFrame:
+    """``host, parts`` of hosts with more than one part: at most ``PARTS`` of them."""
+    total = different.agg(F.sum("chars")).first()[0] or 0
+    part = max(PART_CHARS, total // PARTS + 1)
+    chars = different.groupBy("host").agg(F.sum("chars").alias("chars")).filter(F.col("chars") > part)
+    return chars.select("host", (F.floor(F.col("chars") / part) + 1).alias("parts"))
+
+
+def host_templates(different: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``host, known``: the tokens of the valid classes of each host that has any.
+
+    A token's vector is kept as the number of pages and a hash of all (page,
+    count).  Tokens on so many pages are about as many as a page has.
+    """
+    pages = different.groupBy("host").agg(F.count("*").alias("pages"))
+    each = different.select("host", "page", F.explode(F.arrays_zip("tokens", "counts")).alias("t"))
+    vectors = each.groupBy("host", F.col("t.tokens").alias("token")).agg(
+        F.count("*").alias("n"), F.expr("bit_xor(xxhash64(page, t.counts))").alias("vector")
+    )
+    frequent = vectors.filter(F.col("n") >= LEAST_PAGES).join(pages, "host").filter(F.col("n") >= SUPPORT * F.col("pages"))
+    classes = written(
+        frequent.groupBy("host").agg(F.collect_list("token").alias("token"), F.collect_list("vector").alias("vector")), "classes"
+    )
+
+    def orders(batches):
+        for batch in batches:
+            hosts, vectors, found = [], [], []
+            for host, tokens, of, vector in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                class_of = dict(zip(of, vector, strict=True))
+                in_order: dict[int, list[int]] = defaultdict(list)
+                for token in tokens:
+                    if token in class_of:
+                        in_order[class_of[token]].append(token)
+                for v, members in in_order.items():
+                    hosts.append(host)
+                    vectors.append(v)
+                    found.append(_hash(members))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.string()), pa.array(vectors, pa.int64()), pa.array(found, pa.int64())],
+                names=["host", "vector", "seen"],
+            )
+
+    rows = in_parts(different.select("host", "page", "tokens"), sizes, "page")
+    met = rows.join(for_parts(classes, sizes), ["host", "part"]).select("host", "tokens", "token", "vector")
+    seen = met.mapInArrow(orders, "host string, vector bigint, seen bigint").groupBy("host", "vector", "seen").agg(F.count("*").alias("n"))
+    valid = seen.groupBy("host", "vector").agg(F.max("n").alias("most"), F.sum("n").alias("n")).filter(F.col("most") >= SUPPORT * F.col("n"))
+    members = classes.select("host", F.explode(F.arrays_zip("token", "vector")).alias("t")).select("host", "t.token", "t.vector")
+    return members.join(valid.select("host", "vector"), ["host", "vector"]).groupBy("host").agg(F.collect_list("token").alias("known"))
+
+
 def main_text(pages: DataFrame) -> DataFrame:
     """``page_id, url, text`` of every row of ``pages``.
 
-    A null or empty html has an empty text; rows without a url share a host of
-    their own; repeated rows get the same text each and count once for the
-    template; further columns are ignored.
+    A null or empty html has an empty text, and long pages are taken whole;
+    rows without a url share a host of their own; repeated rows get the same
+    text each and count once for the template; an empty table has no rows;
+    further columns are ignored.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"://([^/?#]*)", 1))
-    ranged = (
-        pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), host.alias("host"))
-        .withColumn("mix", F.xxhash64("page_id"))
-        .repartitionByRange("host", "mix")
-        .sortWithinPartitions("host", "mix", "page_id")
-        .select("page_id", "url", "html", "host")
-    )
+    rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
+    rows = rows.withColumn("host", host)
+    different = written(page_tokens(rows), "tokens")
+    sizes = written(large_hosts(different), "hosts")
+    known = written(host_templates(different, sizes), "templates")
 
     def texts(batches):
-        held, host, size = [], None, 0
-
-        def done():
-            found = extract_block([h for _, _, h in held])
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p for p, _, _ in held], pa.int64()), pa.array([u for _, u, _ in held], pa.string())]
+        for places, held in _in_places(batches, rows=PLACES_PAGES):
+            found = [extract(parse(html, places), places, set(known or ())) for _, _, html, known in held]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p for p, *_ in held], pa.int64()), pa.array([u for _, u, *_ in held], pa.string())]
                 + [pa.array(found, pa.string())],
                 names=["page_id", "url", "text"],
             )
 
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and (row[3] != host or len(held) >= BLOCK_PAGES or size + len(row[2]) > BLOCK_CHARS):
-                    yield done()
-                    held, size = [], 0
-                host = row[3]
-                held.append(row[:3])
-                size += len(row[2])
-        if held:
-            yield done()
-
-    return ranged.withColumn("page_id", F.col("page_id").cast("bigint")).mapInArrow(
-        texts, "page_id bigint, url string, text string"
-    )
+    met = in_parts(rows, sizes, "page_id", "html").join(for_parts(known, sizes), ["host", "part"], "left")
+    return met.select("page_id", "url", "html", "known").mapInArrow(texts, "page_id bigint, url string, text string")
 
 
 def extraction_query(spark: SparkSession, sf_dir: str) -> DataFrame:

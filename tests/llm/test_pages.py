@@ -89,6 +89,50 @@ def test_extraction_edges(edge_pages):
     assert extraction.main_text(edge_pages.limit(0)).count() == 0
 
 
+@pytest.fixture(scope="module")
+def host_pages(spark):
+    """300 pages of a host, some of them copies or with another layout, and smaller hosts."""
+    rows = [(i, f"http://{'aA'[i % 2]}/{i}", PAGE.format(i)) for i in range(300)]
+    rows += [(300 + i, f"http://a/c{i}", PAGE.format(7)) for i in range(150)]
+    rows += [(500 + i, f"http://a/odd{i}", f"<p>Not found {i}") for i in range(3)]
+    rows += [(600 + i, f"http://b/{i}", f"<div><p>Text {i}</p><p>One</p><p>Two</p></div>") for i in range(40)]
+    rows += [(650 + i, f"http://u/{i}", f"<div><p>Text {i}</p>" + "".join(f"<p>{w}</p>" for w in ("x y", "y x")[:: 1 - i % 2 * 2]) + "</div>") for i in range(40)]
+    rows += [(700 + i, f"http://small/{i}", PAGE.format(i)) for i in range(3)]
+    rows += [(800 + i, f"http://m/{i}", f"<body><main><p>Main {i}</p><p>Rate us</p></main></body>") for i in range(20)]
+    return spark.createDataFrame(rows, "page_id long, url string, html string")
+
+
+def by_host(pages):
+    """Brute force: a template from all pages of a host at once."""
+    of = {}
+    for r in sorted(pages.collect(), key=lambda r: r.page_id):
+        of.setdefault(re.search("://([^/?#]*)", r.url)[1].lower(), []).append((r.page_id, r.html))
+    return {i: t for rows in of.values() for i, t in zip([i for i, _ in rows], extraction.extract_block([h for _, h in rows]), strict=True)}
+
+
+def test_template_of_whole_hosts(spark, host_pages, monkeypatch):
+    want = by_host(host_pages)
+    assert {want[i] for i in range(300)} == {f"Head é{i}\nPara one bold {i}" for i in range(300)}
+    assert want[500] == "Not found 0" and want[600] == "Text 0" and want[700].endswith("Read more") and want[800] == "Main 0"
+    # Tokens that change places form no valid class.
+    assert want[650] == "Text 0\nx y\ny x"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n, chars in ((1, 8_000_000), (4, 5_000), (200, 20_000)):
+            monkeypatch.setattr(extraction, "PART_CHARS", chars)
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            assert {r.page_id: r.text for r in extraction.main_text(host_pages.repartition(n % 7 + 1)).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_an_empty_template_would_change_texts(host_pages, monkeypatch):
+    want = by_host(host_pages)
+    monkeypatch.setattr(extraction, "template", lambda pages: set())
+    bare = by_host(host_pages)
+    assert sum(bare[i] != want[i] for i in want) > 400
+
+
 # --- archives --------------------------------------------------------------
 
 
