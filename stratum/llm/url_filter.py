@@ -6,9 +6,11 @@ judged by multinomial naive Bayes over the words of host and path, learnt from
 the urls that rules decide.  Host names are words written together: a unigram
 Viterbi splits them, with word counts from all pages.
 
-Only substrings of distinct host labels are joined with the word counts, so
-neither the vocabulary nor the hosts pass through the driver.  The classifier
-hashes words into ``BUCKETS`` buckets: its table has a fixed size.
+Only substrings of distinct host labels are joined with the word counts, and
+the classifier is a table of words that is joined with the words of distinct
+urls, so neither the vocabulary nor the hosts pass through the driver.  Words
+that hold a ``HEAVY``th of all occurrences, at most ``HEAVY`` of them, are
+broadcast; what is left for the shuffle has no hot word.
 """
 
 from __future__ import annotations
@@ -16,15 +18,17 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import read, written
+from stratum.operators.joins import join_unique_side
 
+#: Words that smoothing supposes, each with one occurrence in each class.
 BUCKETS = 1 << 16
-LONGEST_WORD = 20
+#: A word with more than this part of all occurrences is heavy.
+HEAVY = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -77,9 +81,22 @@ def word_counts(pages: DataFrame) -> DataFrame:
     """``word, n``: how often a word of letters occurs in the texts of all pages."""
     bare = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), r"<[^>]*>|&[#\p{L}\p{N}]*;", " ")
     words = F.explode(F.split(F.lower(bare), r"[^\p{L}]+")).alias("word")
-    return (
-        pages.select(words).filter((F.col("word") != "") & (F.length("word") <= LONGEST_WORD)).groupBy("word").agg(F.count("*").alias("n"))
-    )
+    return pages.select(words).filter("word != ''").groupBy("word").agg(F.count("*").alias("n"))
+
+
+def by_word(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """Inner join of ``rows`` with a table that has one row a word, by ``word``.
+
+    Words of more than a ``HEAVY``th of the rows are at most ``HEAVY`` and may be
+    broadcast; the others are shuffled, none of them hot.
+    """
+    counted = rows.groupBy("word").agg(F.count("*").alias("rows")).join(table, "word")
+    counted = written(counted, "words")
+    least = (counted.agg(F.sum("rows")).first()[0] or 0) / HEAVY
+    heavy = F.broadcast(counted.filter(F.col("rows") > least).drop("rows"))
+    light = counted.filter(F.col("rows") <= least).drop("rows")
+    rest = rows.join(heavy.select("word"), "word", "left_anti")
+    return rows.join(heavy, "word").unionByName(rest.join(light, "word"))
 
 
 def viterbi(label: str, counts: dict[tuple[int, int], int], total: int) -> list[str]:
@@ -88,17 +105,23 @@ def viterbi(label: str, counts: dict[tuple[int, int], int], total: int) -> list[
     An unknown string has a probability that falls by ten a letter.  Of equal
     splits the one with the longest last word is taken.
     """
+    n, letter = math.log(max(total, 1) + 1.0), math.log(10.0)
+    ending: dict[int, list[tuple[int, int]]] = {}
+    for (start, end), c in sorted(counts.items()):
+        ending.setdefault(end, []).append((start, c))
     best, back = [0.0], [0]
-    n = math.log(max(total, 1) + 1.0)
+    # Where an unknown word would best begin, for any end.
+    unknown, since = 0.0, 0
     for end in range(1, len(label) + 1):
-        top = None
-        for start in range(max(0, end - LONGEST_WORD), end):
-            c = counts.get((start, end), 0)
-            p = best[start] + (math.log(c) - n if c else -n - (end - start) * math.log(10.0))
-            if top is None or p > top[0]:
+        top = (unknown - end * letter - n, since)
+        for start, c in ending.get(end, ()):
+            p = best[start] + math.log(c) - n
+            if p > top[0] or p == top[0] and start < top[1]:
                 top = (p, start)
         best.append(top[0])
         back.append(top[1])
+        if top[0] + end * letter > unknown:
+            unknown, since = top[0] + end * letter, end
     words, end = [], len(label)
     while end:
         words.append(label[back[end] : end])
@@ -110,12 +133,18 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
     """``host, words``: the words of all labels of each distinct host."""
     parts = hosts.select("host", F.posexplode(F.split("host", r"[^\p{L}\p{N}]+")).alias("nth", "label")).filter("label != ''")
     labels = written(parts.select("label").distinct(), "labels")
-    spans = labels.select("label", F.explode(F.sequence(F.lit(0), F.length("label") - 1)).alias("start")).select(
-        "label", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(LONGEST_WORD), F.length("label") - F.col("start")))).alias("size")
-    )
+    # Sizes of words that some label may hold: no more than the longest label has letters.
+    longest = labels.agg(F.max(F.length("label"))).first()[0] or 0
+    fitting = counts.withColumn("size", F.length("word")).filter(F.col("size") <= longest)
+    sizes = sorted(r["size"] for r in fitting.select("size").distinct().collect())
+    starts = labels.select("label", F.explode(F.sequence(F.lit(0), F.length("label") - 1)).alias("start"))
+    fit = F.filter(F.array(*[F.lit(n) for n in sizes]).cast("array<int>"), lambda n: n <= F.length("label") - F.col("start"))
+    spans = starts.select("label", "start", F.explode(fit).alias("size"))
     spans = spans.withColumn("word", F.substr("label", F.col("start") + 1, F.col("size")))
-    known = spans.join(counts, "word").select("label", "start", (F.col("start") + F.col("size")).alias("end"), "n")
-    # At most LONGEST_WORD entries for each letter of a label.
+    # One-letter words are in nearly every label: letters meet their counts once each.
+    once = spans.select("word").distinct().join(fitting.select("word", "n"), "word")
+    known = by_word(spans, once).select("label", "start", (F.col("start") + F.col("size")).alias("end"), "n")
+    # At most one entry a size for each letter of a label.
     tables = known.groupBy("label").agg(F.collect_list(F.struct("start", "end", "n")).alias("known"))
     total = counts.agg(F.sum("n")).first()[0] or 0
 
@@ -133,13 +162,30 @@ def segmented(hosts: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def _tokens() -> Column:
-    """Buckets of the words of host and path; numbers count as their length."""
+    """The words of host and path, told apart; numbers count as their length."""
     path = F.filter(F.split(F.lower("path"), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    named = F.concat(
+    return F.concat(
         F.transform(F.coalesce("words", F.array().cast("array<string>")), lambda w: F.concat(F.lit("h "), w)),
         F.transform(path, lambda w: F.concat(F.lit("p "), F.when(w.rlike(r"^\p{N}+$"), F.concat(F.lit("#"), F.length(w).cast("string"))).otherwise(w))),
     )
-    return F.transform(named, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
+
+
+def log_odds(decided: DataFrame) -> tuple[DataFrame, float, float]:
+    """``word, value``, the value of any other word, and the prior, by the ``tokens`` of ``decided`` urls with so many ``rows`` each.
+
+    Values are log-odds of block.  With one class alone there is nothing to
+    learn, and all are 0.
+    """
+    is_block = F.col("decided") == "block"
+    of_class = (F.sum(F.when(is_block, F.col("rows")).otherwise(0)).alias("block"), F.sum(F.when(is_block, 0).otherwise(F.col("rows"))).alias("allow"))
+    priors = decided.agg(*of_class).first()
+    seen = written(decided.select("decided", "rows", F.explode("tokens").alias("word")).groupBy("word").agg(*of_class), "odds")
+    if not (priors["block"] and priors["allow"]):
+        return seen.select("word", F.lit(0.0).alias("value")), 0.0, 0.0
+    sums = seen.agg(F.sum("block").alias("block"), F.sum("allow").alias("allow")).first()
+    other = math.log(((sums["allow"] or 0) + BUCKETS) / ((sums["block"] or 0) + BUCKETS))
+    value = F.log(F.col("block") + 1.0) - F.log(F.col("allow") + 1.0) + other
+    return seen.select("word", value.alias("value")), other, math.log(priors["block"] / priors["allow"])
 
 
 def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -148,45 +194,31 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     ``score`` is the log-odds of block by naive Bayes; above 0 blocks.  A null
     url, or one without ``://``, has an empty host and path and no rule, and is
     judged by the class priors alone; with nothing to learn from, all scores
-    are 0 and nothing is blocked.  Repeated rows are judged alike; further
-    columns are ignored.
+    are 0 and nothing is blocked.  Null and empty html has no words, and long
+    ones are counted whole.  Repeated rows are judged alike; an empty table has
+    no rows; further columns are ignored.
     """
-    rows = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
-    rows = rows.select("page_id", "url", "host", "path", "hit.rule", F.col("hit.verdict").alias("decided"))
-    hosts = rows.select("host").filter("host != ''").distinct()
-    words = written(segmented(hosts, written(word_counts(pages), "words")), "hosts")
-    rows = written(rows.join(words, "host", "left").withColumn("tokens", _tokens()), "urls")
-
-    decided = rows.filter("decided IS NOT NULL")
-    priors = {r["decided"]: r["n"] for r in decided.groupBy("decided").agg(F.count("*").alias("n")).collect()}
-    seen = decided.select("decided", F.explode("tokens").alias("token")).groupBy("decided", "token").agg(F.count("*").alias("n"))
-    # BUCKETS rows a class at most.
-    table = {"allow": np.zeros(BUCKETS), "block": np.zeros(BUCKETS)}
-    for r in seen.collect():
-        table[r["decided"]][r["token"]] = r["n"]
-    odds = {k: np.log((v + 1) / (v.sum() + BUCKETS)) for k, v in table.items()}
-    value, prior = odds["block"] - odds["allow"], 0.0
-    if priors.get("allow") and priors.get("block"):
-        prior = math.log(priors["block"] / priors["allow"])
-    else:
-        value = np.zeros(BUCKETS)
-    shipped = pages.sparkSession.sparkContext.broadcast(value)
-
-    def scores(batches):
-        value = shipped.value
-        for batch in batches:
-            found = [prior + float(value[t].sum()) if t else prior for t in batch.column("tokens").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, "score"])
-
-    schema = (
-        "page_id bigint, url string, host string, path string, words array<string>, rule string, decided string, "
-        "tokens array<int>, score double"
+    rows = pages.select(
+        F.col("page_id").cast("bigint").alias("page_id"), "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
     )
-    cols = ["page_id", "url", "host", "path", "words", "rule", "decided", "tokens"]
-    scored = rows.withColumn("page_id", F.col("page_id").cast("bigint")).select(cols).mapInArrow(scores, schema)
+    hosts = rows.select("host").filter("host != ''").distinct()
+    words = written(segmented(hosts, written(word_counts(pages), "counts")), "hosts")
+    # Each different url once, with the number of its rows.
+    urls = rows.groupBy("host", "path").agg(F.count("*").alias("rows"))
+    urls = join_unique_side(urls, words.withColumnRenamed("host", "_host"), "host", "_host").drop("_host")
+    urls = urls.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules)).withColumn("tokens", _tokens())
+    urls = written(urls.select("host", "path", "words", "rows", "hit.rule", F.col("hit.verdict").alias("decided"), "tokens"), "urls")
+
+    table, other, prior = log_odds(urls.filter("decided IS NOT NULL"))
+    each = urls.select("host", "path", F.explode("tokens").alias("word"))
+    values = by_word(each, table).groupBy("host", "path").agg(F.sum("value").alias("value"), F.count("*").alias("n"))
+    unseen = (F.size("tokens") - F.coalesce("n", F.lit(0))) * other
+    scored = urls.join(values, ["host", "path"], "left").withColumn("score", prior + F.coalesce("value", F.lit(0.0)) + unseen)
     by_score = F.when(F.col("score") > 0, F.lit("block")).otherwise(F.lit("allow"))
-    return scored.select("page_id", "url", "host", "path", "words", "rule", "score", F.coalesce("decided", by_score).alias("verdict"))
+    # For every row of a url again; one may hold a third of all rows.
+    told = scored.select(F.struct("host", "path").alias("_url"), "words", "rule", "score", F.coalesce("decided", by_score).alias("verdict"))
+    met = join_unique_side(rows.withColumn("_of", F.struct("host", "path")), told, "_of", "_url")
+    return met.select("page_id", "url", "host", "path", "words", "rule", "score", "verdict")
 
 
 def url_filter_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,8 +4,10 @@ import gzip
 import hashlib
 import html
 import io
+import math
 import os
 import pathlib
+import random
 import re
 
 import pytest
@@ -227,7 +229,6 @@ def test_rules(spark, edge_pages):
 
 
 def test_verdicts_equal_brute_force(spark):
-    import math
     from collections import Counter
 
     pages = spark.read.parquet(f"{SF_SMALL}/pages.parquet")
@@ -268,5 +269,47 @@ def test_viterbi():
     assert url_filter.viterbi("", {}, 0) == [] and "".join(url_filter.viterbi("xq", {}, 0)) == "xq"
 
 
+def brute_viterbi(label, counts, total):
+    n = math.log(total + 1.0)
+    best = [(0.0, [])]
+    for end in range(1, len(label) + 1):
+        found = []
+        for start in range(end):
+            c = counts.get(label[start:end], 0)
+            p = best[start][0] + (math.log(c) - n if c else -n - (end - start) * math.log(10.0))
+            found.append((p, best[start][1] + [label[start:end]]))
+        best.append(max(found, key=lambda x: x[0]))
+    return best[-1]
+
+
+def test_viterbi_equals_brute_force():
+    rnd = random.Random(3)
+    counts = {"".join(rnd.choice("abc") for _ in range(rnd.choice([1, 2, 3, 5, 30]))): rnd.randrange(1, 50) for _ in range(60)}
+    total = sum(counts.values())
+    for _ in range(200):
+        label = "".join(rnd.choice([rnd.choice("abcx"), rnd.choice(list(counts))]) for _ in range(rnd.randrange(1, 9)))
+        spans = {(a, b): counts[label[a:b]] for a in range(len(label)) for b in range(a + 1, len(label) + 1) if label[a:b] in counts}
+        got = url_filter.viterbi(label, spans, total)
+        n = math.log(total + 1.0)
+        price = sum(math.log(counts[w]) - n if w in counts else -n - len(w) * math.log(10.0) for w in got)
+        assert "".join(got) == label and price == pytest.approx(brute_viterbi(label, counts, total)[0])
+
+
+@pytest.mark.parametrize("heavy", [1, 4, 1 << 16])
+def test_long_words_and_hot_urls(spark, monkeypatch, heavy):
+    monkeypatch.setattr(url_filter, "HEAVY", heavy)
+    long = "donaudampfschifffahrtsgesellschaft"
+    rows = [(1, f"http://{long}haus.com/x", f"<p>{long} {long} {long} haus haus das das")]
+    rows += [(10 + i, "http://a.net/de/spam", "") for i in range(30)] + [(50, "http://b.org/fr/good", None), (51, "http://c.com/spam", "")]
+    rows += [(60 + i, None, "") for i in range(20)]
+    got = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and got[1].words == [long, "haus", "com"]
+    assert {got[i].rule for i in range(10, 40)} == {"net/"} and got[50].rule == "org/fr/"
+    v = url_filter.BUCKETS
+    # 30 urls of four words (a, net, de, spam) block and one of four (b, org, fr, good) allows.
+    other = math.log((4 + v) / (120 + v))
+    assert got[60].score == pytest.approx(math.log(30)) and got[51].score == pytest.approx(math.log(30) + math.log(31) + 3 * other)
+
+
 def test_rule_names():
     assert Rule.of("block", "net/") == Rule("block", "net", "/") and Rule.of("allow", "a.b/c/").name == "a.b/c/"
