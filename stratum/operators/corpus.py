@@ -33,6 +33,10 @@ def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Seque
     return lowered.select(*id_cols, F.explode(hits).alias("term"))
 
 
+#: Grams of terms that are broadcast at most (some 10 MB); more of them are joined by a shuffle.
+BROADCAST_GRAMS = 200_000
+
+
 def _grams(text: Column, size: int) -> Column:
     """Distinct runs of ``size`` characters."""
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
@@ -46,8 +50,9 @@ def indexed_term_hits(
     Each term is looked up by that one of its grams (runs of ``size``
     characters, or the whole of a shorter term) which the fewest records
     hold; records that hold it are joined with the term and checked by
-    ``contains``.  A text is cut into grams once, however many terms there
-    are, and joins are plain equi-joins.  Terms are compared in lower case and
+    ``contains``.  The cost of cutting texts into grams does not grow with the
+    terms, and joins are plain equi-joins; up to ``BROADCAST_GRAMS`` grams of
+    terms are sent to the texts, so that no other gram is shuffled.  Terms are compared in lower case and
     once each; NULL and empty terms are ignored, as are NULL texts.
     """
     wanted = terms.select(F.lower(F.col(term_col)).alias("term")).filter("term != ''").distinct()
@@ -61,12 +66,16 @@ def indexed_term_hits(
     records = lowered.withColumn("_record", F.xxhash64(*id_cols, "_text"))
     cut = F.flatten(F.array(*[_grams(F.col("_text"), n) for n in sizes])) if sizes else F.array().cast("array<string>")
     text_grams = records.filter("_text IS NOT NULL").select("_record", F.explode(cut).alias("gram"))
-    held = text_grams.join(term_grams.select("gram").distinct(), "gram").groupBy("gram").agg(F.count("*").alias("n"))
+    grams = term_grams.select("gram").distinct()
+    sent = F.broadcast if grams.count() <= BROADCAST_GRAMS else lambda table: table
+    held = text_grams.join(sent(grams), "gram").groupBy("gram").agg(F.count("*").alias("n"))
     # A term with a gram that no record holds is in no text.
     rarity = F.struct(F.coalesce(F.col("n"), F.lit(0)).alias("n"), F.col("gram").alias("gram"))
     rare = term_grams.join(held, "gram", "left").groupBy("term").agg(F.min(rarity).alias("r"))
     rare = rare.filter("r.n > 0").select("term", F.col("r.gram").alias("gram"))
-    candidates = text_grams.join(rare, "gram").select("_record", "term").distinct()
+    # As many rows as terms; each term has a gram, but several may share one.
+    sent = F.broadcast if wanted.count() <= BROADCAST_GRAMS else lambda table: table
+    candidates = text_grams.join(sent(rare), "gram").select("_record", "term").distinct()
     return records.join(candidates, "_record").filter(F.col("_text").contains(F.col("term"))).select(*id_cols, "term")
 
 

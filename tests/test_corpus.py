@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from stratum.operators import corpus
 
 
@@ -12,7 +14,9 @@ def test_term_hits_whole_text(spark):
     assert got == [(1, "hiring"), (3, "cover letter"), (3, "채용")]
 
 
-def test_indexed_term_hits_equal_the_literal_scan(spark):
+@pytest.mark.parametrize("sent", [0, 200_000])
+def test_indexed_term_hits_equal_the_literal_scan(spark, monkeypatch, sent):
+    monkeypatch.setattr(corpus, "BROADCAST_GRAMS", sent)
     rnd = random.Random(7)
     letters = "abcdé漢😀. "
     texts = ["".join(rnd.choice(letters) for _ in range(rnd.choice([0, 1, 2, 30, 400]))) for _ in range(60)]
