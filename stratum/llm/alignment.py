@@ -174,10 +174,12 @@ class Words:
         for k in range(0, len(units), 2000):
             some = units[k : k + 2000]
             found_a = self.a.encode_batch_fast(some, add_special_tokens=False)
-            # B's own space stands for a leading space; before others a line feed keeps it off.
-            found_b = self.b.encode([u[1:] if u[0] == " " else "\n" + u for u in some], num_threads=1)
-            for unit, a, b in zip(some, found_a, found_b):
-                ids_a, ids_b = a.ids, b if unit[0] == " " else b[2:]
+            # B's own space stands for a leading space, unless nothing follows it: B gives none to an
+            # empty text.  Before others a line feed keeps it off.
+            own = [u[0] == " " != u for u in some]
+            found_b = self.b.encode([u[1:] if k else "\n" + u for k, u in zip(own, some)], num_threads=1)
+            for unit, k, a, b in zip(some, own, found_a, found_b):
+                ids_a, ids_b = a.ids, b if k else b[2:]
                 raw, parts_a, parts_b = unit.encode("utf-8", "replace"), list(map(of_a, ids_a)), list(map(of_b, ids_b))
                 ok = b"".join(parts_a) == raw == b"".join(parts_b)
                 yield ok, len(raw), (ids_a, ids_b), (accumulate(map(len, parts_a)), accumulate(map(len, parts_b)))

@@ -294,3 +294,15 @@ def test_align_edges(spark, edge_docs, words):
     docs = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, pairs int, chunk int")
     assert Counter(map(tuple, alignment.align(docs).collect())) == brute_align(words, rows)
     assert alignment.align(docs.limit(0)).collect() == []
+
+
+ENDS_IN_SPACE = ["a ", "a b ", "Foo. ", "a\t ", "½ ", "a\n ", "a, ", "x<s> ", "word " * 50]
+
+
+def test_texts_that_end_in_one_space_have_tokens(spark, words):
+    for text in ENDS_IN_SPACE:
+        n_a, n_b, *_ = words.aligned(words.encode([text])[0])
+        assert n_a > 1 and n_b > 1, text
+    rows = list(enumerate(ENDS_IN_SPACE))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(map(tuple, alignment.align(docs).collect())) == brute_align(words, rows)
