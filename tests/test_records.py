@@ -123,3 +123,22 @@ def test_preview_of_records(spark, scratch):
     with open(p, "w") as f:
         f.write('id,text,"odd, ""name"""\n1,"a\nb",\n2,c,d\n3,e,f\n')
     assert inventory.csv_preview(spark, p, 2) == [{"id": "1", "text": "a\nb"}, {"id": "2", "text": "c", 'odd, "name"': "d"}]
+
+
+def test_lines_are_not_sorted(spark, scratch):
+    """A split's lines are cut while they are read: nothing orders or shuffles them."""
+    folder = random_files(os.path.join(scratch, "plan"), 3, True)
+    for df in (csv_records(spark, folder), csv_record_count(spark, folder)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "monotonically_increasing_id" not in plan
+        assert not [x for x in plan.splitlines() if "Window" in x and "value#" in x]
+
+
+def test_bytes_that_are_no_utf8_stay(spark, scratch, split_size):
+    p = os.path.join(scratch, "raw.csv")
+    with open(p, "wb") as f:
+        f.write(b'a,b\n\xff1,x\n2,"\xfe\ny"\n')
+    for n in SPLITS:
+        split_size(n)
+        rows = csv_records(spark, p).selectExpr("record_no", "CAST(record AS BINARY) AS r").orderBy("record_no").collect()
+        assert [bytes(r.r) for r in rows] == [b"a,b", b"\xff1,x", b'2,"\xfe\ny"']
