@@ -8,6 +8,7 @@ fills in what is unset so that local runs and tests behave like the cluster.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,19 +26,28 @@ REQUIRED_CONF = {
 }
 
 # Settings for throughput at scale: adaptive re-planning coalesces small
-# shuffle partitions and splits skewed join partitions at run time.
+# shuffle partitions and splits skewed join partitions at run time.  Sizes are
+# of compressed bytes: sorted keys take some fifteen times as much of a task's
+# memory, and a parquet split holds many rows of the few columns that are read.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+    "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+# Bounds of a task's memory: a smaller value of the submitter stays, a larger one is lowered.
+TASK_BOUNDS = (
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    "spark.sql.files.maxPartitionBytes",
+)
+
 # Initial shuffle partition count on a cluster when none is configured: AQE
 # starts from this many and coalesces them to ~128 MB each, so one shuffle of
 # up to ~4 TB keeps tasks near the advisory size (larger ones spill, never
@@ -74,7 +84,7 @@ def apply_conf(spark: SparkSession) -> None:
     """Apply the settings to an existing session (e.g. the driver's).
 
     Settings that results depend on always hold; those for throughput leave
-    alone what the submitter has set.
+    alone what the submitter has set, except that ``TASK_BOUNDS`` are bounds.
     """
     for key, value in REQUIRED_CONF.items():
         spark.conf.set(key, value)
@@ -82,16 +92,22 @@ def apply_conf(spark: SparkSession) -> None:
     scale = dict(SCALE_CONF)
     if not spark.sparkContext.master.startswith("local"):
         # On a cluster, coalesce shuffle partitions to the advisory size
-        # (~128 MB per task) rather than to the core count; in local mode
+        # (~16 MB per task) rather than to the core count; in local mode
         # the data is small and the cores are the limit.
         scale["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "false"
         if spark.conf.get("spark.sql.shuffle.partitions") == "200":
             scale["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_INITIAL_SHUFFLE_PARTITIONS)
     for key, value in scale.items():
-        if not given.contains(key):
+        if not given.contains(key) or (key in TASK_BOUNDS and _size(given.get(key)) > _size(value)):
             spark.conf.set(key, value)
 
 
+def _size(value: str) -> int:
+    """Bytes of a size as Spark writes it: ``64m``, ``128MB``, ``1000``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", value.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 

@@ -1,9 +1,12 @@
 """Plan shape of the registered queries: what a large cluster would run."""
 
+from types import SimpleNamespace
+
 import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from stratum import session
 
 
 def plan_text(df) -> str:
@@ -112,3 +115,21 @@ def test_hot_link_target_is_split(spark, small_skew_thresholds):
     assert out.count() == 300000
 
 
+
+
+def test_task_sizes_are_bounds():
+    """A larger task size of the submitter is lowered, a smaller one and other settings stay."""
+
+    class Conf(dict):
+        set = dict.__setitem__
+        contains = dict.__contains__
+
+    advisory, split, factor = (
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor"
+    )
+    given = Conf({advisory: "128MB", split: "1000000b", factor: "9"})
+    now = Conf(given)
+    context = SimpleNamespace(getConf=lambda: given, master="local[2]")
+    session.apply_conf(SimpleNamespace(conf=now, sparkContext=context))
+    assert (now[advisory], now[split], now[factor]) == ("16m", "1000000b", "9")
+    assert [session._size(x) for x in ("7", "2k", "3MB", "1gb", "4 m")] == [7, 2048, 3 << 20, 1 << 30, 4 << 20]
