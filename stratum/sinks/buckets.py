@@ -23,10 +23,15 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+def _gathered(placed: DataFrame) -> DataFrame:
+    """Rows gathered by bucket; a large bucket, whose rows one task would have to sort, is cut into tasks of the advisory size."""
+    return placed.hint("rebalance", BUCKET)
+
+
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
     """Write a new bucketed table; each bucket is gathered, so it has few files."""
     placed = df.withColumn(BUCKET, bucket_of(keys, buckets))
-    placed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+    _gathered(placed).write.partitionBy(BUCKET).parquet(path)
 
 
 def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
@@ -60,6 +65,6 @@ def upsert_bucketed(
     columns = [c for c in target.columns if c != BUCKET]
     merged = keyed_upsert(target, placed.select(*[c for c in source.columns if c != stamp_col], BUCKET), keys, stamp_col, stamp)
     merged = merged.select(*columns, BUCKET).checkpoint(eager=True)
-    writer = merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = _gathered(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(BUCKET).parquet(path)
     return touched

@@ -1,5 +1,6 @@
 """Ranks, changes, contents, buckets and contracts across versions against brute force."""
 
+import glob
 import os
 import random
 
@@ -246,3 +247,22 @@ def test_export_targets_from_config(spark, scratch):
         f.write('[{"name": null, "role": "x"}]')
     with pytest.raises(ValueError, match="no name"):
         catalog_sink.load_targets(spark, path)
+
+
+def test_a_large_bucket_is_cut_into_tasks(spark, scratch):
+    """A bucket is not one task's sort: above the advisory size it is written by several."""
+    path = os.path.join(scratch, "large-bucket")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    table = spark.range(0, 400_000, 1, 8).selectExpr("id AS k", "hash(id) AS v")
+    spark.conf.set(key, "200k")
+    try:
+        buckets.write_bucketed(table, path, ["k"], 2)
+        for b in (0, 1):
+            assert len(glob.glob(os.path.join(path, f"bucket={b}", "*.parquet"))) > 1
+        source = spark.range(399_990, 400_010).selectExpr("id AS k", "-1 AS v")
+        assert buckets.upsert_bucketed(spark, path, source, ["k"], 2) == [0, 1]
+    finally:
+        spark.conf.set(key, before)
+    found = buckets.read_bucketed(spark, path)
+    assert found.count() == 400_010 and found.filter("v = -1 AND k >= 399990").count() == 20
