@@ -7,11 +7,14 @@ table (and no pairing of rows) is needed.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.functions import text as X
 from stratum.functions.rules import Rule, first_match
@@ -33,7 +36,7 @@ def term_hits(df: DataFrame, id_cols: Sequence[str], text_col: str, terms: Seque
     return lowered.select(*id_cols, F.explode(hits).alias("term"))
 
 
-#: Grams of terms that are broadcast at most (some 10 MB); more of them are joined by a shuffle.
+#: Grams, and terms, that are sent to the texts at most (some 10 MB); more of them are joined by a shuffle.
 BROADCAST_GRAMS = 200_000
 
 
@@ -42,6 +45,86 @@ def _grams(text: Column, size: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))"), 1))
 
 
+#: Characters of texts that are cut into grams together, and cells of the table of grams they hold.
+STRETCH_CHARS, HELD_CELLS = 1_000_000, 1 << 24
+#: A term's rarest grams that are looked up before it is searched itself.
+LOOKED_UP = 16
+
+
+def _runs(text: str, size: int) -> set[str]:
+    return {text[i : i + size] for i in range(len(text) - size + 1)}
+
+
+def _codes(text: str, size: int) -> np.ndarray:
+    """Each run of ``size`` characters, three at most, as one number; 21 bits hold a character."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+    codes = c[: max(0, len(c) - size + 1)]
+    for k in range(1, size):
+        codes = codes << 21 | c[k : k + len(codes)]
+    return codes
+
+
+def _held(texts: Sequence[str], wanted: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
+    """By text and wanted gram, whether the text holds it.  Long texts are cut in pieces that overlap."""
+    held = np.zeros((len(texts), len(wanted)), bool)
+    for k, text in enumerate(texts):
+        for start in range(0, len(text), STRETCH_CHARS):
+            for n in sizes:
+                codes = _codes(text[start : start + STRETCH_CHARS + n - 1], n)
+                at = np.minimum(np.searchsorted(wanted, codes), len(wanted) - 1)
+                held[k, at[wanted[at] == codes]] = True
+    return held
+
+
+def _hits_where_read(lowered: DataFrame, id_cols: Sequence[str], terms: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """``indexed_term_hits`` for terms that fit into every task: counted and checked where the texts are read."""
+    sc = lowered.sparkSession.sparkContext
+    # As many as BROADCAST_GRAMS at most, of either.
+    words = sorted(r["term"] for r in terms.collect())
+    grams_of = [_runs(t, min(len(t), max(sizes))) for t in words]
+    code_of = {g: int(_codes(g, len(g))[0]) for g in set().union(*grams_of)}
+    wanted = np.array(sorted(code_of.values()), np.int64)
+    at_of = {g: int(k) for g, k in zip(code_of, np.searchsorted(wanted, list(code_of.values())))}
+    step = max(1, HELD_CELLS // max(len(wanted), len(words)))
+    sent = sc.broadcast(wanted)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(sent.value), np.int64)
+        for batch in batches:
+            for k in range(0, batch.num_rows, step):
+                n += _held(batch.column(0).slice(k, step).to_pylist(), sent.value, sizes).sum(0)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(n)), pa.int32()), pa.array(n)], names=["gram", "n"])
+
+    texts = lowered.filter("_text IS NOT NULL")
+    n_of = {r["gram"]: r["n"] for r in texts.select("_text").mapInArrow(counted, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    # Rarest first; a term with a gram that no record holds is in no text.
+    ranked = [sorted((n_of.get(at_of[g], 0), at_of[g]) for g in grams)[:LOOKED_UP] for grams in grams_of]
+    kept = [(t, [k for _, k in r]) for t, r in zip(words, ranked) if r[0][0]]
+    looked_up = np.array([r + r[:1] * (LOOKED_UP - len(r)) for _, r in kept], np.int32).reshape(-1, LOOKED_UP)
+    index = sc.broadcast(([t for t, _ in kept], looked_up))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, looked_up = index.value
+        for batch in batches:
+            rows, hits = [], []
+            for k in range(0, batch.num_rows, step):
+                some = batch.column(batch.num_columns - 1).slice(k, step).to_pylist()
+                held = _held(some, sent.value, sizes)
+                row, term = np.nonzero(held[:, looked_up[:, 0]])
+                for j in range(1, LOOKED_UP):
+                    both = held[row, looked_up[term, j]]
+                    row, term = row[both], term[both]
+                for i, t in zip(row.tolist(), term.tolist()):
+                    if words[t] in some[i]:
+                        rows.append(k + i)
+                        hits.append(words[t])
+            ids = batch.select(list(range(batch.num_columns - 1))).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(hits, pa.string())], names=[*ids.schema.names, "term"])
+
+    schema = T.StructType([*lowered.select(*id_cols).schema.fields, T.StructField("term", T.StringType())])
+    return texts.mapInArrow(found, schema)
+
+
 def indexed_term_hits(
     df: DataFrame, id_cols: Sequence[str], text_col: str, terms: DataFrame, term_col: str = "term", size: int = 3
 ) -> DataFrame:
@@ -49,10 +132,11 @@ def indexed_term_hits(
 
     Each term is looked up by that one of its grams (runs of ``size``
     characters, or the whole of a shorter term) which the fewest records
-    hold; records that hold it are joined with the term and checked by
-    ``contains``.  The cost of cutting texts into grams does not grow with the
-    terms, and joins are plain equi-joins; up to ``BROADCAST_GRAMS`` grams of
-    terms are sent to the texts, so that no other gram is shuffled.  Terms are compared in lower case and
+    hold; the terms of a record's grams are checked against its whole text.
+    The cost of cutting texts into grams does not grow with the terms.  Up to
+    ``BROADCAST_GRAMS`` grams and terms are sent to the texts, which are then
+    searched where they are read: no text, gram or candidate is shuffled.  More
+    of them meet in plain equi-joins.  Terms are compared in lower case and
     once each; NULL and empty terms are ignored, as are NULL texts.
     """
     wanted = terms.select(F.lower(F.col(term_col)).alias("term")).filter("term != ''").distinct()
@@ -60,22 +144,21 @@ def indexed_term_hits(
     term_grams = wanted.select("term", F.explode(F.coalesce(*by_size, _grams(F.col("term"), size))).alias("gram"))
     # At most ``size`` rows.
     sizes = sorted(r["n"] for r in wanted.select(F.least(F.length("term"), F.lit(size)).alias("n")).distinct().collect())
+    lowered = df.select(*id_cols, F.lower(F.col(text_col)).alias("_text"))
+    grams = term_grams.select("gram").distinct()
+    if sizes and size <= 3 and grams.count() <= BROADCAST_GRAMS and wanted.count() <= BROADCAST_GRAMS:
+        return _hits_where_read(lowered, id_cols, wanted, sizes)
     # A hash over ids and text names a record: rows without an id do not meet
     # on one key, and two records of one hash only share what is checked.
-    lowered = df.select(*id_cols, F.lower(F.col(text_col)).alias("_text"))
     records = lowered.withColumn("_record", F.xxhash64(*id_cols, "_text"))
     cut = F.flatten(F.array(*[_grams(F.col("_text"), n) for n in sizes])) if sizes else F.array().cast("array<string>")
     text_grams = records.filter("_text IS NOT NULL").select("_record", F.explode(cut).alias("gram"))
-    grams = term_grams.select("gram").distinct()
-    sent = F.broadcast if grams.count() <= BROADCAST_GRAMS else lambda table: table
-    held = text_grams.join(sent(grams), "gram").groupBy("gram").agg(F.count("*").alias("n"))
+    held = text_grams.join(grams, "gram").groupBy("gram").agg(F.count("*").alias("n"))
     # A term with a gram that no record holds is in no text.
     rarity = F.struct(F.coalesce(F.col("n"), F.lit(0)).alias("n"), F.col("gram").alias("gram"))
     rare = term_grams.join(held, "gram", "left").groupBy("term").agg(F.min(rarity).alias("r"))
     rare = rare.filter("r.n > 0").select("term", F.col("r.gram").alias("gram"))
-    # As many rows as terms; each term has a gram, but several may share one.
-    sent = F.broadcast if wanted.count() <= BROADCAST_GRAMS else lambda table: table
-    candidates = text_grams.join(sent(rare), "gram").select("_record", "term").distinct()
+    candidates = text_grams.join(rare, "gram").select("_record", "term").distinct()
     return records.join(candidates, "_record").filter(F.col("_text").contains(F.col("term"))).select(*id_cols, "term")
 
 

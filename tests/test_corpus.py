@@ -150,3 +150,12 @@ def test_daily_counts_drop_identifiers(spark):
     out = corpus.daily_counts(ev, ["view", "click"])
     assert out.columns == ["day", "event_type", "events"]
     assert [(str(r.day), r.event_type, r.events) for r in out.collect()] == [("2024-01-01", "view", 2)]
+
+
+def test_texts_are_searched_where_they_are_read(spark):
+    """With terms that can be sent to the texts, neither texts nor candidates are shuffled."""
+    docs = spark.createDataFrame([(1, "A rare phrase, and a Rare Phrase"), (2, None), (None, "phrase")], "id long, text string")
+    terms = spark.createDataFrame([("rare phrase",), ("phrase",), ("none",)], "term string")
+    found = corpus.indexed_term_hits(docs, ["id"], "text", terms)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id or 0, r.term) for r in found.collect()) == [(0, "phrase"), (1, "phrase"), (1, "rare phrase")]
