@@ -47,7 +47,7 @@ def _grams(text: Column, size: int) -> Column:
 
 #: Characters of texts that are cut into grams together, and cells of the table of grams they hold.
 STRETCH_CHARS, HELD_CELLS = 1_000_000, 1 << 24
-#: A term's rarest grams that are looked up before it is searched itself.
+#: Grams of a term that are looked up, the rarest first, before the term is searched itself.
 LOOKED_UP = 16
 
 
@@ -77,52 +77,43 @@ def _held(texts: Sequence[str], wanted: np.ndarray, sizes: Sequence[int]) -> np.
 
 
 def _hits_where_read(lowered: DataFrame, id_cols: Sequence[str], terms: DataFrame, sizes: Sequence[int]) -> DataFrame:
-    """``indexed_term_hits`` for terms that fit into every task: counted and checked where the texts are read."""
+    """``indexed_term_hits`` for terms that fit into every task: looked up and checked where the texts are read."""
     sc = lowered.sparkSession.sparkContext
     # As many as BROADCAST_GRAMS at most, of either.
     words = sorted(r["term"] for r in terms.collect())
-    grams_of = [_runs(t, min(len(t), max(sizes))) for t in words]
-    code_of = {g: int(_codes(g, len(g))[0]) for g in set().union(*grams_of)}
+    grams_of = [sorted(_runs(t, min(len(t), max(sizes))))[:LOOKED_UP] for t in words]
+    code_of = {g: int(_codes(g, len(g))[0]) for grams in grams_of for g in grams}
     wanted = np.array(sorted(code_of.values()), np.int64)
     at_of = {g: int(k) for g, k in zip(code_of, np.searchsorted(wanted, list(code_of.values())))}
+    # Short rows are filled up with their first gram.
+    grams = np.array([[at_of[g] for g in gs + gs[:1] * (LOOKED_UP - len(gs))] for gs in grams_of], np.int32)
     step = max(1, HELD_CELLS // max(len(wanted), len(words)))
-    sent = sc.broadcast(wanted)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(len(sent.value), np.int64)
-        for batch in batches:
-            for k in range(0, batch.num_rows, step):
-                n += _held(batch.column(0).slice(k, step).to_pylist(), sent.value, sizes).sum(0)
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(n)), pa.int32()), pa.array(n)], names=["gram", "n"])
-
-    texts = lowered.filter("_text IS NOT NULL")
-    n_of = {r["gram"]: r["n"] for r in texts.select("_text").mapInArrow(counted, "gram int, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-    # Rarest first; a term with a gram that no record holds is in no text.
-    ranked = [sorted((n_of.get(at_of[g], 0), at_of[g]) for g in grams)[:LOOKED_UP] for grams in grams_of]
-    kept = [(t, [k for _, k in r]) for t, r in zip(words, ranked) if r[0][0]]
-    looked_up = np.array([r + r[:1] * (LOOKED_UP - len(r)) for _, r in kept], np.int32).reshape(-1, LOOKED_UP)
-    index = sc.broadcast(([t for t, _ in kept], looked_up))
+    index = sc.broadcast((words, wanted, grams))
+
+    def hits(texts: list[str]) -> Iterator[tuple[int, str]]:
+        words, wanted, grams = index.value
+        held = _held(texts, wanted, sizes)
+        # Rarest first.
+        order = np.take_along_axis(grams, np.argsort(held.sum(0)[grams], axis=1), axis=1)
+        row, term = np.nonzero(held[:, order[:, 0]])
+        for j in range(1, LOOKED_UP):
+            both = held[row, order[term, j]]
+            row, term = row[both], term[both]
+        for i, t in zip(row.tolist(), term.tolist()):
+            if words[t] in texts[i]:
+                yield i, words[t]
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, looked_up = index.value
         for batch in batches:
-            rows, hits = [], []
+            last = batch.num_columns - 1
             for k in range(0, batch.num_rows, step):
-                some = batch.column(batch.num_columns - 1).slice(k, step).to_pylist()
-                held = _held(some, sent.value, sizes)
-                row, term = np.nonzero(held[:, looked_up[:, 0]])
-                for j in range(1, LOOKED_UP):
-                    both = held[row, looked_up[term, j]]
-                    row, term = row[both], term[both]
-                for i, t in zip(row.tolist(), term.tolist()):
-                    if words[t] in some[i]:
-                        rows.append(k + i)
-                        hits.append(words[t])
-            ids = batch.select(list(range(batch.num_columns - 1))).take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(hits, pa.string())], names=[*ids.schema.names, "term"])
+                some = batch.slice(k, step)
+                rows, terms = zip(*pairs) if (pairs := list(hits(some.column(last).to_pylist()))) else ((), ())
+                ids = some.select(list(range(last))).take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*ids.columns, pa.array(terms, pa.string())], names=[*ids.schema.names, "term"])
 
     schema = T.StructType([*lowered.select(*id_cols).schema.fields, T.StructField("term", T.StringType())])
-    return texts.mapInArrow(found, schema)
+    return lowered.filter("_text IS NOT NULL").mapInArrow(found, schema)
 
 
 def indexed_term_hits(
@@ -135,9 +126,10 @@ def indexed_term_hits(
     hold; the terms of a record's grams are checked against its whole text.
     The cost of cutting texts into grams does not grow with the terms.  Up to
     ``BROADCAST_GRAMS`` grams and terms are sent to the texts, which are then
-    searched where they are read: no text, gram or candidate is shuffled.  More
-    of them meet in plain equi-joins.  Terms are compared in lower case and
-    once each; NULL and empty terms are ignored, as are NULL texts.
+    searched where they are read, some thousands at a time, by the grams that are
+    rarest there: no text, gram or candidate is shuffled.  More of them meet in
+    plain equi-joins.  Terms are compared in lower case and once each; NULL and
+    empty terms are ignored, as are NULL texts.
     """
     wanted = terms.select(F.lower(F.col(term_col)).alias("term")).filter("term != ''").distinct()
     by_size = [F.when(F.length("term") == n, _grams(F.col("term"), n)) for n in range(1, size)]
