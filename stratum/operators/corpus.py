@@ -47,6 +47,8 @@ def _grams(text: Column, size: int) -> Column:
 
 #: Characters of texts that are cut into grams together, and cells of the table of grams they hold.
 STRETCH_CHARS, HELD_CELLS = 1_000_000, 1 << 24
+#: Terms of so many characters are looked up by grams of this size.
+LONG_GRAM = 6
 #: Grams of a term that are looked up, the rarest first, before the term is searched itself.
 LOOKED_UP = 16
 
@@ -56,11 +58,11 @@ def _runs(text: str, size: int) -> set[str]:
 
 
 def _codes(text: str, size: int) -> np.ndarray:
-    """Each run of ``size`` characters, three at most, as one number; 21 bits hold a character."""
+    """Each run of ``size`` characters as one number; different ones of over three may share theirs."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
     codes = c[: max(0, len(c) - size + 1)]
     for k in range(1, size):
-        codes = codes << 21 | c[k : k + len(codes)]
+        codes = codes * 2_097_169 + c[k : k + len(codes)]
     return codes
 
 
@@ -81,7 +83,9 @@ def _hits_where_read(lowered: DataFrame, id_cols: Sequence[str], terms: DataFram
     sc = lowered.sparkSession.sparkContext
     # As many as BROADCAST_GRAMS at most, of either.
     words = sorted(r["term"] for r in terms.collect())
-    grams_of = [sorted(_runs(t, min(len(t), max(sizes))))[:LOOKED_UP] for t in words]
+    size_of = {t: LONG_GRAM if len(t) >= LONG_GRAM else min(len(t), max(sizes)) for t in words}
+    sizes = sorted(set(size_of.values()))
+    grams_of = [sorted(_runs(t, size_of[t]))[:LOOKED_UP] for t in words]
     code_of = {g: int(_codes(g, len(g))[0]) for grams in grams_of for g in grams}
     wanted = np.array(sorted(code_of.values()), np.int64)
     at_of = {g: int(k) for g, k in zip(code_of, np.searchsorted(wanted, list(code_of.values())))}
@@ -138,7 +142,7 @@ def indexed_term_hits(
     sizes = sorted(r["n"] for r in wanted.select(F.least(F.length("term"), F.lit(size)).alias("n")).distinct().collect())
     lowered = df.select(*id_cols, F.lower(F.col(text_col)).alias("_text"))
     grams = term_grams.select("gram").distinct()
-    if sizes and size <= 3 and grams.count() <= BROADCAST_GRAMS and wanted.count() <= BROADCAST_GRAMS:
+    if sizes and size <= LONG_GRAM and grams.count() <= BROADCAST_GRAMS and wanted.count() <= BROADCAST_GRAMS:
         return _hits_where_read(lowered, id_cols, wanted, sizes)
     # A hash over ids and text names a record: rows without an id do not meet
     # on one key, and two records of one hash only share what is checked.
