@@ -36,12 +36,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import read, written
 from stratum.llm.graph import components
-from stratum.llm.minhash import shingles
+from stratum.llm.minhash import _mix64
 
 #: Documents and shingles of a cell, about.
 CELL_DOCS, CELL_SHINGLES = 256, 400_000
@@ -52,6 +53,14 @@ FILTER_BITS = 1 << 24
 #: DivideSkip's weight: how many long lists are set apart.
 WEIGHT = 0.0085
 DEAL_ROUNDS = 2
+#: Bytes of texts that are cut into words at once, about, and of the longest word that is not hashed by itself.
+CHUNK_BYTES, LONG_WORD = 1 << 17, 64
+
+STEP = np.uint64(0x9E3779B97F4A7C15)
+SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
+#: What is kept of eight bytes of which so many belong to a word.
+KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def required(n: int | np.ndarray, percent: int):
@@ -59,18 +68,89 @@ def required(n: int | np.ndarray, percent: int):
     return -(-percent * n // 100)
 
 
+def _word_hashes(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of lower-cased bytes, eight bytes at a time; ``low`` ends in eight more."""
+    eights = np.lib.stride_tricks.sliding_window_view(low, 8)
+    out = sizes.astype(np.uint64)
+    for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+        word = low[starts[k] : starts[k] + sizes[k]].tobytes()
+        out[k] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    at = np.flatnonzero(sizes <= LONG_WORD)
+    starts, sizes = starts[at], sizes[at]
+    while len(at):
+        part = eights[starts].view("<u8")[:, 0] & KEPT[np.minimum(sizes, 8)]
+        out[at] = _mix64(out[at] * STEP + part)
+        more = sizes > 8
+        at, starts, sizes = at[more], starts[more] + 8, sizes[more] - 8
+    return out
+
+
+def _chained(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` words that follow each other."""
+    count = len(hashes) - width + 1
+    out = np.full(count, width, np.uint64)
+    for j in range(width):
+        out = _mix64(out * STEP + hashes[j : j + count])
+    return out
+
+
+def shingle_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
+    """Sorted distinct 64-bit hashes of each text's word shingles.
+
+    A-Z are lower-cased and words are what ASCII white space separates.  Fewer
+    words than ``width`` are one shingle; no words, or no text, are none.
+    """
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    _, bounds, data = texts.buffers()
+    if not len(texts):
+        return
+    bounds = np.frombuffer(bounds, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(data or b"", np.uint8)
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + CHUNK_BYTES, side="right")) - 1)
+        yield from _chunk_sets(data[bounds[first] : bounds[last]], bounds[first : last + 1] - bounds[first], width)
+        first = last
+
+
+def _chunk_sets(data: np.ndarray, bounds: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """The sets of texts that lie side by side in ``data``."""
+    word = ~SPACE[data]
+    # A word begins where none was before, and where its text does; it ends likewise.
+    cut = np.zeros(len(data) + 1, bool)
+    cut[bounds] = True
+    after = np.concatenate([[False], word])
+    before = np.concatenate([word, [False]])
+    starts = np.flatnonzero(before & (~after | cut))
+    ends = np.flatnonzero(after & (~before | cut))
+    hashes = _word_hashes(np.concatenate([LOWER[data], np.zeros(8, np.uint8)]), starts, ends - starts)
+    whole = _chained(hashes, width) if len(hashes) >= width else None
+    at = np.searchsorted(starts, bounds).tolist()
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        own = whole[a : b - width + 1] if b - a >= width else _chained(hashes[a:b], b - a) if b > a else hashes[:0]
+        own = np.sort(own)
+        yield own[np.append(True, own[1:] != own[:-1])] if len(own) else own
+
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    bounds = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+    flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat, pa.int64()))
+
+
 def sketch(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n, same, first``: each set's size, fingerprint and shingles of least hashes."""
     bound = np.uint64(int(FIRST_LOOK * 2**64))
 
     def rows(batches):
         for batch in batches:
-            sets = [shingles(t or "", width) for t in batch.column(1).to_pylist()]
-            first = [s[: np.searchsorted(s, bound)].view(np.int64) for s in sets]
-            same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
+            n, same, first = [], [], []
+            for s in shingle_sets(batch.column(1), width):
+                n.append(len(s))
+                same.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
+                first.append(s[: np.searchsorted(s, bound)].copy())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(same, pa.binary())]
-                + [pa.array(first, pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(same, pa.binary()), _lists(first)],
                 names=["doc_id", "n", "same", "first"],
             )
 
@@ -107,10 +187,10 @@ def _full_sets(docs: DataFrame, live: DataFrame, width: int) -> DataFrame:
             at = batch.column(2).to_numpy()
             passed = (filter_bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
             batch = batch.filter(pa.array(passed))
-            sets = [shingles(t or "", width) for t in batch.column(1).to_pylist()]
+            sets = list(shingle_sets(batch.column(1), width))
             same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(same, pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
+                [batch.column(0), pa.array(same, pa.binary()), _lists(sets)],
                 names=["doc_id", "same", "shingles"],
             )
 

@@ -102,6 +102,21 @@ def test_graph_components(spark):
     assert graph.components(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("task_edges, most", [(500_000, 2), (60, 100)])
+def test_graph_components_of_long_paths(spark, monkeypatch, task_edges, most):
+    tables = []
+    monkeypatch.setattr(graph, "TASK_EDGES", task_edges)
+    monkeypatch.setattr(graph, "written", lambda df, name, write=graph.written: tables.append(name) or write(df, name))
+    ids = np.random.default_rng(3).permutation(400).tolist()
+    paths = [ids[:150], ids[150:390], ids[390:392]]
+    edges = [(a, b) for path in paths for a, b in zip(path[:-1], path[1:], strict=True)]
+    edges += [(ids[150], k) for k in ids[200:300]] + [(7, 7), edges[0], edges[0][::-1], (None, 3)]
+    got = graph.components(spark.createDataFrame(edges, "u long, v long").repartition(8)).collect()
+    assert sorted(map(tuple, got)) == sorted((i, min(path)) for path in paths for i in path)
+    # Edges that fit one task are reduced there: no rounds of shuffles.
+    assert len(tables) <= most and (most == 2 or len(tables) > 4)
+
+
 # --- packing ---------------------------------------------------------------
 
 

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from edge_rows import edge_documents
@@ -13,6 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stratum.llm import alignment, overlap_join, spelling
+from stratum.llm.minhash import shingles
 
 
 @pytest.fixture(scope="module")
@@ -142,6 +145,45 @@ def test_divide_skip(lists, need):
     assert sorted(overlap_join.divide_skip(lists, need)) == sorted((x, n) for x, n in times.items() if n >= need)
 
 
+ODD_TEXT = st.text(st.sampled_from(" \t\n\v\f\rAaZzé\x1c\x85\u2003@[\x00"), max_size=40)
+LONG_WORDS = st.lists(st.integers(1, 200).map(lambda n: "q" * n), max_size=6).map(" ".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | ODD_TEXT | LONG_WORDS, max_size=8), st.sampled_from([1, 2, 4]), st.sampled_from([1, 30, 1 << 17]))
+def test_shingle_sets_of_a_batch(texts, width, chunk):
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(overlap_join, "CHUNK_BYTES", chunk)
+        got = list(overlap_join.shingle_sets(pa.array(["before a b c d", *texts, "z"]).slice(1, len(texts)), width))
+    want = [shingle_set(t or "", width) for t in texts]
+    assert [len(s) for s in got] == [len(s) for s in want]
+    assert all((s[1:] > s[:-1]).all() for s in got)
+    for i, a in enumerate(want):
+        for j, b in enumerate(want[:i]):
+            assert len(np.intersect1d(got[i], got[j])) == len(a & b)
+
+
+def test_shingle_sets_take_less_time_than_one_text_at_a_time():
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(500)) for _ in range(400)]
+    batch = pa.array(texts)
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            began = time.process_time()
+            run()
+            took.append(time.process_time() - began)
+        return min(took)
+
+    assert least(lambda: list(overlap_join.shingle_sets(batch, 4))) < 0.6 * least(lambda: [shingles(t, 4) for t in texts])
+
+
+def test_bytes_that_are_no_utf8_have_shingles(spark):
+    docs = spark.sql("SELECT 1L AS doc_id, cast(X'61FF' AS string) AS text UNION ALL SELECT 2L, cast(X'41FF20' AS string)")
+    assert sorted(map(tuple, overlap_join.overlap_join(docs, 4, 85).collect())) == [(1, 1, 1), (2, 1, 1)]
+
+
 @pytest.mark.parametrize("width, percent", [(4, 85), (5, 80), (2, 60)])
 def test_overlap_join_equals_brute_force(small, width, percent):
     docs, texts = small
