@@ -216,12 +216,22 @@ def train(docs: DataFrame, labels: DataFrame, features: Features, t: Training) -
                 names=["doc_id", "label", "ids", "weights"],
             )
 
-    rows = texts.mapInArrow(bags, "doc_id bigint, label int, ids binary, weights binary").toArrow().sort_by("doc_id")
-    found = [
-        (np.frombuffer(i, np.uint16), np.frombuffer(w, np.float32))
-        for i, w in zip(rows["ids"].to_pylist(), rows["weights"].to_pylist(), strict=True)
-    ]
-    return fit(found, rows["label"].to_numpy().astype(np.int64), features, t)
+    rows = texts.mapInArrow(bags, "doc_id bigint, label int, ids binary, weights binary").toArrow()
+    order = np.argsort(rows["doc_id"].to_numpy())
+    found = list(zip(_views(rows["ids"], np.uint16), _views(rows["weights"], np.float32), strict=True))
+    return fit([found[i] for i in order], rows["label"].to_numpy()[order].astype(np.int64), features, t)
+
+
+def _views(column: pa.ChunkedArray, dtype: type) -> list[np.ndarray]:
+    """The arrays that a binary column holds, where they are; its values one by one would be copies."""
+    out = []
+    for chunk in column.cast(pa.binary()).chunks:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            at = np.frombuffer(offsets, np.int32)[chunk.offset :][: len(chunk) + 1] // np.dtype(dtype).itemsize
+            flat = np.frombuffer(data, dtype, at[-1]) if at[-1] else np.zeros(0, dtype)
+            out += np.split(flat[at[0] :], at[1:-1] - at[0])
+    return out
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
