@@ -42,8 +42,9 @@ UNITS = (
     "|cents|cent|percent|degrees|degree|kmh|mph|km|cm|mm|kg|mg|ml|lb|oz|ft|m|g|l|s|h"
 )
 #: Mid-sentence capitalised words: after a letter, digit or comma and one space.
-_NAME = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*"
-_NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\p{N}+(?:[.,:]\p{N}+)*"
+#: Groups are repeated by ``*+``, in a loop; ``*`` takes a stack frame a repeat, and a long run of words ended the JVM.
+_NAME = r"(?<=[\p{L}\p{N},;] )\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*+"
+_NUMBER = r"(?<![\p{L}\p{N}])[$€£]?\p{N}+(?:[.,:]\p{N}+)*+"
 
 
 def _canonical(text: Column) -> Column:

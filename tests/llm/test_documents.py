@@ -344,6 +344,18 @@ def test_leaks_of_items_with_few_literals(spark):
     assert {(r.doc_id, r.item_id) for r in rows} - want == {(30, 2)} and texts[30].endswith("Spain")
 
 
+def test_leaks_of_texts_with_long_runs(spark):
+    """A run of names or a list of numbers is read in a loop: with a stack frame a word, it ended the JVM."""
+    item = "a miller walks from the old mill to the river and back with 12 apples in his blue basket every day"
+    runs = ["See " + "Word " * 20_000, "1" + ",2" * 20_000, "1" + ".2" * 20_000]
+    docs = spark.createDataFrame([*enumerate(f"{r} and {item}" for r in runs), (9, runs[0])], "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {(r.doc_id, r.kind) for r in decontamination.leaks(docs, items).collect()}
+    assert got == {(i, "exact") for i in range(len(runs))}
+    named = spark.createDataFrame([("by Tom Lee, 1,200.5 km",)], "t string").select(decontamination._words("t").alias("w"))
+    assert named.first().w == ["by", "‹tom_lee›", "‹1,200.5›", "‹~km›"]
+
+
 def test_leaks_equal_brute_force(spark, small):
     import re
 
