@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from stratum.functions.rules import Rule, first_match
 from stratum.operators import checks, corpus, dedup, incremental, medallion, reports
 from stratum.operators.contracts import CONTRACTS, contract_violations, divert_broken
+from stratum.operators.incremental import GoldState
 from stratum.operators.medallion import StageSpec
 from stratum.operators.upsert import keyed_upsert
 from stratum.plans.pipeline import run_pipeline, table_registry
@@ -279,13 +280,47 @@ def _earlier_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.silver(_bronze(spark, sf_dir).filter(F.col("order_ts") < cut))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder below the session's shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+#: The shuffle files of a query go when it ends, not when the driver happens to collect its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for plans that read it several times.
+
+    The shuffle files that made it are given back at once: the write is a query
+    of its own, so nothing else can read them."""
+    path, before = _scratch(spark, name), spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _written_state(spark: SparkSession, state: GoldState, name: str) -> GoldState:
+    return GoldState(_written(spark, state.kpis, f"{name}-kpis"), _written(spark, state.pairs, f"{name}-pairs"))
+
+
 def gold_from_changes(spark, sf_dir):
     """Today's gold from the earlier load's state and the rows that changed
-    since (D-4), and the earlier gold by taking the same changes back."""
-    earlier, now = _earlier_silver(spark, sf_dir), _silver(spark, sf_dir)
-    forward = incremental.apply_changes(incremental.gold_state(earlier), incremental.signed_changes(earlier, now))
-    back = incremental.apply_changes(incremental.gold_state(now), incremental.signed_changes(now, earlier))
-    return _each_layer({"now": incremental.gold_of(forward), "earlier": incremental.gold_of(back)})
+    since (D-4), and the earlier gold by taking the same changes back.
+
+    Each version is read several times, by its state and by two comparisons;
+    so versions, changes and states are written, each made by shuffles of its own."""
+    versions = {"earlier": _earlier_silver(spark, sf_dir), "now": _silver(spark, sf_dir)}
+    silver = {k: _written(spark, df.select(*incremental.COLUMNS), f"silver-{k}") for k, df in versions.items()}
+    gold = {}
+    for old, new in (("earlier", "now"), ("now", "earlier")):
+        changes = _written(spark, incremental.signed_changes(silver[old], silver[new]), f"changes-to-{new}")
+        state = incremental.apply_changes(incremental.gold_state(silver[old]), changes)
+        gold[new] = incremental.gold_of(_written_state(spark, state, f"state-{new}"))
+    return _each_layer(gold)
 
 
 def approx_region_customers(spark, sf_dir):
@@ -299,11 +334,6 @@ def approx_region_customers(spark, sf_dir):
     return exact.join(approx, "region").select("region", "customers", within.alias("within_bound"))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the session's shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def published_tables(spark, sf_dir):
     """The table registry after a run of the whole pipeline (A-11, K-1, S-9)."""
     root = _scratch(spark, "published")

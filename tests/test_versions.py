@@ -1,8 +1,11 @@
 """Ranks, changes, contents, buckets and contracts across versions against brute force."""
 
+import datetime as dt
 import glob
 import os
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import Window
@@ -12,9 +15,12 @@ from pyspark.sql import types as T
 from stratum.operators import checks, incremental, medallion
 from stratum.operators.contracts import BROKEN_LABEL, CONTRACTS, divert_broken, schema_changes, version_changes
 from stratum.operators.dedup import version_rank
+from stratum.plans import catalog as plans
 from stratum.plans import pipeline
 from stratum.sinks import buckets, snapshots
 from stratum.sinks import catalog as catalog_sink
+from stratum.sources.orders import order_source
+from stratum.sources.tables import TABLE_SCHEMAS
 
 
 def same_rows(a, b):
@@ -140,6 +146,60 @@ def test_gold_from_changes_equals_a_recompute(spark):
     assert incremental.signed_changes(versions[0], versions[0]).count() == 0
 
 
+def order_tables(spark, top):
+    """Small tables with two loads of orders, an order without a customer, a customer without a nation, a nation without a region."""
+    schemas = {n: TABLE_SCHEMAS[n] for n in ("region", "nation", "customer", "orders")}
+    at = lambda y, d: dt.datetime(y, 1 + d % 12, 1 + d % 28)
+    rows = {
+        "region": [(0, "NORTH"), (1, "SOUTH")],
+        "nation": [(k, f"N{k}", 9 if k == 6 else k % 2) for k in range(7)],
+        "customer": [(k, f"C{k}", None if k == 5 else k % 8, 1.5, "X") for k in range(60)],
+        "orders": [(k, k % 67, "FPO"[k % 3], 10.25 * (k % 90), at(1996 + k % 4, k), "1-URGENT") for k in range(1, 900)],
+    }
+    for name, schema in schemas.items():
+        spark.createDataFrame(rows[name], schema).write.parquet(os.path.join(top, f"{name}.parquet"))
+    return rows
+
+
+def test_gold_from_changes_reads_written_versions_and_frees_its_shuffles(spark, scratch):
+    order_tables(spark, scratch)
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("|").split("|") if re.search(r"/shuffle_\d+_\d+_\d+[.]data$", f)}
+    before = shuffled()
+    got = plans.gold_from_changes(spark, scratch)
+    for _ in range(100):  # files go in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffled() <= before
+    # What is left to the caller reads states, not orders.
+    assert "o_orderkey" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert spark.conf.get(plans.FREE_SHUFFLES) == "false"
+    bronze = medallion.bronze(order_source(spark, scratch), plans.RUN_TS)
+    cut = F.lit(plans.EARLIER_LOAD_BEFORE).cast("timestamp_ntz")
+    want = {"now": bronze, "earlier": bronze.filter(F.col("order_ts") < cut)}
+    for layer, rows in want.items():
+        assert same_rows(got.filter(F.col("layer") == layer).drop("layer"), medallion.gold(medallion.silver(rows)))
+    assert got.count() == 4
+
+
+def test_regions_are_looked_up_without_a_shuffle_by_nation(spark, scratch):
+    rows = order_tables(spark, scratch)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        source = order_source(spark, scratch)
+        plan = source._jdf.queryExecution().executedPlan().toString()
+        got = {r.source_rank: r.region for r in source.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    names, regions = dict(rows["region"]), {n: r for n, _, r in rows["nation"]}
+    nations = {c: n for c, _, n, *_ in rows["customer"]}
+    assert got == {k: None if k % 23 == 0 else names.get(regions.get(nations.get(c))) for k, c, *_ in rows["orders"]}
+    assert None in {names.get(regions.get(nations.get(c))) for _, c, *_ in rows["orders"]}
+
+
 def test_sketches_keep_their_bound(spark):
     n = 30_000
     df = spark.range(n).select(
